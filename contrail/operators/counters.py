@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, Window, functions as F
 
+from contrail.session import landed
+
 
 def dlq_counts(dead: DataFrame) -> DataFrame:
     """Dead letters by error type."""
@@ -15,7 +17,7 @@ def running_total(df: DataFrame, order: str, value: str, into: str, block: int =
 
     An unpartitioned window would put every row into one task. Here rows are summed in blocks of ``block``
     consecutive order values, blocks in super-blocks, and only the super-block totals meet in one task, one row
-    per ``block ** 2`` order values.
+    per ``block ** 2`` order values. Reads ``df`` three times.
     """
     def prefix(rows: DataFrame, within: list[str], by: str, amount: str, name: str, inclusive: bool) -> DataFrame:
         end = 0 if inclusive else -1
@@ -37,7 +39,7 @@ def ingest_counters(normalized: DataFrame, passed: DataFrame, poll: str = "poll_
     """Per poll: vectors, sent, dead letters, repeats skipped, altitudes suppressed, and all skips so far.
 
     ``normalized`` is the output of ``normalize_vectors``, ``passed`` the valid events that went on after
-    de-duplication; both carry the poll.
+    de-duplication; both carry the poll. The per-poll rows are written once, as the running total reads them thrice.
     """
     seen = normalized.groupBy(poll).agg(
         F.count(F.lit(1)).alias("states"),
@@ -50,7 +52,7 @@ def ingest_counters(normalized: DataFrame, passed: DataFrame, poll: str = "poll_
         .withColumn("sent", F.coalesce("sent", F.lit(0)))
         .withColumn("dedupe_skipped", F.col("states") - F.col("dlq") - F.col("sent"))
     )
-    return running_total(polls, poll, "dedupe_skipped", "total_skipped")
+    return running_total(landed(polls, "polls"), poll, "dedupe_skipped", "total_skipped")
 
 
 def observe_ingest(normalized: DataFrame, name: str = "ingest") -> DataFrame:

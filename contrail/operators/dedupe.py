@@ -40,28 +40,37 @@ def dedupe_ttl(
 
     Of rows with equal key and clock the first by ``tiebreak`` is taken (by all other columns if none is given).
     ``seen`` holds earlier acceptances as (keys, clock) rows, at most one per key; see ``accepted_last``.
+    ``df`` is read up to three times, twice for keys and clock only: write it out first if it is costly to make.
     """
     if ttl <= 0:
         return df
     span = max(span, ttl)
     columns = df.columns
-    tiebreak = list(tiebreak) or [c for c in columns if c not in keys and c != clock]
+    carried = [c for c in columns if c not in keys]
+    tiebreak = list(tiebreak) or [c for c in carried if c != clock]
+    at = F.col(clock).cast("long")
     keyed = df.where(F.col(clock).isNotNull()).select(
-        _key(keys).alias("_k"), F.floor(F.col(clock) / F.lit(span)).alias("_slot"),
-        F.col(clock).cast("long").alias("_t"), F.struct(*columns).alias("_row"),
+        _key(keys).alias("_k"), _slot(at, span).alias("_slot"), at.alias("_t"), F.struct(*carried).alias("_row"),
     )
     rows = _first_per_instant(keyed, tiebreak)
     if seen is not None:
         rows = _after_seen(rows, seen, keys, clock, ttl)
 
-    inherited = _inherited(rows, ttl, span)
-    by_slot = rows.groupBy("_k", "_slot").agg(
-        F.array_sort(F.collect_list(F.struct("_t", "_row"))).alias("_rows")
+    # Repeats make no difference to what slots inherit, so this reads keys and clocks straight from the input.
+    inherited = _inherited((keyed if seen is None else rows).select("_k", "_slot", "_t"), ttl, span)
+    # What a slot inherits travels with its rows, so this is one shuffle and no join.
+    both = rows.select("_k", "_slot", F.struct("_t", "_row").alias("_at"), F.lit(None).cast("long").alias("_last"))
+    both = both.unionByName(inherited.select("_k", "_slot", "_last"), allowMissingColumns=True)
+    by_slot = both.groupBy("_k", "_slot").agg(
+        F.array_sort(F.collect_list("_at")).alias("_rows"), F.max("_last").alias("_last")
     )
-    passed = by_slot.join(inherited, ["_k", "_slot"], "left").select(
-        F.explode(_walk(F.col("_rows"), F.col("_last"), ttl)).alias("_passed")
-    )
-    return passed.select("_passed._row.*").select(*columns)
+    passed = by_slot.select("_k", F.explode(_walk(F.col("_rows"), F.col("_last"), ttl)).alias("_passed"))
+    return passed.select(*[F.col(f"_k.{c}" if c in keys else f"_passed._row.{c}") for c in columns])
+
+
+def _slot(at: Column, span: int) -> Column:
+    """Number of the slot; rounds down below zero too."""
+    return ((at - F.pmod(at, F.lit(span))) / F.lit(span)).cast("long")
 
 
 def _key(keys: Sequence[str]) -> Column:
@@ -83,9 +92,8 @@ def _after_seen(rows: DataFrame, seen: DataFrame, keys: Sequence[str], clock: st
     )
 
 
-def _inherited(rows: DataFrame, ttl: int, span: int) -> DataFrame:
+def _inherited(instants: DataFrame, ttl: int, span: int) -> DataFrame:
     """(key, slot, last acceptance before the slot) for the slots where it matters."""
-    instants = rows.select("_k", "_slot", "_t")
     into_slot = F.col("_t") - F.col("_slot") * span
     head, tail = into_slot < ttl, into_slot >= span - ttl
 

@@ -17,7 +17,7 @@ from contrail.operators import (
 )
 from contrail.plans import projections as P
 from contrail.schemas import GRID_5M, SCHEMA_VERSION, STATE, TELEMETRY
-from contrail.session import configure, work_dir
+from contrail.session import configure, landed, spread, work_dir
 from contrail.sources import FolderTarget, export_snapshots as write_snapshots, load_table
 from contrail.streaming import append_windows, dedupe_stream as dedupe_batches
 
@@ -41,6 +41,11 @@ def _events(spark: SparkSession, sf_dir: str) -> DataFrame:
     return P.events(configure(spark), sf_dir)
 
 
+def _spread_events(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """For queries that spend their time in building or reading JSON."""
+    return spread(_events(spark, sf_dir))
+
+
 def _telemetry(spark: SparkSession, sf_dir: str) -> DataFrame:
     return P.telemetry(_events(spark, sf_dir))
 
@@ -77,7 +82,7 @@ def _damaged_messages(telemetry: DataFrame) -> DataFrame:
 
 
 def q_parse_events(spark: SparkSession, sf_dir: str) -> DataFrame:
-    parsed = parse_events(_damaged_messages(_telemetry(spark, sf_dir)))
+    parsed = parse_events(_damaged_messages(P.telemetry(_spread_events(spark, sf_dir))))
     good = F.col("dead").isNull()
     names = ["icao24", "callsign", "source", "lat", "lon", "altitude_m", "velocity_mps", "heading_deg",
              "vertical_rate_mps", "on_ground", "event_ts", "ingestion_ts"]
@@ -88,26 +93,22 @@ def q_parse_events(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def q_parse_readings(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = P.readings(_events(spark, sf_dir))
+    rows = P.readings(_spread_events(spark, sf_dir))
     text = F.date_format("timestamp", "yyyy-MM-dd'T'HH:mm:ss'Z'")
     raw = rows.withColumn("timestamp", text).select(F.to_json(F.struct("*")).cast("binary").alias("value"))
     return _out(parse_readings(raw))
 
 
 def q_event_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
-    messages = to_event_messages(with_event_text(_telemetry(spark, sf_dir), "events", SCHEMA_VERSION))
+    rows = with_event_text(P.telemetry(_spread_events(spark, sf_dir)), "events", SCHEMA_VERSION)
     body = F.col("value").cast("string")
-
-    def read(name: str, type_name: str) -> Column:
-        return F.get_json_object(body, f"$.{name}").cast(type_name).alias(name)
-
-    return messages.select(
-        F.col("key").cast("string").alias("message_key"),
-        F.size(F.json_object_keys(body)).alias("fields"),
-        read("schema_version", "int"), read("source", "string"), read("icao24", "string"), read("callsign", "string"),
-        read("event_time_utc", "string"), read("ingestion_time_utc", "string"), read("lat", "double"),
-        read("altitude_m", "double"), read("on_ground", "boolean"), read("squawk", "string"),
+    read = to_event_messages(rows).select(
+        F.col("key").cast("string").alias("message_key"), F.size(F.json_object_keys(body)).alias("fields"),
+        F.from_json(body, TELEMETRY).alias("d"),
     )
+    names = ["schema_version", "source", "icao24", "callsign", "event_time_utc", "ingestion_time_utc", "lat",
+             "altitude_m", "on_ground", "squawk"]
+    return read.select("message_key", "fields", *[F.col(f"d.{n}") for n in names])
 
 
 # ingest
@@ -121,7 +122,7 @@ def _polls(vectors: DataFrame) -> DataFrame:
 
 
 def q_explode_state_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = explode_state_vectors(_polls(P.vectors(_events(spark, sf_dir))))
+    rows = explode_state_vectors(_polls(P.vectors(_spread_events(spark, sf_dir))))
     field = vector_fields(F.col("state"))
 
     def read(name: str, type_name: str) -> Column:
@@ -136,12 +137,12 @@ def q_explode_state_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def q_normalize_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
-    valid, _ = route_events(_normalized(P.vectors(_events(spark, sf_dir))))
+    valid, _ = route_events(_normalized(P.vectors(_spread_events(spark, sf_dir))))
     return valid.select("event_id", "altitude_suppressed", *TELEMETRY.fieldNames())
 
 
 def _dead(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return route_events(_normalized(P.vectors(_events(spark, sf_dir))))[1]
+    return route_events(_normalized(P.vectors(_spread_events(spark, sf_dir))))[1]
 
 
 def q_route_dlq(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -165,16 +166,14 @@ def q_dlq_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def q_ingest_counters(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The normalised rows are written once: counting and de-duplication read them several times, a few columns each."""
-    landed = f"{work_dir(spark, 'normalized')}/rows"
-    _normalized(P.repolled(_events(spark, sf_dir))).write.parquet(landed)
-    normalized = spark.read.parquet(landed)
+    normalized = landed(_normalized(P.repolled(_spread_events(spark, sf_dir))), "normalized")
     valid, _ = route_events(normalized)
     clocked = valid.withColumn("clock_s", clock_seconds(F.col("ingestion_ts")))
     return ingest_counters(normalized, dedupe_ttl(clocked, tiebreak=["event_id"]))
 
 
 def q_dedupe_ttl(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _out(dedupe_ttl(P.replays(_events(spark, sf_dir)), REPLAY_KEYS))
+    return _out(dedupe_ttl(P.replays(_spread_events(spark, sf_dir)), REPLAY_KEYS))
 
 
 def q_dedupe_stream(spark: SparkSession, sf_dir: str) -> DataFrame:

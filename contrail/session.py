@@ -6,7 +6,7 @@ import os
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 # Settings that change results, the state layout or the shape of generated code, as opposed to sizing, which belongs
 # to the cluster. Event times are read in the session zone, so the zone is part of the contract. The method limit is
@@ -59,3 +59,20 @@ def work_dir(spark: SparkSession, purpose: str) -> str:
         root = tempfile.mkdtemp(prefix="contrail-")
         spark.conf.set("spark.checkpoint.dir", root)
     return os.path.join(root, f"{purpose}-{uuid.uuid4().hex}")
+
+
+def landed(df: DataFrame, purpose: str) -> DataFrame:
+    """Write ``df`` to a new shared folder and read it from there: worked out once, with its lineage cut, whatever
+    number of readers follow."""
+    path = work_dir(df.sparkSession, purpose)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def spread(df: DataFrame) -> DataFrame:
+    """Give an input of fewer partitions than cores to all cores, before work that is heavy per row.
+
+    An input that already has a partition per core, as any large one has, is returned as it is, without a shuffle.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
