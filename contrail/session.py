@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import functools
 import os
 import tempfile
 import uuid
@@ -11,11 +12,13 @@ from pyspark.sql import DataFrame, SparkSession
 # Settings that change results, the state layout or the shape of generated code, as opposed to sizing, which belongs
 # to the cluster. Event times are read in the session zone, so the zone is part of the contract. The method limit is
 # the JVM's own: beyond it generated methods are not compiled, and the wide normaliser runs twice as fast split up.
+# Snapshots of other writers may hold nanosecond times, which are otherwise refused; see ``sources.tables.conform``.
 CONTRACT = {
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.codegen.hugeMethodLimit": "8000",
+    "spark.sql.legacy.parquet.nanosAsLong": "true",
     "spark.sql.streaming.stateStore.providerClass":
         "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
     "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
@@ -46,6 +49,11 @@ def local_session(cores: str | int = "*", shuffle_partitions: int = 8, memory: s
     return configure(spark)
 
 
+@functools.cache
+def _local_root() -> str:
+    return tempfile.mkdtemp(prefix="contrail-")
+
+
 def work_dir(spark: SparkSession, purpose: str) -> str:
     """A new, empty folder every executor can reach.
 
@@ -56,8 +64,7 @@ def work_dir(spark: SparkSession, purpose: str) -> str:
     if not root:
         if not spark.sparkContext.master.startswith("local"):
             raise RuntimeError("set spark.checkpoint.dir to a folder shared by all executors")
-        root = tempfile.mkdtemp(prefix="contrail-")
-        spark.conf.set("spark.checkpoint.dir", root)
+        root = _local_root()
     return os.path.join(root, f"{purpose}-{uuid.uuid4().hex}")
 
 

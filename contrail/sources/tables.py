@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
 from contrail.operators.latest import latest_per_key, merge_state
 from contrail.schemas import BY_NAME, Table
@@ -12,8 +12,17 @@ from contrail.sources.jdbc import JdbcTarget
 
 
 def conform(df: DataFrame, table: Table) -> DataFrame:
-    """The table's columns in its types; counts become INT only here."""
-    return df.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in table.schema])
+    """The table's columns in its types. Counts become INT only here; whole numbers in the place of a time are
+    nanoseconds, as some writers of snapshots store them."""
+    found = dict(df.dtypes)
+
+    def column(field: T.StructField) -> Column:
+        value = F.col(field.name)
+        if isinstance(field.dataType, T.TimestampType) and found[field.name] == "bigint":
+            value = F.timestamp_micros(F.floor(value / 1000))
+        return value.cast(field.dataType).alias(field.name)
+
+    return df.select(*[column(f) for f in table.schema])
 
 
 def read_snapshot(spark: SparkSession, base: str, name: str) -> DataFrame:
