@@ -199,5 +199,6 @@ def dedupe_within_watermark(
     df: DataFrame, keys: Sequence[str] = DEDUPE_KEYS, ttl: int = DEDUPE_TTL_SECONDS, time: str = "ingestion_ts",
 ) -> DataFrame:
     """Streaming only: the engine's own expiry. A key is held at least ``ttl`` seconds behind the newest time, and
-    until the watermark next moves, so repeats that come a little after the TTL may go too."""
+    until the watermark next moves, so repeats that come a little after the TTL may go too. All rows of a key meet in
+    one task; where keys may be hot, or the TTL has to be exact, use ``streaming.dedupe_stream``."""
     return df.withWatermark(time, f"{ttl} seconds").dropDuplicatesWithinWatermark(list(keys))

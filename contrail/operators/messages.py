@@ -12,11 +12,18 @@ ORIGIN_COLUMNS = ("topic", "partition", "offset")
 _CORRUPT = "_corrupt_record"
 
 
-def parse_json(df: DataFrame, schema: T.StructType, into: str = "d") -> DataFrame:
-    """``value`` bytes to a struct; unreadable text is kept in the struct's corrupt-record field."""
+def parse_json(df: DataFrame, schema: T.StructType, derived: dict[str, Column] | None = None) -> DataFrame:
+    """``value`` bytes to the fields of ``schema``, plus columns ``derived`` from the parsed struct ``d``.
+
+    Unreadable text leaves the fields null and ``_corrupt_record`` filled. The fields are unpacked from a one-element
+    array: a filter on them must not be moved below this point, where it would parse every message again.
+    """
     nullable = T.StructType([T.StructField(f.name, f.dataType) for f in schema]).add(_CORRUPT, "string")
     options = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": _CORRUPT}
-    return df.withColumn(into, F.from_json(F.col("value").cast("string"), nullable, options))
+    kept = [c for c in df.columns if c != "value"]
+    parsed = df.select(*kept, F.from_json(F.col("value").cast("string"), nullable, options).alias("d"))
+    unpacked = F.struct("d.*", *[column.alias(name) for name, column in (derived or {}).items()])
+    return parsed.select(*kept, F.inline(F.array(unpacked)))
 
 
 def parse_events(raw: DataFrame, now: Column | None = None) -> DataFrame:
@@ -27,13 +34,11 @@ def parse_events(raw: DataFrame, now: Column | None = None) -> DataFrame:
     """
     now = F.current_timestamp() if now is None else now
     origin = [c for c in ORIGIN_COLUMNS if c in raw.columns]
-    parsed = parse_json(raw, TELEMETRY).select(*origin, "d").select(
-        *origin,
-        *[F.col(f"d.{f}") for f in TELEMETRY.fieldNames()],
-        parse_utc(F.col("d.event_time_utc")).alias("event_ts"),
-        parse_utc(F.col("d.ingestion_time_utc")).alias("ingestion_ts"),
-        (F.col("d").isNull() | F.col(f"d.{_CORRUPT}").isNotNull()).alias("_unreadable"),
-    )
+    parsed = parse_json(raw.select(*origin, "value"), TELEMETRY, {
+        "event_ts": parse_utc(F.col("d.event_time_utc")),
+        "ingestion_ts": parse_utc(F.col("d.ingestion_time_utc")),
+        "_unreadable": F.col("d").isNull() | F.col(f"d.{_CORRUPT}").isNotNull(),
+    })
     problem = F.when(F.col("_unreadable"), "message is not a JSON object of the event schema")
     for field in REQUIRED_FIELDS:
         problem = problem.when(F.col(field).isNull(), f"{field} is absent")
@@ -42,17 +47,15 @@ def parse_events(raw: DataFrame, now: Column | None = None) -> DataFrame:
         .when(F.col("event_ts").isNull(), "event_time_utc is not a UTC time")
         .when(F.col("ingestion_ts").isNull(), "ingestion_time_utc is not a UTC time")
     )
-    return (
-        parsed.withColumn("_problem", problem)
-        .withColumn("dead", dead_letter(F.col("_problem").isNotNull(), now, F.lit(BAD_SHAPE), F.col("icao24"),
-                                        F.lit(None).cast("int"), F.col("_problem")))
-        .drop("_unreadable", "_problem")
-    )
+    no_length = F.lit(None).cast("int")
+    dead = dead_letter(problem.isNotNull(), now, F.lit(BAD_SHAPE), F.col("icao24"), no_length, problem)
+    return parsed.withColumn("dead", dead).drop("_unreadable", _CORRUPT)
 
 
 def parse_readings(raw: DataFrame, sensor_type: str = "traffic") -> DataFrame:
     """Message bytes to sensor readings of one type; rows of another or of no type do not pass."""
-    return parse_json(raw, READING).select("d.*").drop(_CORRUPT).where(F.col("sensor_type") == sensor_type)
+    parsed = parse_json(raw.select("value"), READING)
+    return parsed.where(F.col("sensor_type") == sensor_type).select(*READING.fieldNames())
 
 
 def dead_letter(

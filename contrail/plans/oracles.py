@@ -206,8 +206,6 @@ ORACLES: dict[str, str] = {
     "cast(sum(dedupe_skipped) over (order by poll_id) as bigint) as total_skipped from counted",
     "dedupe_ttl": _with("telemetry", "replays", recursive=True, accepted=_accepted("replays", _REPLAY_KEYS))
     + "select * from accepted",
-    "dedupe_within_watermark": _with("telemetry", "replays")
-    + f"select distinct {', '.join(_REPLAY_KEYS)} from replays",
     "within_bbox": _with("telemetry")
     + f"select event_id, icao24, event_ts, lat, lon from telemetry where lat between {BOX[0]} and {BOX[1]} "
     f"and lon between {BOX[2]} and {BOX[3]}",

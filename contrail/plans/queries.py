@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types a
 
 from contrail.functions import bbox_id
 from contrail.operators import (
-    airspace_density, airspace_grid_5m, clock_seconds, dedupe_ttl, dedupe_within_watermark, dlq_counts,
+    airspace_density, airspace_grid_5m, clock_seconds, dedupe_ttl, dlq_counts,
     explode_state_vectors, ingest_counters, insert_if_absent, latest_state, live_kpis, live_positions,
     normalize_vectors, parse_events, parse_readings, quality_headline, quality_history, route_events,
     telemetry_quality_5m, to_dead_letter_messages, to_event_messages, to_imperial, to_state_rows, top_k, traffic_5m,
@@ -21,7 +21,7 @@ from contrail.session import configure, landed, spread, work_dir
 from contrail.sources import FolderTarget, export_snapshots as write_snapshots, load_table
 from contrail.streaming import append_windows, dedupe_stream as dedupe_batches
 
-BOX = (30.0, 45.0, -110.0, -80.0)
+BOX = (25.0, 45.0, -110.0, -80.0)
 REPLAY_KEYS = ("icao24", "last_contact", "lat", "lon", "altitude_m", "velocity_mps")
 
 
@@ -189,18 +189,6 @@ def q_dedupe_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _out(passed.select(*rows.columns))
 
 
-def q_dedupe_within_watermark(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = P.replays(P.events_stream(configure(spark), sf_dir))
-    timed = rows.withColumn("ingestion_ts", F.timestamp_seconds("clock_s"))
-    base = work_dir(spark, "watermark")
-    query = (
-        dedupe_within_watermark(timed, REPLAY_KEYS).select(*REPLAY_KEYS).writeStream.format("parquet")
-        .option("checkpointLocation", f"{base}/checkpoint").trigger(availableNow=True).start(f"{base}/rows")
-    )
-    query.awaitTermination()
-    return _out(spark.read.schema(rows.select(*REPLAY_KEYS).schema).parquet(f"{base}/rows"))
-
-
 # aggregates
 
 def q_within_bbox(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -3,7 +3,7 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
-from contrail.operators import accepted_last, dedupe_ttl
+from contrail.operators import accepted_last, dedupe_ttl, dedupe_within_watermark
 from contrail.sources import FolderTarget
 from contrail.streaming import dedupe_stream
 
@@ -113,3 +113,19 @@ def test_expired_keys_leave_the_state(spark):
     passed = spark.createDataFrame([("a", 0), ("b", 90), ("b", 30)], "k string, t long")
     got = accepted_last(passed, None, ["k"], 50, "t", now=100)
     assert [tuple(r) for r in got.collect()] == [("b", 90)]
+
+
+def test_within_watermark(spark, tmp_path):
+    """One copy per key while the key is held; a new one once the watermark has passed it."""
+    schema, got = "k string, ingestion_ts timestamp", []
+    for n, seconds in enumerate([(0, 60), (500,), (510,), (520,)]):
+        rows = spark.createDataFrame([("a", s) for s in seconds], "k string, s long")
+        rows.select("k", F.timestamp_seconds("s").alias("ingestion_ts")).coalesce(1).write.parquet(f"{tmp_path}/in/{n}")
+        source = spark.readStream.schema(schema).parquet(f"{tmp_path}/in/*")
+        query = (
+            dedupe_within_watermark(source, ["k"], 120).writeStream
+            .foreachBatch(lambda batch, _: got.extend(r.ingestion_ts.timestamp() for r in batch.collect()))
+            .option("checkpointLocation", f"{tmp_path}/c").trigger(availableNow=True).start()
+        )
+        query.awaitTermination()
+    assert len(got) == 2 and got[0] in (0, 60) and got[1] in (500, 510)

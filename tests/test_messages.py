@@ -90,3 +90,10 @@ def test_readings(spark):
     rows = parse_readings(messages(spark, items)).collect()
     assert [(r.location, r.value) for r in rows] == [("l1", 5), (None, None)]
     assert [r.timestamp.second for r in rows] == [7, 8]
+
+
+def test_a_filter_does_not_parse_messages_again(spark):
+    raw = messages(spark, [event()])
+    for df in (route_events(parse_events(raw))[0], parse_readings(raw)):
+        plan = df._jdf.queryExecution().executedPlan().toString()
+        assert not [line for line in plan.splitlines() if "Filter" in line and "from_json" in line]
