@@ -18,13 +18,14 @@ One key may hold any share of the rows, so its time line is never handled as a w
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from contrail.schemas import DEDUPE_KEYS, DEDUPE_TTL_SECONDS
 
 DAY = 86_400
+PIECE = 500
 
 
 def clock_seconds(ts: Column) -> Column:
@@ -126,22 +127,44 @@ def _inherited(instants: DataFrame, ttl: int, span: int) -> DataFrame:
 
 
 def _outcomes(ts: Column, head_end: Column, ttl: int) -> Column:
-    """For each row that could be the first one accepted in the slot: (that row, last row accepted)."""
-    starts = F.filter(ts, lambda t: (t < head_end) | (t == F.element_at(ts, 1)))
+    """For each row that could be the first one accepted in the slot: (that row, last row accepted).
+
+    The walks from all these rows go along together. Walks that have met stay together, so after every piece of the
+    time line those at the same row are followed as one.
+    """
     beyond = F.filter(ts, lambda t: t >= head_end)
-    starts = F.array_distinct(F.concat(starts, F.slice(beyond, 1, 1)))
-    initial = F.transform(starts, lambda t: F.struct(t.alias("first"), t.alias("last")))
+    starts = F.concat(F.filter(ts, lambda t: t < head_end), F.slice(beyond, 1, 1))
+    pieces = F.transform(F.sequence(F.lit(0), F.floor((F.size(ts) - 1) / PIECE).cast("int")),
+                         lambda i: F.slice(ts, i * PIECE + 1, F.lit(PIECE)))
+
+    def along(piece: Column, at: Column) -> Column:
+        return F.aggregate(
+            piece, at, lambda rows, t: F.transform(rows, lambda row: F.when(t >= row + ttl, t).otherwise(row))
+        )
+
+    def step(acc: Column, piece: Column) -> Column:
+        return _let(along(piece, acc["at"]), lambda at: _let(F.array_distinct(at), lambda met: F.struct(
+            F.transform(acc["walk"], lambda w: F.array_position(met, F.element_at(at, w.cast("int")))).alias("walk"),
+            met.alias("at"),
+        )))
+
+    def outcome(start: Column, i: Column, end: Column) -> Column:
+        walk = F.element_at(end["walk"], i + 1).cast("int")
+        return F.struct(start.alias("first"), F.element_at(end["at"], walk).alias("last"))
+
+    together = F.struct(
+        F.sequence(F.lit(1).cast("bigint"), F.size(starts).cast("bigint")).alias("walk"), starts.alias("at")
+    )
     return F.aggregate(
-        ts, initial,
-        lambda walks, t: F.transform(
-            walks,
-            lambda w: F.struct(
-                w["first"].alias("first"), F.when(t >= w["last"] + ttl, t).otherwise(w["last"]).alias("last")
-            ),
-        ),
+        pieces, together, step, lambda end: F.transform(starts, lambda start, i: outcome(start, i, end))
     )
 
 
+def _let(value: Column, body: Callable[[Column], Column]) -> Column:
+    """``body`` of a value that is worked out once."""
+    return F.element_at(F.transform(F.array(value), body), 1)
+
+
 def _hand_down(chain: Column, ttl: int) -> Column:
     """Walk the slots of a key in order; array of (slot, acceptance inherited by the slot)."""
     start = F.struct(
