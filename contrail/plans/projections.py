@@ -81,8 +81,8 @@ def events(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def events_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The same table read as a stream: of all files in the folder, those of this name."""
-    return spark.readStream.schema(EVENTS_DDL).option("pathGlobFilter", "events.parquet").parquet(sf_dir)
+    """The same table read as a stream. Given as a pattern, the path may be one file or a folder of files."""
+    return spark.readStream.schema(EVENTS_DDL).parquet(f"{sf_dir}/events.parquet*")
 
 
 def _project(source: DataFrame, text: str) -> DataFrame:

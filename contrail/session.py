@@ -41,6 +41,8 @@ def local_session(cores: str | int = "*", shuffle_partitions: int = 8, memory: s
         .config("spark.driver.memory", memory)
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
+        # Call sites for error messages cost about half of the time it takes to build a plan from Python.
+        .config("spark.python.sql.dataFrameDebugging.enabled", "false")
     )
     for key, value in CONTRACT.items():
         builder = builder.config(key, value)

@@ -17,10 +17,7 @@ def stream_options(
             raise ValueError("a Kafka stream needs the bootstrap servers")
         if starting not in ("earliest", "latest"):
             raise ValueError("starting is 'earliest' or 'latest'")
-        settings = {
-            "kafka.bootstrap.servers": servers, "subscribe": topic, "startingOffsets": starting,
-            "failOnDataLoss": "false",
-        }
+        settings = {"kafka.bootstrap.servers": servers, "subscribe": topic, "startingOffsets": starting}
     settings.update(options)
     return {key: str(value) for key, value in settings.items()}
 

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import datetime
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
@@ -48,9 +49,9 @@ def load_table(
     """A table from its snapshot or from the database, chosen by ``mode`` at call time."""
     if mode == "snapshot":
         return read_snapshot(spark, base, name)
-    if mode == "database":
+    if mode == "postgres":
         return database.read(spark, name)
-    raise ValueError("mode is 'snapshot' or 'database'")
+    raise ValueError("mode is 'snapshot' or 'postgres'")
 
 
 def ensure_table(spark: SparkSession, table: Table, path: str) -> None:
@@ -88,9 +89,14 @@ class FolderTarget:
 
     replace = append
 
-    def windows(self, spark: SparkSession, table: Table, newest: bool = False) -> DataFrame:
-        """A window table. ``newest`` settles windows that several batches emitted on the last emission."""
+    def windows(
+        self, spark: SparkSession, table: Table, newest: bool = False, since: datetime.date | None = None,
+    ) -> DataFrame:
+        """A window table. ``newest`` settles windows that several batches emitted on the last emission; ``since``
+        reads the folders of that date and later only."""
         rows = spark.read.parquet(self.path(table))
+        if since is not None:
+            rows = rows.where(F.col("window_date") >= F.lit(since))
         if newest:
             rows = latest_per_key(rows.drop("window_date"), list(table.key), ["batch"])
         return conform(rows, table)

@@ -1,11 +1,12 @@
 """Micro-batch writers and the wiring of the running queries."""
 
 from contrail.streaming.batches import (
-    append_windows, dedupe_stream, insert_absent_windows, publish, replace_windows, upsert_state, write_routed,
+    append_windows, best_effort, dedupe_stream, insert_absent_windows, publish, replace_windows, upsert_state,
+    write_routed,
 )
 from contrail.streaming.pipeline import await_any, late_rows, start_ingest, start_pipeline, start_traffic
 
 __all__ = [
-    "append_windows", "await_any", "dedupe_stream", "insert_absent_windows", "late_rows", "publish", "replace_windows",
-    "start_ingest", "start_pipeline", "start_traffic", "upsert_state", "write_routed",
+    "append_windows", "await_any", "best_effort", "dedupe_stream", "insert_absent_windows", "late_rows", "publish",
+    "replace_windows", "start_ingest", "start_pipeline", "start_traffic", "upsert_state", "write_routed",
 ]

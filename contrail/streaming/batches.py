@@ -6,6 +6,7 @@ they write is keyed by the batch id or merged by key. None brings rows to the dr
 
 from __future__ import annotations
 
+import logging
 from collections.abc import Callable, Sequence
 from typing import Protocol
 
@@ -18,6 +19,8 @@ from contrail.operators.latest import absent_rows, latest_state
 from contrail.schemas import DEDUPE_KEYS, DEDUPE_TTL_SECONDS, STATE, Table
 from contrail.sources.tables import FolderTarget
 
+logger = logging.getLogger(__name__)
+
 BatchWriter = Callable[[DataFrame, int], None]
 
 
@@ -98,6 +101,18 @@ def publish(sink: BatchWriter, serialize: Callable[[DataFrame], DataFrame]) -> B
     return write
 
 
+def best_effort(sink: BatchWriter) -> BatchWriter:
+    """Log a failing write instead of failing the query, for dead letters that must not hold up the events."""
+
+    def write(rows: DataFrame, batch_id: int) -> None:
+        try:
+            sink(rows, batch_id)
+        except Exception:  # whatever the sink raises
+            logger.exception("batch %d was not written", batch_id)
+
+    return write
+
+
 def dedupe_stream(
     target: FolderTarget, sink: BatchWriter, keys: Sequence[str] = DEDUPE_KEYS, ttl: int = DEDUPE_TTL_SECONDS,
     clock: str = "clock_s", name: str = "dedupe",

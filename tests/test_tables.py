@@ -14,7 +14,7 @@ from contrail.sources import (
     FolderTarget, JdbcTarget, conform, ensure_table, export_snapshots, load_table, merge_statement, read_event_stream,
     read_snapshot, scan_options, stream_options, write_messages,
 )
-from contrail.streaming import append_windows, insert_absent_windows, replace_windows
+from contrail.streaming import append_windows, best_effort, insert_absent_windows, replace_windows
 
 
 def at(minute, second=0):
@@ -109,6 +109,9 @@ def test_window_tables(spark, tmp_path):
     insert_absent_windows(target, GRID_5M)(grid(spark, (at(5), "a", 9), (at(10), "a", 3)), 3)
     assert sorted(r.aircraft_count for r in target.windows(spark, GRID_5M).collect()) == [1, 2, 3]
     replace_windows(target, GRID_5M)(grid(spark, (at(10), "a", 4)), 4)
+    assert target.windows(spark, GRID_5M, since=dt.date(2024, 1, 2)).count() == 0
+    recent = target.windows(spark, GRID_5M, since=dt.date(2024, 1, 1))
+    assert "PartitionFilters: [isnotnull(window_date" in recent._jdf.queryExecution().executedPlan().toString()
     live = target.windows(spark, GRID_5M, newest=True).collect()
     assert sorted(r.aircraft_count for r in live) == [1, 2, 4]
     assert sorted(p.name for p in (tmp_path / GRID_5M.name).iterdir()) == ["batch=0", "batch=2", "batch=3", "batch=4"]
@@ -220,7 +223,7 @@ def test_jdbc_batches(monkeypatch, spark):
 def test_stream_options(spark):
     kafka = stream_options("kafka", "t", "latest", "h:1", {"maxOffsetsPerTrigger": 5})
     assert kafka == {"kafka.bootstrap.servers": "h:1", "subscribe": "t", "startingOffsets": "latest",
-                     "failOnDataLoss": "false", "maxOffsetsPerTrigger": "5"}
+                     "maxOffsetsPerTrigger": "5"}
     assert stream_options("text", "t", "latest", None, {}) == {}
     for bad in ((None, "earliest"), ("h:1", "middle")):
         with pytest.raises(ValueError):
@@ -235,5 +238,19 @@ def test_conform_casts_counts(spark):
     assert conform(grid(spark, (at(0), "a", 1)), GRID_5M).schema["aircraft_count"].dataType.simpleString() == "int"
 
 
+def test_tables_by_mode(spark, tmp_path, monkeypatch):
+    """The database branch asks the target for the table of that name."""
+    monkeypatch.setattr(JdbcTarget, "read", lambda self, session, name: (self.url, name))
+    assert load_table(spark, "t", "postgres", database=JdbcTarget("jdbc:x")) == ("jdbc:x", "t")
+
+
+def test_best_effort(spark, caplog):
+    def broken(rows, batch_id):
+        raise OSError("sink is down")
+
+    best_effort(broken)(grid(spark), 3)
+    assert "batch 3 was not written" in caplog.text
+
+
 def test_work_dirs_are_separate(spark):
     assert work_dir(spark, "a") != work_dir(spark, "a")
