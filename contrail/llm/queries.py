@@ -7,7 +7,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from contrail.llm import quality_rules
 from contrail.llm.url_filters import ALLOW, BLOCK, Rule, judge_urls
+from contrail.session import landed
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -52,3 +54,21 @@ SELECT page_id, host, path,
        CASE WHEN net_en THEN 'allow' WHEN net OR com_de THEN 'block' ELSE 'allow' END AS verdict
 FROM fitting
 """
+
+
+def _labels(spark: SparkSession, sf_dir: str, column: str) -> DataFrame:
+    """One label for each document; of several, the smallest."""
+    return _table(spark, sf_dir, "labels").filter("doc_id is not null").groupBy("doc_id").agg(
+        F.min(column).alias(column))
+
+
+@_query
+def op7_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    stats = landed(quality_rules.with_statistics(docs).drop("text"), "quality-statistics")
+    rules = quality_rules.learn(stats.join(_labels(spark, sf_dir, "quality"), "doc_id"), "doc_id",
+                                F.col("quality") == 0)
+    failed = (F.col("n_words") < 50) | (100 * F.col("n_repeat_words") > 50 * F.col("n_words"))
+    return stats.select(
+        "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
+        failed.alias("base_failed"), (~failed & rules.kept()).alias("kept"), rules.rule().alias("rule"))
