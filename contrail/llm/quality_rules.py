@@ -131,11 +131,15 @@ def _gain(p: int, n: int, p0: int, n0: int) -> float:
     return p * (math.log2(p / (p + n)) - math.log2(p0 / (p0 + n0))) if p else 0.0
 
 
+def _interval(value: Column, cuts: list[float]) -> Column:
+    """How many of the ascending cuts are not above the value."""
+    return F.size(F.filter(F.array(*[F.lit(c) for c in cuts]), lambda c: c <= value))
+
+
 def _best_condition(rows: DataFrame, cuts: dict[str, list[float]]) -> tuple[float, Condition | None, int]:
     """The threshold with the largest gain over ``rows``, and how many kept texts it leaves covered. One aggregate of
     a row for each feature and interval."""
-    binned = [F.struct(F.lit(name).alias("f"), F.size(F.filter(F.array(*[F.lit(c) for c in at]), lambda c, v=features()[
-        name]: c <= v)).alias("b")) for name, at in cuts.items()]
+    binned = [F.struct(F.lit(name).alias("f"), _interval(features()[name], at).alias("b")) for name, at in cuts.items()]
     counts: dict[str, dict[int, tuple[int, int]]] = {}
     for f, b, p, n in (rows.select("bad", F.explode(F.array(*binned)).alias("x")).groupBy("x.f", "x.b")
                        .agg(F.sum(F.col("bad").cast("int")), F.sum((~F.col("bad")).cast("int"))).collect()):
