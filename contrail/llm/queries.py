@@ -7,7 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from contrail.llm import quality_rules
+from contrail.llm import language_id, quality_rules
+from contrail.llm.text import fold
 from contrail.llm.url_filters import ALLOW, BLOCK, Rule, judge_urls
 from contrail.session import landed
 
@@ -72,3 +73,12 @@ def op7_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return stats.select(
         "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
         failed.alias("base_failed"), (~failed & rules.kept()).alias("kept"), rules.rule().alias("rule"))
+
+
+@_query
+def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents")
+    held_out = fold(F.col("doc_id"), 4) == 2
+    profiles = language_id.fit_profiles(docs.filter(~held_out), "text", "lang", "doc_id")
+    found = language_id.identify(docs.select("doc_id", "text"), profiles)
+    return found.select("doc_id", held_out.alias("held_out"), "lang_pred", "score")
