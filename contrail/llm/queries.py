@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from contrail.llm import language_id, quality_rules
+from contrail.llm import language_id, quality_rules, toxicity
 from contrail.llm.text import fold
 from contrail.llm.url_filters import ALLOW, BLOCK, Rule, judge_urls
 from contrail.session import landed
@@ -82,3 +82,17 @@ def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     profiles = language_id.fit_profiles(docs.filter(~held_out), "text", "lang", "doc_id")
     found = language_id.identify(docs.select("doc_id", "text"), profiles)
     return found.select("doc_id", held_out.alias("held_out"), "lang_pred", "score")
+
+
+def toxicity_model(spark: SparkSession, docs: DataFrame, sf_dir: str) -> toxicity.Classifier:
+    """Learned from the labelled texts outside of the held-out fold."""
+    labels = _labels(spark, sf_dir, "toxic").filter(fold(F.col("doc_id"), 5) != 0)
+    return toxicity.fit(docs.select("doc_id", "text").join(labels, "doc_id"), "text", "toxic", "doc_id")
+
+
+@_query
+def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    scored = docs.withColumn("score", toxicity.score(docs, toxicity_model(spark, docs, sf_dir)))
+    return scored.select("doc_id", (fold(F.col("doc_id"), 5) == 0).alias("held_out"), "score",
+                         (F.col("score") >= 0.5).cast("int").alias("predicted"))
