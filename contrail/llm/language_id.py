@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, StringType, StructField, StructType
 
 UNKNOWN = "und"
+MAX_LANGUAGES = 1_000
 _CODES = 0x110000
 _BITS = 21
 _PREDICTION = StructType([StructField("lang_pred", StringType()), StructField("score", DoubleType())])
@@ -90,15 +91,17 @@ def fit_profiles(labelled: DataFrame, text: str, lang: str, key: str, size: int
     """The ``size`` most frequent n-grams of each language.
 
     Fitted on about ``max_texts`` texts a language, those with the smallest hashes of their keys; n-grams are counted
-    in the tasks, and the driver gets ``size`` n-grams of each language. Rows without text or language are left out.
+    in the tasks, and the driver gets ``size`` n-grams of each language. Rows without text or language are left out. More than ``MAX_LANGUAGES`` are refused.
     """
     rows = labelled.select(F.col(f"`{text}`").alias("text"), F.col(f"`{lang}`").cast("string").alias("lang"),
                            F.xxhash64(F.col(f"`{key}`")).alias("h")).filter("text is not null and lang is not null")
-    # A share of the hashes bounds the sample of a language without gathering its texts in one place.
-    limits = rows.groupBy("lang").agg(F.count("*").alias("n")).withColumn(
-        "share", F.least(F.lit(1.0), F.lit(float(max_texts)) / F.col("n")))
+    # A share of the hashes bounds the sample of a language; it is looked up, so that texts need no shuffle.
+    sizes = rows.groupBy("lang").count().limit(MAX_LANGUAGES + 1).collect()
+    if len(sizes) > MAX_LANGUAGES:
+        raise ValueError(f"more than {MAX_LANGUAGES} languages")
+    shares = F.create_map(*[F.lit(v) for lang, n in sizes for v in (lang, min(1.0, max_texts / n))])
     spread = (F.col("h").cast("double") + 2.0 ** 63) / 2.0 ** 64
-    picked = rows.join(limits.select("lang", "share"), "lang").filter(spread <= F.col("share"))
+    picked = rows.filter(spread <= shares[F.col("lang")]) if sizes else rows
 
     def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
