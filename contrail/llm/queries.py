@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from contrail.llm import language_id, quality_rules, toxicity
+from contrail.llm import language_id, packing, quality_rules, toxicity
 from contrail.llm.text import fold
 from contrail.llm.url_filters import ALLOW, BLOCK, Rule, judge_urls
 from contrail.session import landed
@@ -96,3 +96,26 @@ def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     scored = docs.withColumn("score", toxicity.score(docs, toxicity_model(spark, docs, sf_dir)))
     return scored.select("doc_id", (fold(F.col("doc_id"), 5) == 0).alias("held_out"), "score",
                          (F.col("score") >= 0.5).cast("int").alias("predicted"))
+
+
+SEQUENCE_TOKENS = 4096
+END_OF_DOCUMENT = 1
+
+
+def tokenizer_path() -> str:
+    """The vocabulary file that the packing query is stated for; it is installed on every machine."""
+    import public_tokenizers
+
+    return public_tokenizers.path("word_bpe_49k.json")
+
+
+def packed_documents(docs: DataFrame) -> DataFrame:
+    pieces = packing.token_pieces(docs, "doc_id", "text", tokenizer_path(), SEQUENCE_TOKENS, END_OF_DOCUMENT,
+                                  with_ids=False)
+    return packing.pack(pieces, SEQUENCE_TOKENS).select(
+        "doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset")
+
+
+@_query
+def op9_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packed_documents(_table(spark, sf_dir, "documents"))
