@@ -7,7 +7,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from contrail.llm import decontaminate, language_id, packing, quality_rules, substring_dedup, toxicity
+from contrail.llm import (
+    decontaminate, language_id, packing, quality_rules, substring_dedup, suffix_dedup, toxicity,
+)
 from contrail.llm.text import fold
 from contrail.llm.url_filters import ALLOW, BLOCK, Rule, judge_urls
 from contrail.session import landed
@@ -180,3 +182,10 @@ kept AS (
 SELECT doc_id, len(w) AS n_words, len(w) - coalesce(n, 0) AS n_removed, sha256(coalesce(kept, '')) AS kept_sha256
 FROM d LEFT JOIN kept USING (doc_id)
 """
+
+
+@_query
+def op3_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = suffix_dedup.dedup_bytes(_table(spark, sf_dir, "documents"), "doc_id", "text")
+    return found.select(F.col("doc").alias("doc_id"), "n_bytes", "n_removed",
+                        F.size("spans").cast("long").alias("n_spans"), F.sha2("kept", 256).alias("kept_sha256"))
