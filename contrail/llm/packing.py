@@ -6,6 +6,7 @@ import functools
 import json
 import re
 import zlib
+from array import array
 from collections.abc import Callable, Iterator
 from heapq import heapify, heappop
 
@@ -21,20 +22,27 @@ from contrail.session import landed
 # Characters whose lower case is one character and which no normal form changes: ASCII and Latin-1 without its signs.
 _PLAIN = re.compile(r"[!-~À-ÖØ-Þß-öø-ÿ]+")
 _BLANKS = re.compile(r"[ \t\n\x0b\x0c\r]+")
-_CACHE = 300_000
+# What str.split takes for blanks and the tokenizers' own pattern does not.
+_SEPARATORS = re.compile(r"[\x1c-\x1f]")
+_REMEMBERED = 500_000
 
 
 class _Memory(dict):
-    """A dictionary that forgets everything when it is full."""
+    """The ids of words or pieces as bytes, worked out when first asked for; forgets everything when it is full."""
 
-    def __setitem__(self, key, value):
-        if len(self) >= _CACHE:
+    def __init__(self, ids_of: Callable[[str], bytes]):
+        super().__init__()
+        self.ids_of = ids_of
+
+    def __missing__(self, key: str) -> bytes:
+        if len(self) >= _REMEMBERED:
             self.clear()
-        super().__setitem__(key, value)
+        ids = self[key] = self.ids_of(key)
+        return ids
 
 
 @functools.cache
-def encoder(path: str) -> Callable[[str], list[int]]:
+def encoder(path: str) -> Callable[[str], np.ndarray]:
     """The ids of a text by a tokenizer file that drops white space, without special tokens.
 
     Such a tokenizer treats each word between blanks for itself, so the ids of words are remembered. Words of plain
@@ -42,40 +50,35 @@ def encoder(path: str) -> Callable[[str], list[int]]:
     """
     from tokenizers import Tokenizer
 
-    whole, spec = Tokenizer.from_file(path), json.load(open(path, encoding="utf-8"))
+    with open(path, encoding="utf-8") as file:
+        spec = json.load(file)
+    whole = Tokenizer.from_file(path)
     model, steps = whole.model, (spec.get("pre_tokenizer") or {}).get("pretokenizers", [])
     split = next((s for s in steps if s["type"] == "Split"), None)
     lowered = json.dumps(spec.get("normalizer")).count('"Lowercase"') == 1
     by_bytes = bool(steps) and steps[-1]["type"] == "ByteLevel" and not steps[-1]["add_prefix_space"]
-    added = [t["content"] for t in spec["added_tokens"]]
+    added = re.compile("|".join(re.escape(t["content"]) for t in spec["added_tokens"]) or "(?!)")
     pattern = regex.compile(split["pattern"]["Regex"]) if split and lowered and by_bytes else None
     printable = [*range(33, 127), *range(161, 173), *range(174, 256)]
     signs = {b: chr(b) for b in printable} | {
         b: chr(256 + k) for k, b in enumerate(b for b in range(256) if b not in printable)}
-    words, pieces = _Memory(), _Memory()
 
-    def of_piece(piece: str) -> list[int]:
-        ids = pieces.get(piece)
-        if ids is None:
-            mapped = piece.encode().decode("latin-1").translate(signs)
-            ids = pieces[piece] = [t.id for t in model.tokenize(mapped)]
-        return ids
+    def of_piece(piece: str) -> bytes:
+        mapped = piece.encode().decode("latin-1").translate(signs)
+        return array("I", [t.id for t in model.tokenize(mapped)]).tobytes()
 
-    def of_word(word: str) -> list[int]:
-        if pattern is None or not _PLAIN.fullmatch(word) or any(t in word for t in added):
-            ids = whole.encode(word, add_special_tokens=False).ids
-        else:
-            ids = [i for piece in pattern.findall(word.lower()) for i in of_piece(piece)]
-        words[word] = ids
-        return ids
+    pieces = _Memory(of_piece)
+
+    def of_word(word: str) -> bytes:
+        if pattern is None or not _PLAIN.fullmatch(word) or added.search(word):
+            return array("I", whole.encode(word, add_special_tokens=False).ids).tobytes()
+        return b"".join(map(pieces.__getitem__, pattern.findall(word.lower())))
+
+    words = _Memory(of_word)
 
-    def of_text(text: str) -> list[int]:
-        out: list[int] = []
-        for word in _BLANKS.split(text):
-            if word:
-                ids = words.get(word)
-                out += of_word(word) if ids is None else ids
-        return out
+    def of_text(text: str) -> np.ndarray:
+        parts = filter(None, _BLANKS.split(text)) if _SEPARATORS.search(text) else text.split()
+        return np.frombuffer(b"".join(map(words.__getitem__, parts)), np.uintc)
 
     return of_text
 
@@ -96,7 +99,7 @@ def token_pieces(docs: DataFrame, key: str, text: str, tokenizer: str, capacity:
         for batch in batches:
             rows = []
             for k, t in enumerate(batch.column(1)):
-                ids = np.array([*encode(t.as_py() or ""), end], "<u4")
+                ids = np.append(encode(t.as_py() or ""), np.uintc(end)).astype("<u4", copy=False)
                 for piece, start in enumerate(range(0, len(ids), capacity)):
                     part = ids[start:start + capacity]
                     rows.append((k, piece, start, len(part), zlib.crc32(part.tobytes()), part))
