@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from contrail.llm import (
-    decontaminate, language_id, packing, quality_rules, substring_dedup, suffix_dedup, toxicity,
+    decontaminate, jaccard_join, language_id, packing, quality_rules, substring_dedup, suffix_dedup, toxicity,
 )
 from contrail.llm.text import fold
 from contrail.llm.url_filters import ALLOW, BLOCK, Rule, judge_urls
@@ -189,3 +189,9 @@ def op3_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = suffix_dedup.dedup_bytes(_table(spark, sf_dir, "documents"), "doc_id", "text")
     return found.select(F.col("doc").alias("doc_id"), "n_bytes", "n_removed",
                         F.size("spans").cast("long").alias("n_spans"), F.sha2("kept", 256).alias("kept_sha256"))
+
+
+@_query
+def op2_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = jaccard_join.near_duplicates(_table(spark, sf_dir, "documents"), "doc_id", "text")
+    return found.select(F.col("doc").alias("doc_id"), "n_shingles", F.col("component").alias("component_id"))
