@@ -8,11 +8,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from contrail.llm import (
-    decontaminate, jaccard_join, language_id, packing, quality_rules, substring_dedup, suffix_dedup, toxicity,
+    decontaminate, jaccard_join, language_id, packing, quality_rules, secret_scan, substring_dedup, suffix_dedup,
+    toxicity,
 )
 from contrail.llm.text import fold
 from contrail.llm.url_filters import ALLOW, BLOCK, Rule, judge_urls
-from contrail.session import landed
+from contrail.llm.tables import landed
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -195,3 +196,17 @@ def op3_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op2_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = jaccard_join.near_duplicates(_table(spark, sf_dir, "documents"), "doc_id", "text")
     return found.select(F.col("doc").alias("doc_id"), "n_shingles", F.col("component").alias("component_id"))
+
+
+def scanned(docs: DataFrame) -> DataFrame:
+    """All findings in the texts with their scores. Labels are the silver ones of documents outside of fold 0 of 5."""
+    found = landed(secret_scan.findings(docs, "doc_id", "text"), "secret-candidates")
+    train = found.filter(fold(F.col("doc"), 5) != 0).withColumn("label", secret_scan.silver_label(found))
+    return secret_scan.fit(train, "label", secret_scan.dictionary(docs, "doc_id", "text")).score(found)
+
+
+@_query
+def op6_secret_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    judged = scanned(_table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return judged.select(F.col("doc").alias("doc_id"), "word", F.length("value").alias("n_chars"),
+                         F.sha2("value", 256).alias("value_sha256"), "score", "secret")
