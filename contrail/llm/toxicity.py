@@ -64,20 +64,22 @@ class LabelModel:
         posterior = np.where(balance > 0, 0.9, np.where(balance < 0, 0.02, prior))
         model = cls(prior, np.full((m, 2, 3), 1 / 3), np.ones(m))
         onehot = np.stack([votes == v for v in (-1, 0, 1)], 2).astype(float)
-        for _ in range(rounds):
+        for turn in range(rounds):
             share = np.stack([1 - posterior, posterior], 1)
             # Two counted-in votes of the overall distribution keep rare voters from certainty.
             base = onehot.mean(0) + 1e-6
             model.chances = (np.einsum("nc,nmv->mcv", share, onehot) + 2 * base[:, None, :]) / (
                 share.sum(0)[None, :, None] + 2)
-            expected = np.einsum("nc,mc->nm", share, model.chances[:, :, 2] - model.chances[:, :, 0])
-            rest = votes - expected
-            rest = rest / np.maximum(rest.std(0), 1e-9)
+            # What the classes leave unexplained; at first by the likelier class, as posteriors still are vague.
+            belief = share if turn >= 5 else np.stack([posterior < 0.5, posterior >= 0.5], 1).astype(float)
+            means = (belief.T @ votes) / np.maximum(belief.sum(0), 1e-9)[:, None]
+            rest = votes - belief @ means
+            rest = rest / np.maximum(rest.std(0), 0.05 * votes.std(0) + 1e-9)  # little is left where classes explain all
             related = np.abs(rest.T @ rest) / max(n, 1)
             np.fill_diagonal(related, 0)
             model.weight = 1 / (1 + np.where(related > 0.1, related, 0).sum(1))
             before, posterior = posterior, model.posterior(votes)
-            if np.abs(posterior - before).max(initial=0) < 1e-6:
+            if turn > 5 and np.abs(posterior - before).max(initial=0) < 1e-6:
                 break
         return model
 
