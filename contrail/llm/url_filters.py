@@ -127,7 +127,7 @@ def judge_urls_by_join(pages: DataFrame, rules: DataFrame, key: str, url: str =
     cuts = F.size(F.split("path", "/")) - 1
     asked = (place.withColumn("_host", F.explode(suffixes)).filter(cuts > 0)
              .withColumn("_path", F.explode(F.transform(F.sequence(F.lit(1), cuts), lambda i: F.concat(
-                 F.substring_index(F.col("path"), "/", i), F.lit("/"))))))
+                 F.call_function("substring_index", F.col("path"), F.lit("/"), i), F.lit("/"))))))
     known = rules.groupBy(F.lower("host").alias("_host"), F.col("path").alias("_path")).agg(
         F.max("verdict").alias("_verdict"))
     best = asked.join(known, ["_host", "_path"]).groupBy(key).agg(F.max(F.struct(
