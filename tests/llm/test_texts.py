@@ -1,0 +1,280 @@
+"""Filters, scans, decontamination, packing and language identification."""
+
+import random
+import zlib
+
+import numpy as np
+import pytest
+from pyspark.sql import functions as F
+
+from contrail.llm import decontaminate, language_id, packing, quality_rules, queries, secret_scan, toxicity, url_filters
+from contrail.llm.url_filters import ALLOW, BLOCK, Rule
+
+import plain
+
+SMALL = "/root/testdata/sf0.01"
+ODD = [None, "", " \n\t", "x", "a b c a b c a b c\nq\nq\n\n \n", "é\xa0日本 # $$ <b>", "w " * 30_000]
+
+
+def frame(spark, texts):
+    rows = [(None if i == 0 else i, t, "z", 7) for i, t in enumerate(texts)]
+    return spark.createDataFrame(rows + rows[-1:], "doc_id long, text string, lang string, n_words int").coalesce(2)
+
+
+def empty(spark):
+    return frame(spark, ["x"]).limit(0)
+
+
+# ---- urls
+
+RULES = [Rule(BLOCK, "net"), Rule(ALLOW, "Example.net", "/en/"), Rule(BLOCK, "a.b.net", "/x"), Rule(ALLOW, "org", "/fr/"),
+         Rule(ALLOW, "same.org"), Rule(BLOCK, "same.org")]
+URLS = [None, "", "no scheme/en/", "http://", "HTTP://X.Net", "http://x.net/", "https://www.EXAMPLE.net/en/a?b#c",
+        "http://example.net/english", "http://a.b.net/xyz/1", "http://q.a.b.net/y", "http://b.net?x=http://c.org/fr/",
+        "http://a.org/fr/#d", "http://a.org/fr", "ftp://same.org/fr/", "http://net.org/", "http://x.net:80/", "a://b://c",
+        "http://example.net\n/en/"]
+
+
+def judged_plainly(url):
+    if url is None or "://" not in url:
+        return "", "", None, ALLOW
+    rest = url.split("://", 1)[1]
+    cut = min([rest.find(c) for c in "/?#" if c in rest] + [len(rest)])
+    host, tail = rest[:cut].translate(plain.UPPER), rest[cut:]
+    path = tail[:min([tail.find(c) for c in "?#" if c in tail] + [len(tail)])]
+    best = None
+    for r in RULES:
+        name = r.host.lower()
+        if (host == name or host.endswith("." + name)) and path.startswith(r.path):
+            rank = (name.count("."), len(r.path), r.verdict == BLOCK)
+            best = max(best or (rank, r), (rank, r), key=lambda x: x[0])
+    return host, path, best and best[1].name, best[1].verdict if best else ALLOW
+
+
+def test_urls_like_a_plain_judge(spark):
+    pages = spark.createDataFrame([(i, u, "h") for i, u in enumerate(URLS)], "page_id int, url string, host string")
+    out = {r.page_id: (r.host, r.path, r.rule, r.verdict) for r in url_filters.judge_urls(pages, RULES).collect()}
+    assert out == {i: judged_plainly(u) for i, u in enumerate(URLS)}
+    assert url_filters.judge_urls(pages.limit(0), RULES).count() == 0
+    assert {r.verdict for r in url_filters.judge_urls(pages, [], otherwise=BLOCK).collect()} == {BLOCK}
+
+
+def test_urls_by_join_agree_with_the_trie(spark):
+    rules = [r for r in RULES if r.path.endswith("/")]
+    pages = spark.createDataFrame([(i, u) for i, u in enumerate(URLS)], "page_id int, url string")
+    table = spark.createDataFrame([(r.verdict, r.host, r.path) for r in rules], "verdict string, host string, path string")
+    a = url_filters.judge_urls(pages, rules).select("page_id", "host", "path", F.lower("rule"), "verdict")
+    b = url_filters.judge_urls_by_join(pages, table, "page_id").select("page_id", "host", "path", "rule", "verdict")
+    assert sorted(map(tuple, a.collect()), key=str) == sorted(map(tuple, b.collect()), key=str)
+
+
+def test_too_many_rules_are_refused(spark, monkeypatch):
+    monkeypatch.setattr(url_filters, "MAX_TRIE_BYTES", 10)
+    with pytest.raises(ValueError):
+        url_filters.judge_urls(spark.createDataFrame([(1, "u")], "page_id int, url string"), RULES)
+
+
+# ---- quality
+
+def test_statistics_like_a_plain_count(spark):
+    texts = ODD + [" ".join(w) for w in plain.random_texts(4, 30, ["a", "b", "c#"], 20)]
+    out = quality_rules.with_statistics(frame(spark, texts)).collect()
+    assert len(out) == len(texts) + 1
+    for r in out:
+        assert (r.n_words, r.word_chars, r.n_symbols, r.n_dup_lines, r.n_repeat_words) == plain.statistics(r.text)
+    assert quality_rules.with_statistics(empty(spark)).count() == 0
+
+
+def test_rules_are_found_and_nothing_without_labels(spark):
+    rng = random.Random(1)
+    rows = []
+    for i in range(600):
+        bad = i % 4 == 0
+        rows.append((i, int(bad), " ".join(rng.choice(["ab#", "cd"] if bad else ["ab", "cd", "efg", "hi"]) + str(rng.random())
+                                           for _ in range(rng.randint(30, 60)))))
+    texts = spark.createDataFrame(rows, "doc_id long, bad int, text string")
+    stats = quality_rules.with_statistics(texts)
+    found = quality_rules.learn(stats, "doc_id", F.col("bad") == 1)
+    assert found.rules
+    out = stats.select("bad", found.kept().alias("kept")).collect()
+    assert sum(r.kept != (r.bad == 0) for r in out) <= 6
+    for marks in (F.lit(None).cast("boolean"), F.lit(True), F.lit(False)):
+        assert not quality_rules.learn(stats, "doc_id", marks).rules
+    assert not quality_rules.learn(stats.limit(0), "doc_id", F.col("bad") == 1).rules
+    assert str(quality_rules.DecisionList()) == "keep everything"
+
+
+# ---- decontamination
+
+ITEMS = [(1, " ".join(f"q{i}" for i in range(25))), (2, "one two three"), (None, "Lone item of five words"), (3, None),
+         (4, "..."), (5, " ".join(f"q{i}" for i in range(12))), (2, "again"), (6, "é1 日本 z")]
+
+
+def test_contamination_like_a_plain_search(spark):
+    q = [f"Q{i}," for i in range(25)]
+    texts = ODD + [" ".join(q[3:13]), " ".join(q[3:12]), "x one TWO-three. one two", "lone ITEM of five words lone",
+                   "pre " + " ".join(q) + " mid " + " ".join(q[:11]), "É1 é1 日本 z again", " ".join(q[:10] + q[:10])]
+    texts += [" ".join(w) for w in plain.random_texts(6, 10, ["one", "two", "three", "q1"], 15)]
+    items = spark.createDataFrame([(i, t, 0) for i, t in ITEMS], "item_id long, text string, n_hit int")
+    out = decontaminate.contamination(frame(spark, texts), items, "doc_id", "text", "item_id", "text").collect()
+    assert len(out) == len(texts) + 1
+    by = {r.doc_id: r for r in out}
+    for i, t in enumerate(texts):
+        w, places, found = plain.hits(t, ITEMS)
+        r = by[None if i == 0 else i]
+        assert (r.n_words, r.n_hit) == (len(w), len(places))
+        assert list(r["items"]) == [x for x in found if x != "None"]
+        assert {k for s in r.spans for k in range(s.begin, s.end)} == places
+    none = decontaminate.contamination(frame(spark, ODD), items.limit(0), "doc_id", "text", "item_id", "text")
+    assert {r.n_hit for r in none.collect()} == {0}
+    assert decontaminate.contamination(empty(spark), items, "doc_id", "text", "item_id", "text").count() == 0
+
+
+# ---- packing
+
+def test_pieces_are_the_tokenizers_ids(spark):
+    from tokenizers import Tokenizer
+
+    texts = ODD + ["Don't STOP_the 42nd,test!! naïve İstanbul ΑΣ", "a\x1cb\x85c\xa0d", "<|endoftext|>x", "it's'tis e\u0301"]
+    whole = Tokenizer.from_file(queries.tokenizer_path())
+    out = packing.token_pieces(frame(spark, texts), "doc_id", "text", queries.tokenizer_path(), 4096, 1).collect()
+    got = {}
+    for r in sorted(out, key=lambda r: r.piece):
+        assert r.ids_crc32 == zlib.crc32(np.array(r.ids, "<u4").tobytes()) and r.length == len(r.ids)
+        got.setdefault(r.doc_id, []).append(r)
+    for i, t in enumerate(texts):
+        rows = got[None if i == 0 else i]
+        ids = whole.encode(t or "", add_special_tokens=False).ids + [1]
+        if i == len(texts) - 1:  # the repeated row
+            rows = rows[::2]
+        assert [x for r in rows for x in r.ids] == ids
+        assert [r.start for r in rows] == [4096 * k for k in range(len(rows))]
+
+
+def test_packing_leaves_no_gap(spark):
+    rng = random.Random(2)
+    rows = [(i, min(100, 1 + int(rng.expovariate(1 / 30)))) for i in range(900)] + [(None, 100), (5, 1), (5, 1)]
+    pieces = spark.createDataFrame(rows, "doc_id long, length long")
+    out = packing.pack(pieces, 100, group_size=200).toPandas()
+    assert len(out) == len(rows)
+    out = out.sort_values(["sequence_id", "offset"])
+    ends = out.groupby("sequence_id")["length"].cumsum()
+    assert (ends - out["length"] == out["offset"]).all() and ends.max() <= 100
+    assert out["sequence_id"].nunique() <= 1.01 * sum(n for _, n in rows) / 100 + 2
+    assert packing.pack(pieces.limit(0), 100).count() == 0
+    for wrong in (0, 101, None):
+        with pytest.raises(ValueError):
+            packing.pack(spark.createDataFrame([(1, wrong)], "doc_id long, length long"), 100)
+
+
+def test_local_search_empties_bins():
+    # Best fit decreasing needs three bins here; exchanges find the two that hold everything.
+    lengths = np.array([6, 5, 5, 4])
+    assert packing.local_search(lengths, np.array([0, 1, 2, 1]), 10).max() == 1
+    rng = np.random.default_rng(3)
+    for _ in range(20):
+        lengths = rng.integers(1, 60, 200)
+        first = packing.best_fit(lengths, 100)
+        last = packing.local_search(lengths, first, 100)
+        assert np.bincount(last, lengths).max() <= 100 and last.max() <= first.max()
+        assert last.max() + 1 >= -(-lengths.sum() // 100)
+
+
+# ---- language
+
+def test_language_by_plain_distance_and_odd_texts(spark):
+    rows = [("en", "the cat and the dog in the house"), ("de", "der hund und die katze in dem haus"), (None, "zzz"),
+            ("fr", None), ("en", "this and that and the other")]
+    train = spark.createDataFrame([(i, lang, t) for i, (lang, t) in enumerate(rows)], "k int, lang string, t string")
+    profiles = language_id.fit_profiles(train, "t", "lang", "k", size=50)
+    assert profiles.languages == ["de", "en"]
+    texts = ["the house", "das haus und", None, "", "12 ., ", "ÉÉ", "THE HOUSE", "t" * 200_000]
+    docs = spark.createDataFrame([(i, t, 0.5) for i, t in enumerate(texts)], "k int, text string, score double")
+    out = {r.k: (r.lang_pred, r.score) for r in language_id.identify(docs, profiles).collect()}
+    assert out[0][0] == out[6][0] == "en" and out[1][0] == "de" and out[0] == out[6]
+    assert [out[k] for k in (2, 3, 4)] == [("und", 0.0)] * 3
+    assert all(0 <= s <= 1 for _, s in out.values())
+    for k, text in ((0, texts[0]), (1, texts[1])):
+        own = language_id._top(*language_id.ngrams(text), 50).tolist()
+        away = {}
+        for name, grams, ranks in zip(profiles.languages, profiles.grams, profiles.ranks):
+            place = dict(zip(grams.tolist(), ranks.tolist()))
+            away[name] = sum(min(50, abs(place[g] - i)) if g in place else 50 for i, g in enumerate(own))
+        assert out[k][0] == min(away, key=away.get)
+    nothing = language_id.fit_profiles(train.limit(0), "t", "lang", "k")
+    assert {r.lang_pred for r in language_id.identify(docs, nothing).collect()} == {"und"}
+
+
+def test_languages_of_held_out_documents(spark):
+    lang = spark.read.parquet(f"{SMALL}/documents.parquet").select("doc_id", "lang")
+    out = queries.QUERIES["op10_language_id"](spark, SMALL).join(lang, "doc_id").filter("held_out")
+    right, total = out.agg(F.avg((F.col("lang") == F.col("lang_pred")).cast("int")), F.count("*")).first()
+    assert total > 150 and right > 0.98
+
+
+# ---- toxicity
+
+def test_toxicity_of_held_out_documents(spark):
+    labels = spark.read.parquet(f"{SMALL}/labels.parquet")
+    out = queries.QUERIES["op5_toxicity"](spark, SMALL).join(labels, "doc_id").filter("held_out").toPandas()
+    assert (out.predicted[out.toxic == 1]).mean() > 0.7 and (out.predicted[out.toxic == 0]).mean() < 0.06
+
+
+def test_the_label_model_finds_good_voters():
+    rng = np.random.default_rng(1)
+    truth = rng.random(4000) < 0.2
+    votes = np.zeros((4000, 6), int)
+    for v, (right, wrong) in enumerate([(0.8, 0.02), (0.7, 0.05), (0.6, 0.02), (0.1, 0.1), (0.5, 0.05)]):
+        votes[:, v] = rng.random(4000) < np.where(truth, right, wrong)
+    votes[:, 5] = votes[:, 4]  # a copy, whose evidence must not count twice
+    model = toxicity.LabelModel.fit(votes, 0.2)
+    assert ((model.posterior(votes) > 0.5) == truth).mean() > 0.95
+    gain = model.chances[:, 1, 2] / model.chances[:, 0, 2]
+    assert gain[0] > 5 and gain[3] < 2 and model.weight[4] < model.weight[0] - 0.1
+
+
+def test_toxicity_of_odd_texts_and_labels(spark):
+    docs = frame(spark, ODD)
+    for labels in (F.lit(None).cast("int"), F.lit(1), F.lit(7)):
+        model = toxicity.fit(docs.withColumn("y", labels), "text", "y", "doc_id")
+        scores = {r[0] for r in docs.select(toxicity.score(docs, model)).collect()}
+        assert len(scores) == 1 and 0 < scores.pop() < 0.5
+    rows = [(i, "you stinker " + "ab cd ef " * (i % 5) if i % 4 == 0 else "ab cd ef gh " * (1 + i % 5), int(i % 4 == 0))
+            for i in range(200)]
+    model = toxicity.fit(spark.createDataFrame(rows, "doc_id long, text string, y int"), "text", "y", "doc_id")
+    scores = {r.text: r.s for r in docs.select("text", toxicity.score(docs, model).alias("s")).collect()}
+    assert scores[None] == scores[""] and max(scores.values()) < 0.5
+    assert model.score("you STINKER!") > 0.5 > model.score("ab cd")
+
+
+# ---- secrets
+
+def test_secrets_are_told_from_lookalikes(spark):
+    rng = random.Random(8)
+    hexed = lambda: "".join(rng.choice("0123456789abcdef") for _ in range(32))
+    texts, truth = [], {}
+    for i in range(300):
+        kind = i % 3
+        value = hexed() if kind == 0 else f"someone.{i}@mail{i}.example.com" if kind == 1 else str(10 ** 15 + i)
+        texts.append((i, f'some words token = "{value}" end' if kind == 0 else f"write to {value} now"))
+        truth[i] = kind == 0
+    docs = spark.createDataFrame(texts, "doc_id long, text string")
+    found = secret_scan.findings(docs, "doc_id", "text")
+    label = secret_scan.silver_label(found)
+    scanner = secret_scan.fit(found.filter("doc % 2 = 0").withColumn("y", label), "y",
+                              secret_scan.dictionary(docs, "doc_id", "text"))
+    judged = scanner.score(found)
+    assert {r.doc: r.secret for r in judged.collect()} == truth
+    masked = {r.doc_id: r.text for r in secret_scan.mask(
+        docs, judged.filter("secret").select("doc", "value"), "doc_id", "text").collect()}
+    assert masked[0] == 'some words token = "<secret>" end' and masked[1] == texts[1][1] and len(masked) == 300
+
+
+def test_findings_of_odd_texts(spark):
+    docs = frame(spark, ODD + ["key=Ab1" + "x" * 20_000, "aaaaBBBBccccDDDD1 aaaaBBBBccccDDDD1", "abcdefghijklmnopqrstu"])
+    found = secret_scan.findings(docs, "doc_id", "text").collect()
+    # Plain words are no candidates; a row is found as often as it is there, a value as often as the text has it.
+    assert sorted((r.doc, r.word) for r in found) == [(7, 0), (8, 0), (8, 1)]
+    assert secret_scan.findings(empty(spark), "doc_id", "text").count() == 0
+    scanner = secret_scan.fit(secret_scan.findings(docs, "doc_id", "text").withColumn("y", F.lit(1)), "y", [])
+    assert {r.secret for r in scanner.score(secret_scan.findings(docs, "doc_id", "text")).collect()} == {True}
