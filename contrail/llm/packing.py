@@ -24,7 +24,7 @@ _PLAIN = re.compile(r"[!-~À-ÖØ-Þß-öø-ÿ]+")
 _BLANKS = re.compile(r"[ \t\n\x0b\x0c\r]+")
 # What str.split takes for blanks and the tokenizers' own pattern does not.
 _SEPARATORS = re.compile(r"[\x1c-\x1f]")
-_REMEMBERED = 500_000
+_REMEMBERED = 200_000
 
 
 class _Memory(dict):
