@@ -15,6 +15,8 @@ FIRST_EPOCH = -62135596800
 END_EPOCH = 253402300800
 # Fixed value: JSON numbers and containers that count as false.
 FALSY_JSON = r"^(\[\]|\{\}|-?0(\.0*)?([eE].*)?)$"
+# Text that only Java reads as a number.
+JAVA_NUMBER = r"(?i)^\s*[+-]?(0x.*|.*[0-9.][df]\s*)$"
 
 
 def json_type(raw: Column) -> Column:
@@ -28,6 +30,12 @@ def read(raw: Column, type_name: str) -> Column:
     return F.try_variant_get(raw, "$", type_name)
 
 
+def read_number(raw: Column) -> Column:
+    """A number, also from text. The engine takes Java's type suffixes and hexadecimal text for numbers; these are
+    none here."""
+    return F.when(~F.coalesce(read(raw, "string").rlike(JAVA_NUMBER), F.lit(False)), read(raw, "double"))
+
+
 def truth(raw: Column, kind: Column) -> Column:
     """Truthiness: any non-empty text is true, also ``"false"``; zero and empty containers are false."""
     return (

@@ -51,22 +51,29 @@ def dedupe_ttl(
     tiebreak = list(tiebreak) or [c for c in carried if c != clock]
     at = F.col(clock).cast("long")
     keyed = df.where(F.col(clock).isNotNull()).select(
-        _key(keys).alias("_k"), _slot(at, span).alias("_slot"), at.alias("_t"), F.struct(*carried).alias("_row"),
+        _key(keys).alias("_k"), _slot(at, span).alias("_slot"), at.alias("_t"), F.lit(False).alias("_old"),
+        F.struct(*carried).alias("_row"),
     )
-    rows = _first_per_instant(keyed, tiebreak)
     if seen is not None:
-        rows = _after_seen(rows, seen, keys, clock, ttl)
+        # An earlier acceptance takes its place in the time line like a row, and is left out at the end.
+        past = seen.select(_key(keys).alias("_k"), F.col(clock).cast("long").alias("_t")).select(
+            "_k", _slot(F.col("_t"), span).alias("_slot"), "_t", F.lit(True).alias("_old"))
+        keyed = keyed.unionByName(past, allowMissingColumns=True)
+    rows = _first_per_instant(keyed, tiebreak)
 
-    # Repeats make no difference to what slots inherit, so this reads keys and clocks straight from the input.
-    inherited = _inherited((keyed if seen is None else rows).select("_k", "_slot", "_t"), ttl, span)
+    # Repeats make no difference to what slots inherit, so this reads keys and clocks straight from the input, and
+    # instants are combined in the tasks before anything else.
+    inherited = _inherited(keyed.select("_k", "_slot", "_t").distinct(), ttl, span)
     # What a slot inherits travels with its rows, so this is one shuffle and no join.
-    both = rows.select("_k", "_slot", F.struct("_t", "_row").alias("_at"), F.lit(None).cast("long").alias("_last"))
+    both = rows.select("_k", "_slot", F.struct("_t", "_old", "_row").alias("_at"),
+                       F.lit(None).cast("long").alias("_last"))
     both = both.unionByName(inherited.select("_k", "_slot", "_last"), allowMissingColumns=True)
     by_slot = both.groupBy("_k", "_slot").agg(
         F.array_sort(F.collect_list("_at")).alias("_rows"), F.max("_last").alias("_last")
     )
     passed = by_slot.select("_k", F.explode(_walk(F.col("_rows"), F.col("_last"), ttl)).alias("_passed"))
-    return passed.select(*[F.col(f"_k.{c}" if c in keys else f"_passed._row.{c}") for c in columns])
+    return passed.where(~F.col("_passed._old")).select(
+        *[F.col(f"_k.{c}" if c in keys else f"_passed._row.{c}") for c in columns])
 
 
 def _slot(at: Column, span: int) -> Column:
@@ -81,18 +88,11 @@ def _key(keys: Sequence[str]) -> Column:
 
 def _first_per_instant(keyed: DataFrame, tiebreak: Sequence[str]) -> DataFrame:
     order = Window.partitionBy("_k", "_slot", "_t").orderBy(
-        *[F.col(f"_row.{c}").asc_nulls_last() for c in tiebreak] or [F.lit(0)]
+        F.desc("_old"), *[F.col(f"_row.{c}").asc_nulls_last() for c in tiebreak]
     )
     return keyed.withColumn("_n", F.row_number().over(order)).where("_n = 1").drop("_n")
 
 
-def _after_seen(rows: DataFrame, seen: DataFrame, keys: Sequence[str], clock: str, ttl: int) -> DataFrame:
-    last = seen.select(_key(keys).alias("_k"), F.col(clock).cast("long").alias("_seen"))
-    return rows.join(last, "_k", "left").where(F.col("_seen").isNull() | (F.col("_t") >= F.col("_seen") + ttl)).drop(
-        "_seen"
-    )
-
-
 def _inherited(instants: DataFrame, ttl: int, span: int) -> DataFrame:
     """(key, slot, last acceptance before the slot) for the slots where it matters."""
     into_slot = F.col("_t") - F.col("_slot") * span

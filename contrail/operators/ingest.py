@@ -81,7 +81,8 @@ def normalize_vectors(
     )
     valued = typed.select(
         *carried, *kind.values(), *[raw[name] for name in (*_LENIENT, "icao24")],
-        *[coerce.read(raw[name], as_type).alias(f"_{name}") for name, as_type in _READ_AS.items()],
+        *[(coerce.read_number(raw[name]) if name in _LENIENT else coerce.read(raw[name], as_type)).alias(f"_{name}")
+          for name, as_type in _READ_AS.items()],
         *[coerce.truth(raw[name], kind[name]).alias(f"_{name}") for name in ("on_ground", "spi")],
     )
 

@@ -83,5 +83,11 @@ def absent_rows(new: DataFrame, existing: DataFrame, key: list[str]) -> DataFram
 
 
 def insert_if_absent(new: DataFrame, existing: DataFrame, key: list[str]) -> DataFrame:
-    """``existing`` plus the rows of ``new`` with a key it does not hold."""
-    return existing.unionByName(absent_rows(new, existing, key).select(*existing.columns))
+    """``existing``, which holds a key once, plus a row of ``new`` for each key it does not hold.
+
+    Both sides enter one aggregate in which a stored row comes first, so each is read once and shuffled once.
+    """
+    columns = existing.columns
+    values = F.struct("_new", *[c for c in columns if c not in key])
+    both = existing.withColumn("_new", F.lit(1)).unionByName(new.select(*columns).withColumn("_new", F.lit(2)))
+    return both.groupBy(*key).agg(F.min(values).alias("_row")).select(*key, "_row.*").select(*columns)

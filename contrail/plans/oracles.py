@@ -253,3 +253,21 @@ ORACLES: dict[str, str] = {
     "union all select 'telemetry_quality_5m', window_start, '', cast(total_messages as double) from quality",
 }
 ORACLES["dedupe_stream"] = ORACLES["dedupe_ttl"]
+ORACLES["insert_absent_stream"] = ORACLES["airspace_grid_5m_stream"]
+ORACLES["grid_live_view"] = ORACLES["airspace_grid_5m"]
+ORACLES["pipeline_tables"] = (
+    _with("telemetry", "grid", "quality")
+    + "select 'realtime_flight_state' as table_name, date_trunc('second', max(event_ts)) as at, icao24 as row_key, "
+    "1.0e0 as amount from telemetry group by icao24 "
+    "union all select 'realtime_airspace_grid_5m', window_start, grid_cell, cast(aircraft_count as double) from grid "
+    "where window_end <= (select max(event_ts) from telemetry where lat is not null and lon is not null) "
+    "- interval '10 minutes' "
+    "union all select 'telemetry_quality_5m', window_start, '', cast(total_messages as double) from quality "
+    "where window_end <= (select max(event_ts) from telemetry) - interval '10 minutes'"
+)
+for _name, _delay in (("traffic_hourly", "1 hour"), ("traffic_5m", "10 minutes")):
+    _head, _, _query = ORACLES[_name].rpartition("select ")
+    ORACLES[f"{_name}_stream"] = (
+        f"{_head}select * from (select {_query}) where end_time <= (select max(reading_ts) from traffic) "
+        f"- interval '{_delay}'"
+    )

@@ -5,6 +5,8 @@ Timestamps leave as zone-less timestamps and averages rounded to six digits, so
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
 from contrail.functions import bbox_id
@@ -16,10 +18,14 @@ from contrail.operators import (
     traffic_hourly, vector_fields, vector_from_text, with_event_text, within_bbox,
 )
 from contrail.plans import projections as P
-from contrail.schemas import GRID_5M, SCHEMA_VERSION, STATE, TELEMETRY
-from contrail.session import configure, landed, spread, work_dir
-from contrail.sources import FolderTarget, export_snapshots as write_snapshots, load_table
-from contrail.streaming import append_windows, dedupe_stream as dedupe_batches
+from contrail.schemas import (
+    DEDUPE_KEYS, GRID_5M, QUALITY_5M, SCHEMA_VERSION, STATE, TELEMETRY, TRAFFIC_1H, TRAFFIC_5M, Table,
+)
+from contrail.session import configure, landed, work_dir
+from contrail.sources import FolderTarget, export_snapshots as write_snapshots, load_table, read_event_stream
+from contrail.streaming import (
+    append_windows, dedupe_stream as dedupe_batches, insert_absent_windows, start_pipeline, start_traffic,
+)
 
 BOX = (25.0, 45.0, -110.0, -80.0)
 REPLAY_KEYS = ("icao24", "last_contact", "lat", "lon", "altitude_m", "velocity_mps")
@@ -41,11 +47,6 @@ def _events(spark: SparkSession, sf_dir: str) -> DataFrame:
     return P.events(configure(spark), sf_dir)
 
 
-def _spread_events(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """For queries that spend their time in building or reading JSON."""
-    return spread(_events(spark, sf_dir))
-
-
 def _telemetry(spark: SparkSession, sf_dir: str) -> DataFrame:
     return P.telemetry(_events(spark, sf_dir))
 
@@ -82,7 +83,7 @@ def _damaged_messages(telemetry: DataFrame) -> DataFrame:
 
 
 def q_parse_events(spark: SparkSession, sf_dir: str) -> DataFrame:
-    parsed = parse_events(_damaged_messages(P.telemetry(_spread_events(spark, sf_dir))))
+    parsed = parse_events(_damaged_messages(P.telemetry(_events(spark, sf_dir))))
     good = F.col("dead").isNull()
     names = ["icao24", "callsign", "source", "lat", "lon", "altitude_m", "velocity_mps", "heading_deg",
              "vertical_rate_mps", "on_ground", "event_ts", "ingestion_ts"]
@@ -93,14 +94,14 @@ def q_parse_events(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def q_parse_readings(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = P.readings(_spread_events(spark, sf_dir))
+    rows = P.readings(_events(spark, sf_dir))
     text = F.date_format("timestamp", "yyyy-MM-dd'T'HH:mm:ss'Z'")
     raw = rows.withColumn("timestamp", text).select(F.to_json(F.struct("*")).cast("binary").alias("value"))
     return _out(parse_readings(raw))
 
 
 def q_event_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = with_event_text(P.telemetry(_spread_events(spark, sf_dir)), "events", SCHEMA_VERSION)
+    rows = with_event_text(P.telemetry(_events(spark, sf_dir)), "events", SCHEMA_VERSION)
     body = F.col("value").cast("string")
     read = to_event_messages(rows).select(
         F.col("key").cast("string").alias("message_key"), F.size(F.json_object_keys(body)).alias("fields"),
@@ -122,7 +123,7 @@ def _polls(vectors: DataFrame) -> DataFrame:
 
 
 def q_explode_state_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = explode_state_vectors(_polls(P.vectors(_spread_events(spark, sf_dir))))
+    rows = explode_state_vectors(_polls(P.vectors(_events(spark, sf_dir))))
     field = vector_fields(F.col("state"))
 
     def read(name: str, type_name: str) -> Column:
@@ -137,12 +138,12 @@ def q_explode_state_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def q_normalize_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
-    valid, _ = route_events(_normalized(P.vectors(_spread_events(spark, sf_dir))))
+    valid, _ = route_events(_normalized(P.vectors(_events(spark, sf_dir))))
     return valid.select("event_id", "altitude_suppressed", *TELEMETRY.fieldNames())
 
 
 def _dead(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return route_events(_normalized(P.vectors(_spread_events(spark, sf_dir))))[1]
+    return route_events(_normalized(P.vectors(_events(spark, sf_dir))))[1]
 
 
 def q_route_dlq(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -166,14 +167,14 @@ def q_dlq_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def q_ingest_counters(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The normalised rows are written once: counting and de-duplication read them several times, a few columns each."""
-    normalized = landed(_normalized(P.repolled(_spread_events(spark, sf_dir))), "normalized")
+    normalized = landed(_normalized(P.repolled(_events(spark, sf_dir))), "normalized")
     valid, _ = route_events(normalized)
-    clocked = valid.withColumn("clock_s", clock_seconds(F.col("ingestion_ts")))
+    clocked = valid.select(*DEDUPE_KEYS, "event_id", "poll_id", clock_seconds(F.col("ingestion_ts")).alias("clock_s"))
     return ingest_counters(normalized, dedupe_ttl(clocked, tiebreak=["event_id"]))
 
 
 def q_dedupe_ttl(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _out(dedupe_ttl(P.replays(_spread_events(spark, sf_dir)), REPLAY_KEYS))
+    return _out(dedupe_ttl(P.replays(_events(spark, sf_dir)), REPLAY_KEYS))
 
 
 def q_dedupe_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -182,10 +183,10 @@ def q_dedupe_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     target = FolderTarget(f"{base}/tables")
 
     def keep(passed: DataFrame, batch_id: int) -> None:
-        """Passed rows already lie in the target's folder."""
+        passed.write.mode("overwrite").parquet(f"{base}/passed/batch={batch_id}")
 
     _run_stream(rows, dedupe_batches(target, keep, REPLAY_KEYS), f"{base}/checkpoint", "append")
-    passed = spark.read.schema(rows.schema).parquet(target.path("dedupe_passed"))
+    passed = spark.read.schema(rows.schema).parquet(f"{base}/passed")
     return _out(passed.select(*rows.columns))
 
 
@@ -308,5 +309,89 @@ def q_export_snapshots(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+# running pipelines
+
+def _fed(rows: DataFrame, time: str, to_messages: Callable[[DataFrame], DataFrame],
+         start: Callable[[DataFrame, str], dict], base: str, turns: int = 3) -> None:
+    """Land rows as messages in several turns, in time order, and let the queries catch up after each: several
+    batches, and a restart from the checkpoint between them."""
+    spark = rows.sparkSession
+    seconds = F.unix_timestamp(time)
+    low, high = rows.agg(F.min(seconds), F.max(seconds)).first()
+    step = (high - low) // turns + 1
+    for turn in range(turns):
+        part = rows.where((seconds >= low + turn * step) & (seconds < low + (turn + 1) * step))
+        to_messages(part).select("key", "value").write.mode("append").parquet(f"{base}/in")
+        raw = read_event_stream(spark, "parquet", f"{base}/in")
+        for query in start(raw, f"{base}/checkpoint").values():
+            query.awaitTermination()
+
+
+def _run_pipeline(spark: SparkSession, sf_dir: str, mode: str) -> FolderTarget:
+    base = work_dir(spark, "pipeline")
+    target = FolderTarget(f"{base}/tables")
+    _fed(_telemetry(spark, sf_dir), "event_ts",
+         lambda part: to_event_messages(with_event_text(part, "events", SCHEMA_VERSION)),
+         lambda raw, checkpoint: start_pipeline(raw, target, checkpoint, mode, trigger={"availableNow": True}), base)
+    return target
+
+
+def q_pipeline_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
+    target = _run_pipeline(spark, sf_dir, "append")
+
+    def rows(table: Table, at: str, key: str, amount: str) -> DataFrame:
+        return target.read(spark, table.name).select(
+            F.lit(table.name).alias("table_name"), F.col(at).alias("at"), F.expr(key).alias("row_key"),
+            F.expr(amount).cast("double").alias("amount"))
+
+    return _out(rows(STATE, "last_event_time_utc", "icao24", "1")
+                .unionByName(rows(GRID_5M, "window_start", "grid_cell", "aircraft_count"))
+                .unionByName(rows(QUALITY_5M, "window_start", "''", "total_messages")))
+
+
+def q_grid_live_view(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Open windows too, each as it was last emitted."""
+    grid = _run_pipeline(spark, sf_dir, "update").read(spark, GRID_5M.name)
+    return _out(grid.withColumn("aircraft_count", F.col("aircraft_count").cast("bigint")))
+
+
+def q_insert_absent_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every batch is written twice, as after a failure."""
+    base = work_dir(spark, "absent")
+    target = FolderTarget(f"{base}/tables")
+    write = insert_absent_windows(target, GRID_5M)
+
+    def twice(batch: DataFrame, batch_id: int) -> None:
+        write(batch, batch_id)
+        write(batch, batch_id)
+
+    rows = P.telemetry(P.events_stream(configure(spark), sf_dir))
+    _run_stream(airspace_grid_5m(rows), twice, f"{base}/checkpoint", "append")
+    return _out(target.windows(spark, GRID_5M).withColumn("aircraft_count", F.col("aircraft_count").cast("bigint")))
+
+
+def _run_traffic(spark: SparkSession, sf_dir: str) -> FolderTarget:
+    base = work_dir(spark, "traffic")
+    target = FolderTarget(f"{base}/tables")
+
+    def messages(part: DataFrame) -> DataFrame:
+        text = part.withColumn("timestamp", F.date_format("timestamp", "yyyy-MM-dd'T'HH:mm:ss'Z'"))
+        return text.select(F.lit(None).cast("binary").alias("key"), F.to_json(F.struct("*")).cast("binary").alias("value"))
+
+    # Both queries read the whole stream, so it is fed in one order for both.
+    _fed(P.readings(_events(spark, sf_dir)), "timestamp", messages,
+         lambda raw, checkpoint: start_traffic(raw, target, checkpoint, trigger={"availableNow": True}), base)
+    return target
+
+
+def q_traffic_hourly_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _out(_run_traffic(spark, sf_dir).windows(spark, TRAFFIC_1H))
+
+
+def q_traffic_5m_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = _run_traffic(spark, sf_dir).windows(spark, TRAFFIC_5M)
+    return _out(rows.withColumn("data_points", F.col("data_points").cast("bigint")))
+
+
 def registry() -> dict:
     return {name[2:]: function for name, function in globals().items() if name.startswith("q_")}

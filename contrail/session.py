@@ -12,13 +12,11 @@ from pyspark.sql import DataFrame, SparkSession
 # Settings that change results, the state layout or the shape of generated code, as opposed to sizing, which belongs
 # to the cluster. Event times are read in the session zone, so the zone is part of the contract. The method limit is
 # the JVM's own: beyond it generated methods are not compiled, and the wide normaliser runs twice as fast split up.
-# Snapshots of other writers may hold nanosecond times, which are otherwise refused; see ``sources.tables.conform``.
 CONTRACT = {
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.codegen.hugeMethodLimit": "8000",
-    "spark.sql.legacy.parquet.nanosAsLong": "true",
     "spark.sql.streaming.stateStore.providerClass":
         "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
     "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
@@ -76,12 +74,3 @@ def landed(df: DataFrame, purpose: str) -> DataFrame:
     path = work_dir(df.sparkSession, purpose)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
-
-
-def spread(df: DataFrame) -> DataFrame:
-    """Give an input of fewer partitions than cores to all cores, before work that is heavy per row.
-
-    An input that already has a partition per core, as any large one has, is returned as it is, without a shuffle.
-    """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df

@@ -3,8 +3,10 @@
 from __future__ import annotations
 
 import datetime
+import time
 from dataclasses import dataclass
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
 from contrail.operators.latest import latest_per_key, merge_state
@@ -28,7 +30,16 @@ def conform(df: DataFrame, table: Table) -> DataFrame:
 
 def read_snapshot(spark: SparkSession, base: str, name: str) -> DataFrame:
     """``<base>/<name>.parquet``. A missing path fails at once with PATH_NOT_FOUND."""
-    found = spark.read.parquet(f"{base}/{name}.parquet")
+    path = f"{base}/{name}.parquet"
+    try:
+        found = spark.read.parquet(path)
+    except AnalysisException as error:
+        if "TIMESTAMP(NANOS" not in str(error):
+            raise
+        # Only such files need this setting, which holds for the session from then on, as it also counts when rows are
+        # read; see ``conform``.
+        spark.conf.set("spark.sql.legacy.parquet.nanosAsLong", "true")
+        found = spark.read.parquet(path)
     return conform(found, BY_NAME[name]) if name in BY_NAME else found
 
 
@@ -54,29 +65,54 @@ def load_table(
     raise ValueError("mode is 'snapshot' or 'postgres'")
 
 
+PARTS = ("window_date date", "run string", "batch bigint")
+
+
 def ensure_table(spark: SparkSession, table: Table, path: str) -> None:
-    """Create the catalog table over ``path`` unless it exists; window tables are partitioned by date."""
+    """Create the catalog table over ``path`` unless it exists, laid out as ``FolderTarget`` writes window tables."""
     columns = [f"{f.name} {f.dataType.simpleString()}{'' if f.nullable else ' NOT NULL'}" for f in table.schema]
     partitioned = ""
     if table.window:
-        columns.append("window_date date")
-        partitioned = " PARTITIONED BY (window_date)"
+        columns += PARTS
+        partitioned = f" PARTITIONED BY ({', '.join(p.split()[0] for p in PARTS)})"
     spark.sql(
         f"CREATE TABLE IF NOT EXISTS {table.name} ({', '.join(columns)}) USING parquet{partitioned} LOCATION '{path}'"
     )
 
 
+def run_id(spark: SparkSession) -> str:
+    """Which run a batch belongs to: the id of the streaming query, which a new checkpoint changes and a restart does
+    not; ``direct`` where a writer is called outside of a query."""
+    return spark.sparkContext.getLocalProperty("sql.streaming.queryId") or "direct"
+
+
+@dataclass(frozen=True, order=True)
+class Version:
+    """A whole copy of a keyed table, and the batch that wrote it."""
+
+    number: int
+    run: str
+    batch: int
+
+    @property
+    def folder(self) -> str:
+        return f"v={self.number}+{self.run}+{self.batch}"
+
+
 @dataclass(frozen=True)
 class FolderTarget:
     """Tables below one shared folder.
 
-    Window tables take one sub-folder per batch, split by window date, which a replayed batch overwrites. Keyed
-    tables are whole versions ``v=<batch>``; a version counts once its success marker is there, so a reader never
-    sees a half-written one, and a replayed batch starts from the version before it.
+    Window tables are split by window date, run and batch, in this order; a replayed batch overwrites its own folders,
+    and a query with a new checkpoint, whose batches are numbered anew, is another run. ``compact`` puts the folders
+    of closed days together. Keyed tables are whole versions, numbered on over all runs; a version counts once its
+    success marker is there, so a reader never sees a half-written one, and a replayed batch starts from the version
+    before its own. Versions are kept for ``keep_hours``, which must be longer than any read takes, and the newest two
+    whatever their age.
     """
 
     base: str
-    keep_versions: int = 3
+    keep_hours: float = 24.0
 
     def path(self, table: Table | str) -> str:
         return f"{self.base}/{table if isinstance(table, str) else table.name}"
@@ -84,23 +120,75 @@ class FolderTarget:
     # window tables
 
     def append(self, rows: DataFrame, table: Table, batch_id: int) -> None:
-        dated = conform(rows, table).withColumn("window_date", F.to_date(F.col(table.window)))
-        dated.write.mode("overwrite").partitionBy("window_date").parquet(f"{self.path(table)}/batch={batch_id}")
+        placed = conform(rows, table).withColumns({
+            "window_date": F.to_date(F.col(table.window)), "run": F.lit(run_id(rows.sparkSession)),
+            "batch": F.lit(batch_id).cast("bigint"),
+        })
+        self._write_parts(placed, table)
 
     replace = append
 
+    def _write_parts(self, placed: DataFrame, table: Table) -> None:
+        (placed.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+         .partitionBy(*[p.split()[0] for p in PARTS]).parquet(self.path(table)))
+
+    def _parts(self, spark: SparkSession, table: Table) -> DataFrame:
+        """The rows of a window table with their date, run, batch and time of writing; none before the first write."""
+        schema = T.StructType([*table.schema.fields, T.StructField("window_date", T.DateType()),
+                               T.StructField("run", T.StringType()), T.StructField("batch", T.LongType())])
+        files, jvm_path = self._files(spark, table)
+        if not files.exists(jvm_path(self.path(table))):
+            return spark.createDataFrame([], schema.add("_written", T.TimestampType()))
+        rows = spark.read.schema(schema).parquet(self.path(table))
+        return rows.withColumn("_written", F.col("_metadata.file_modification_time"))
+
     def windows(
         self, spark: SparkSession, table: Table, newest: bool = False, since: datetime.date | None = None,
+        other_than: int | None = None,
     ) -> DataFrame:
         """A window table. ``newest`` settles windows that several batches emitted on the last emission; ``since``
-        reads the folders of that date and later only."""
-        rows = spark.read.parquet(self.path(table))
+        reads the folders of that date and later only; ``other_than`` leaves out what this batch of the current run,
+        and any after it, has written."""
+        rows = self._parts(spark, table)
         if since is not None:
             rows = rows.where(F.col("window_date") >= F.lit(since))
+        if other_than is not None:
+            rows = rows.where((F.col("run") != run_id(spark)) | (F.col("batch") < other_than))
         if newest:
-            rows = latest_per_key(rows.drop("window_date"), list(table.key), ["batch"])
+            # Emissions of different runs are told apart by the time they were written.
+            rows = latest_per_key(rows.drop("window_date", "run"), list(table.key), ["_written", "batch"])
         return conform(rows, table)
 
+    def compact(self, spark: SparkSession, table: Table, before: datetime.date) -> None:
+        """Put all folders of a day together, for days before ``before`` that no query writes any more.
+
+        Windows that were emitted several times are settled on the last emission. The new folders are written first;
+        the old ones go once these are complete, and readers of a table in use should be stopped meanwhile.
+        """
+        parts = self._parts(spark, table)
+        days = [r[0] for r in parts.where(F.col("window_date") < F.lit(before)).groupBy("window_date").agg(
+            F.countDistinct("run", "batch").alias("n")).where("n > 1").collect()]
+        files, jvm_path = self._files(spark, table)
+        for day in days:
+            rows = self.windows(spark, table, newest=True, since=day).where(F.to_date(F.col(table.window)) == F.lit(day))
+            folder = f"{self.path(table)}/window_date={day}"
+            fresh = f"{self.path(table)}/_compacted-{day}"
+            rows.write.mode("overwrite").parquet(f"{fresh}/run=compacted/batch=0")
+            files.delete(jvm_path(folder), True)
+            files.rename(jvm_path(fresh), jvm_path(folder))
+
+    def publish(self, spark: SparkSession, table: Table) -> None:
+        """Make what lies in the folder readable under the table's name: a window table with all its folders, a keyed
+        one as a view of its newest version. To be called again after writes."""
+        if table.window:
+            ensure_table(spark, table, self.path(table))
+            spark.sql(f"MSCK REPAIR TABLE {table.name}")
+            spark.catalog.refreshTable(table.name)
+        elif found := self.versions(spark, table):
+            columns = ", ".join(table.columns)
+            spark.sql(f"CREATE OR REPLACE VIEW {table.name} AS SELECT {columns} FROM "
+                      f"parquet.`{self.path(table)}/{found[-1].folder}`")
+
     # keyed tables
 
     def upsert(self, rows: DataFrame, table: Table, batch_id: int, updated_at: str = "now") -> None:
@@ -111,18 +199,30 @@ class FolderTarget:
         self.write_version(merge_state(current, rows, updated_at), table, batch_id)
 
     def write_version(self, rows: DataFrame, table: Table | str, batch_id: int) -> None:
-        rows.write.mode("overwrite").parquet(f"{self.path(table)}/v={batch_id}")
-        self._expire(rows.sparkSession, table, batch_id)
+        spark = rows.sparkSession
+        version = self._version_of(spark, table, batch_id)
+        rows.write.mode("overwrite").parquet(f"{self.path(table)}/{version.folder}")
+        self._expire(spark, table)
 
     def keyed(self, spark: SparkSession, table: Table | str, before: int | None = None) -> DataFrame | None:
-        """The newest complete version, or the newest one older than ``before``; None if there is none."""
-        versions = [v for v in self.versions(spark, table) if before is None or v < before]
+        """The newest complete version, or the one a batch of the current run starts from; None if there is none."""
+        versions = self.versions(spark, table)
+        if before is not None:
+            own = self._version_of(spark, table, before)
+            versions = [v for v in versions if v.number < own.number]
         if not versions:
             return None
-        rows = spark.read.parquet(f"{self.path(table)}/v={max(versions)}")
+        rows = spark.read.parquet(f"{self.path(table)}/{versions[-1].folder}")
         return conform(rows, table) if isinstance(table, Table) else rows
 
-    def versions(self, spark: SparkSession, table: Table | str) -> list[int]:
+    def _version_of(self, spark: SparkSession, table: Table | str, batch_id: int) -> Version:
+        """The version of a batch: its own if it has been written before, else a new one after all others."""
+        run, found = run_id(spark), self.versions(spark, table)
+        own = [v for v in found if (v.run, v.batch) == (run, batch_id)]
+        return own[-1] if own else Version(found[-1].number + 1 if found else 0, run, batch_id)
+
+    def versions(self, spark: SparkSession, table: Table | str) -> list[Version]:
+        """The complete versions, oldest first."""
         files, jvm_path = self._files(spark, table)
         if not files.exists(jvm_path(self.path(table))):
             return []
@@ -130,14 +230,22 @@ class FolderTarget:
         for status in files.listStatus(jvm_path(self.path(table))):
             name = status.getPath().getName()
             if name.startswith("v=") and files.exists(jvm_path(f"{self.path(table)}/{name}/_SUCCESS")):
-                found.append(int(name[2:]))
+                number, run, batch = name[2:].split("+")
+                found.append(Version(int(number), run, int(batch)))
         return sorted(found)
 
-    def _expire(self, spark: SparkSession, table: Table | str, batch_id: int) -> None:
+    def _expire(self, spark: SparkSession, table: Table | str) -> None:
         files, jvm_path = self._files(spark, table)
-        old = [v for v in self.versions(spark, table) if v <= batch_id][: -self.keep_versions]
-        for version in old:
-            files.delete(jvm_path(f"{self.path(table)}/v={version}"), True)
+        limit = (time.time() - self.keep_hours * 3600) * 1000
+        for version in self.versions(spark, table)[:-2]:
+            folder = jvm_path(f"{self.path(table)}/{version.folder}")
+            if files.getFileStatus(folder).getModificationTime() <= limit:
+                files.delete(folder, True)
+
+    def drop(self, spark: SparkSession, path: str) -> None:
+        """Remove a folder below the base."""
+        files, jvm_path = self._files(spark, path)
+        files.delete(jvm_path(self.path(path)), True)
 
     def _files(self, spark: SparkSession, table: Table | str):
         jvm = spark.sparkContext._jvm
@@ -145,9 +253,11 @@ class FolderTarget:
         files = path(self.path(table)).getFileSystem(spark._jsparkSession.sessionState().newHadoopConf())
         return files, path
 
-    def read(self, spark: SparkSession, name: str) -> DataFrame:
+    def read(self, spark: SparkSession, name: str, other_than: int | None = None,
+             since: datetime.date | None = None) -> DataFrame:
+        """A table by name, one row for each key. ``other_than`` and ``since`` as in ``windows``."""
         table = BY_NAME[name]
-        rows = self.windows(spark, table) if table.window else self.keyed(spark, table)
+        if table.window:
+            return self.windows(spark, table, newest=True, since=since, other_than=other_than)
+        rows = self.keyed(spark, table)
         return spark.createDataFrame([], table.schema) if rows is None else rows
-
-

@@ -17,7 +17,7 @@ from contrail.operators.dedupe import accepted_last, dedupe_ttl
 from contrail.operators.ingest import route_events
 from contrail.operators.latest import absent_rows, latest_state
 from contrail.schemas import DEDUPE_KEYS, DEDUPE_TTL_SECONDS, STATE, Table
-from contrail.sources.tables import FolderTarget
+from contrail.sources.tables import FolderTarget, run_id
 
 logger = logging.getLogger(__name__)
 
@@ -67,12 +67,25 @@ def replace_windows(target: Target, table: Table) -> BatchWriter:
 
 
 def insert_absent_windows(target: Target, table: Table) -> BatchWriter:
-    """Add windows whose key the table does not hold yet."""
+    """Add windows whose key the table does not hold yet.
+
+    A folder is compared from the batch's first date on, and without what this batch wrote when it ran before. A
+    database needs no comparison: its insert leaves stored keys as they are.
+    """
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        if not batch.isEmpty():
-            stored = target.read(batch.sparkSession, table.name)
-            target.append(absent_rows(batch, stored, list(table.key)), table, batch_id)
+        kept = batch.persist(StorageLevel.MEMORY_AND_DISK)
+        try:
+            first = kept.agg(F.to_date(F.min(table.window))).first()[0]
+            if first is None:
+                return
+            rows = kept
+            if isinstance(target, FolderTarget):
+                stored = target.read(batch.sparkSession, table.name, other_than=batch_id, since=first)
+                rows = absent_rows(kept, stored, list(table.key))
+            target.append(rows, table, batch_id)
+        finally:
+            kept.unpersist()
 
     return write
 
@@ -121,7 +134,9 @@ def dedupe_stream(
 
     The last acceptance per key is a versioned table, so a hot key is split in the stream just as in a batch, the
     state survives restarts, and it is no larger than the keys accepted within one TTL. Passed rows are written
-    once and read back, both for the sink and for the next state, so that no batch is worked out twice.
+    once and read back, both for the sink and for the next state, so that no batch is worked out twice; they are
+    removed when the sink has taken them. A row whose clock lies before its key's last acceptance is judged as if it
+    had come in time; what has passed before it stays passed.
     """
 
     def write(batch: DataFrame, batch_id: int) -> None:
@@ -129,12 +144,13 @@ def dedupe_stream(
             return
         spark = batch.sparkSession
         seen = target.keyed(spark, f"{name}_seen", before=batch_id)
-        passed_path = f"{target.path(f'{name}_passed')}/batch={batch_id}"
-        dedupe_ttl(batch, keys, ttl, clock, seen=seen).write.mode("overwrite").parquet(passed_path)
-        passed = spark.read.schema(batch.schema).parquet(passed_path)
+        folder = f"{name}_passed/{run_id(spark)}/batch={batch_id}"
+        dedupe_ttl(batch, keys, ttl, clock, seen=seen).write.mode("overwrite").parquet(target.path(folder))
+        passed = spark.read.schema(batch.schema).parquet(target.path(folder))
         newest = passed.agg(F.max(clock)).first()[0]
         if newest is not None:
             target.write_version(accepted_last(passed, seen, keys, ttl, clock, newest), f"{name}_seen", batch_id)
         sink(passed, batch_id)
+        target.drop(spark, folder)
 
     return write

@@ -17,7 +17,7 @@ from contrail.schemas import DEDUPE_TTL_SECONDS, GRID_5M, QUALITY_5M, TRAFFIC_1H
 from contrail.session import configure
 from contrail.sources.tables import FolderTarget
 from contrail.streaming.batches import (
-    BatchWriter, Target, append_windows, dedupe_stream, publish, replace_windows, upsert_state, write_routed,
+    BatchWriter, Target, append_windows, best_effort, dedupe_stream, publish, replace_windows, upsert_state, write_routed,
 )
 
 
@@ -62,7 +62,7 @@ def start_pipeline(
     }
     if dead_letters is not None:
         queries["dead_letters"] = _start(
-            to_dead_letter_messages(dead), dead_letters, checkpoint, "dead_letters", "append", trigger
+            to_dead_letter_messages(dead), best_effort(dead_letters), checkpoint, "dead_letters", "append", trigger
         )
     return queries
 
@@ -102,7 +102,7 @@ def start_ingest(
             clock = clock_seconds(parse_utc(F.col("ingestion_time_utc")))
             without_repeats(rows.withColumn("clock_s", clock), batch_id)
 
-    writer = write_routed(to_topic, publish(dead_letters, to_dead_letter_messages))
+    writer = write_routed(to_topic, best_effort(publish(dead_letters, to_dead_letter_messages)))
     return _start(normalized, writer, checkpoint, "ingest", "append", trigger)
 
 

@@ -69,16 +69,69 @@ def test_merge_takes_equal_times_and_incoming_stamps(spark):
         merge_state(current, incoming, "later")
 
 
+def batches(target, spark, table):
+    return [v.batch for v in target.versions(spark, table)]
+
+
 def test_replayed_batches_and_versions(spark, tmp_path):
-    target = FolderTarget(str(tmp_path), keep_versions=2)
+    target = FolderTarget(str(tmp_path), keep_hours=0)
     for batch_id in (0, 1, 2, 2):
         target.upsert(state(spark, ("a", float(batch_id), 1.0, at(batch_id), at(batch_id))), STATE, batch_id, "incoming")
-    assert target.versions(spark, STATE) == [1, 2]
+    assert batches(target, spark, STATE) == [1, 2]
     assert target.keyed(spark, STATE).first().altitude_m == 2.0
     assert target.keyed(spark, STATE, before=2).first().altitude_m == 1.0
-    (tmp_path / STATE.name / "v=9").mkdir()  # an unfinished version does not count
-    assert target.versions(spark, STATE) == [1, 2]
+    (tmp_path / STATE.name / "v=9+direct+9").mkdir()  # an unfinished version does not count
+    assert batches(target, spark, STATE) == [1, 2]
     assert FolderTarget(str(tmp_path / "none")).read(spark, STATE.name).count() == 0
+    young = FolderTarget(str(tmp_path / "young"))
+    for batch_id in range(5):
+        young.upsert(state(spark, ("a", 1.0, 1.0, at(1), at(1))), STATE, batch_id)
+    assert batches(young, spark, STATE) == [0, 1, 2, 3, 4]  # a reader may still hold any of them
+
+
+def test_a_new_checkpoint_is_a_new_run(spark, tmp_path, monkeypatch):
+    """Batches are numbered from 0 again; nothing stored may be overwritten or hidden."""
+    target = FolderTarget(str(tmp_path))
+    for run, minutes in (("one", 0), ("two", 30)):
+        monkeypatch.setattr("contrail.sources.tables.run_id", lambda session, run=run: run)
+        for batch_id in (0, 1):
+            when = at(minutes + 5 * batch_id)
+            target.upsert(state(spark, (f"{run}{batch_id}", 1.0, 1.0, when, when)), STATE, batch_id, "incoming")
+            append_windows(target, GRID_5M)(grid(spark, (when, "a", minutes + batch_id)), batch_id)
+    assert {r.icao24 for r in target.read(spark, STATE.name).collect()} == {"one0", "one1", "two0", "two1"}
+    assert sorted(r.aircraft_count for r in target.windows(spark, GRID_5M).collect()) == [0, 1, 30, 31]
+    replace_windows(target, GRID_5M)(grid(spark, (at(0), "a", 7)), 2)
+    assert sorted(r.aircraft_count for r in target.read(spark, GRID_5M.name).collect()) == [1, 7, 30, 31]
+
+
+def test_inserts_start_on_an_empty_folder_and_may_be_replayed(spark, tmp_path):
+    target = FolderTarget(str(tmp_path))
+    write = insert_absent_windows(target, GRID_5M)
+    write(grid(spark), 0)
+    for _ in range(2):
+        write(grid(spark, (at(0), "a", 1), (at(0), "b", 2)), 1)
+        assert sorted(r.aircraft_count for r in target.windows(spark, GRID_5M).collect()) == [1, 2]
+    for _ in range(2):
+        write(grid(spark, (at(0), "a", 9), (at(5), "a", 3)), 2)
+        assert sorted(r.aircraft_count for r in target.windows(spark, GRID_5M).collect()) == [1, 2, 3]
+
+
+def test_compacted_and_published_tables(spark, tmp_path):
+    target = FolderTarget(str(tmp_path))
+    for batch_id in range(3):
+        append_windows(target, GRID_5M)(grid(spark, (at(5 * batch_id), "a", batch_id)), batch_id)
+    target.upsert(state(spark, ("a", 1.0, 1.0, at(1), at(1))), STATE, 0)
+    try:
+        target.publish(spark, GRID_5M)
+        target.publish(spark, STATE)
+        assert spark.table(GRID_5M.name).count() == 3 and spark.table(STATE.name).count() == 1
+        target.compact(spark, GRID_5M, dt.date(2030, 1, 1))
+        assert sorted(r.aircraft_count for r in target.windows(spark, GRID_5M).collect()) == [0, 1, 2]
+        day = tmp_path / GRID_5M.name / "window_date=2024-01-01"
+        assert [p.name for p in day.iterdir() if p.is_dir()] == ["run=compacted"]
+    finally:
+        spark.sql(f"DROP TABLE IF EXISTS {GRID_5M.name}")
+        spark.sql(f"DROP VIEW IF EXISTS {STATE.name}")
 
 
 GRID_DDL = "window_start timestamp, window_end timestamp, grid_cell string, aircraft_count long, avg_altitude_m double, avg_velocity_mps double"
@@ -114,7 +167,7 @@ def test_window_tables(spark, tmp_path):
     assert "PartitionFilters: [isnotnull(window_date" in recent._jdf.queryExecution().executedPlan().toString()
     live = target.windows(spark, GRID_5M, newest=True).collect()
     assert sorted(r.aircraft_count for r in live) == [1, 2, 4]
-    assert sorted(p.name for p in (tmp_path / GRID_5M.name).iterdir()) == ["batch=0", "batch=2", "batch=3", "batch=4"]
+    assert sorted(p.name for p in (tmp_path / GRID_5M.name).glob("*/*/*")) == ["batch=0", "batch=2", "batch=3", "batch=4"]
 
 
 def test_snapshots(spark, tmp_path):
@@ -150,7 +203,7 @@ def test_ensure_table(spark, tmp_path):
     try:
         for _ in range(2):
             ensure_table(spark, table, str(tmp_path / "t"))
-        assert set(spark.table(table.name).columns) == {*table.columns, "window_date"}
+        assert set(spark.table(table.name).columns) == {*table.columns, "window_date", "run", "batch"}
         assert spark.table(table.name).count() == 0
     finally:
         spark.sql(f"DROP TABLE IF EXISTS {table.name}")
