@@ -276,5 +276,7 @@ def test_findings_of_odd_texts(spark):
     # Plain words are no candidates; a row is found as often as it is there, a value as often as the text has it.
     assert sorted((r.doc, r.word) for r in found) == [(7, 0), (8, 0), (8, 1)]
     assert secret_scan.findings(empty(spark), "doc_id", "text").count() == 0
-    scanner = secret_scan.fit(secret_scan.findings(docs, "doc_id", "text").withColumn("y", F.lit(1)), "y", [])
-    assert {r.secret for r in scanner.score(secret_scan.findings(docs, "doc_id", "text")).collect()} == {True}
+    found = secret_scan.findings(docs, "doc_id", "text")
+    for label, secret in ((1, True), (0, False), (None, True)):
+        scanner = secret_scan.fit(found.withColumn("y", F.lit(label).cast("int")), "y", [])
+        assert {r.secret for r in scanner.score(found).collect()} == {secret}
