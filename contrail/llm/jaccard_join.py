@@ -83,9 +83,20 @@ def frequent_shingles(texts: DataFrame, width: int) -> np.ndarray:
                 pa.array(hashes[counts > 1].astype(np.uint64).view(np.int64)),
                 pa.array(counts[counts > 1].astype(np.int64))], ["h", "n"])
 
-    counted = texts.select("text").mapInArrow(count, "h long, n long").groupBy("h").agg(F.sum("n").alias("n"))
-    top = counted.orderBy(F.desc("n"), "h").limit(MAX_FREQUENT).select("h").toPandas()["h"]
-    return top.to_numpy(np.int64)[::-1].copy()
+    counted = landed(texts.select("text").mapInArrow(count, "h long, n long").groupBy("h").agg(F.sum("n").alias("n")),
+                     "shingle-counts")
+    # How frequent a shingle must be for the bound, from the numbers of shingles by size of their counts.
+    level = F.floor(F.log2("n") * 8).cast("int")
+    taken, least = 0, None
+    for at, number in sorted(counted.groupBy(level.alias("at")).count().collect(), reverse=True):
+        taken += number
+        if taken > MAX_FREQUENT:
+            break
+        least = at
+    if least is None:
+        return np.empty(0, np.int64)
+    top = counted.filter(level >= least).toPandas()
+    return top.sort_values(["n", "h"])["h"].to_numpy(np.int64).copy()
 
 
 def prefixes(texts: DataFrame, frequent: np.ndarray, width: int, percent: int) -> DataFrame:
