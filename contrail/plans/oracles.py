@@ -176,7 +176,7 @@ ORACLES: dict[str, str] = {
     f"{_field(0)} as icao24, cast({_field(5)} as double) as lon, cast({_field(6)} as double) as lat, "
     f"cast({_field(8)} as boolean) as on_ground, {_field(14)} as squawk, "
     f"{_field(6, 'type')} = 'VARCHAR' as lat_is_text from "
-    "vectors where poll_id % 7 <> 3",
+    "vectors",
     "normalize_vectors": _with("vectors", "cut", "judged", "valid")
     + "select * exclude (poll_id, ingestion_ts) from valid",
     "route_dlq": _with("vectors", "cut", "judged")

@@ -15,7 +15,7 @@ from contrail.operators import (
     explode_state_vectors, ingest_counters, insert_if_absent, latest_state, live_kpis, live_positions,
     normalize_vectors, parse_events, parse_readings, quality_headline, quality_history, route_events,
     telemetry_quality_5m, to_dead_letter_messages, to_event_messages, to_imperial, to_state_rows, top_k, traffic_5m,
-    traffic_hourly, vector_fields, vector_from_text, with_event_text, within_bbox,
+    traffic_hourly, vector_fields, vector_from_text, with_event_text, with_position, within_bbox,
 )
 from contrail.plans import projections as P
 from contrail.schemas import (
@@ -115,11 +115,12 @@ def q_event_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
 # ingest
 
 def _polls(vectors: DataFrame) -> DataFrame:
-    """Poll responses of at most fifty vectors; every seventh has no vectors at all."""
+    """Poll responses of at most fifty vectors, and between them as many seventh ones that have no vectors at all."""
     listed = F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("event_id", "state"))),
                                       lambda s: s["state"]), ",")
-    body = F.when(F.col("poll_id") % 7 == 3, F.lit("null")).otherwise(F.concat(F.lit("["), listed, F.lit("]")))
-    return vectors.groupBy("poll_id").agg(F.concat(F.lit('{"time":0,"states":'), body, F.lit("}")).alias("value"))
+    full = vectors.groupBy("poll_id").agg(F.concat(F.lit('{"time":0,"states":['), listed, F.lit("]}")).alias("value"))
+    empty = vectors.where(F.col("poll_id") % 7 == 3).select((-F.col("poll_id") - 1).alias("poll_id")).distinct()
+    return full.unionByName(empty.withColumn("value", F.lit('{"time":0,"states":null}')))
 
 
 def q_explode_state_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -276,7 +277,11 @@ def q_to_imperial(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def q_airspace_density(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _out(airspace_density(airspace_grid_5m(_telemetry(spark, sf_dir))))
+    """The newest window is found from the times alone, and only its rows are aggregated."""
+    rows = with_position(_telemetry(spark, sf_dir))
+    newest = F.unix_timestamp(rows.agg(F.max("event_ts")).scalar())
+    recent = rows.where(F.col("event_ts") >= F.timestamp_seconds(newest - F.pmod(newest, F.lit(300))))
+    return _out(airspace_density(airspace_grid_5m(recent)))
 
 
 def q_quality_history(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -71,9 +71,11 @@ class JdbcTarget:
     url: str
     properties: Mapping[str, str] = field(default_factory=dict)
     batch_rows: int = 10_000
+    # For large tables by name: column, lower, upper and partitions of a scan over several connections.
+    splits: Mapping[str, Mapping[str, object]] = field(default_factory=dict)
 
     def read(self, spark: SparkSession, name: str) -> DataFrame:
-        return read_jdbc_table(spark, self.url, name, self.properties)
+        return read_jdbc_table(spark, self.url, name, self.properties, **self.splits.get(name, {}))
 
     def append(self, rows: DataFrame, table: Table, batch_id: int) -> None:
         self._merge(rows, table, batch_id, replace=False)
