@@ -24,42 +24,48 @@ VECTOR_POSITIONS = {
     "geo_altitude_m": 13, "squawk": 14, "spi": 15, "position_source": 16,
 }
 
-
-_TYPES = {
-    "string": T.StringType(), "int": T.IntegerType(), "double": T.DoubleType(), "boolean": T.BooleanType(),
-    "timestamp": T.TimestampType(),
-}
-
-
-def _struct(required: str, optional: str = "") -> T.StructType:
-    """StructType from two lists of ``name type``: never-null fields, then nullable ones. Needs no session."""
-    fields = [
-        T.StructField(*_field(text), nullable)
-        for part, nullable in ((required, False), (optional, True)) for text in part.split(",") if text.strip()
-    ]
-    return T.StructType(fields)
-
-
-def _field(text: str) -> tuple[str, T.DataType]:
-    name, type_name = text.split()
-    return name, _TYPES[type_name]
-
-
-TELEMETRY = _struct(
-    "schema_version int, event_time_utc string, source string, icao24 string, ingestion_time_utc string",
-    "callsign string, lat double, lon double, altitude_m double, velocity_mps double, heading_deg double, "
-    "vertical_rate_mps double, on_ground boolean, last_contact_utc string, origin_country string, "
-    "geo_altitude_m double, squawk string, spi boolean, position_source int, bbox_id string",
+# The columns of messages and tables, in their order. Key and required columns are never null.
+TELEMETRY = (
+    T.StructType()
+    .add("schema_version", "integer", nullable=False)
+    .add("event_time_utc", "string", nullable=False)
+    .add("source", "string", nullable=False)
+    .add("icao24", "string", nullable=False)
+    .add("ingestion_time_utc", "string", nullable=False)
+    .add("callsign", "string")
+    .add("lat", "double")
+    .add("lon", "double")
+    .add("altitude_m", "double")
+    .add("velocity_mps", "double")
+    .add("heading_deg", "double")
+    .add("vertical_rate_mps", "double")
+    .add("on_ground", "boolean")
+    .add("last_contact_utc", "string")
+    .add("origin_country", "string")
+    .add("geo_altitude_m", "double")
+    .add("squawk", "string")
+    .add("spi", "boolean")
+    .add("position_source", "integer")
+    .add("bbox_id", "string")
 )
 REQUIRED_FIELDS = [f.name for f in TELEMETRY if not f.nullable]
 
 DEAD_LETTER = (
-    _struct("", "error_time_utc string, error_type string, raw_icao24 string")
-    .add("raw_payload", _struct("", "state_len int"))
+    T.StructType()
+    .add("error_time_utc", "string")
+    .add("error_type", "string")
+    .add("raw_icao24", "string")
+    .add("raw_payload", T.StructType().add("state_len", "integer"))
     .add("message", "string")
 )
 
-READING = _struct("", "timestamp timestamp, location string, sensor_type string, value int")
+READING = (
+    T.StructType()
+    .add("timestamp", "timestamp")
+    .add("location", "string")
+    .add("sensor_type", "string")
+    .add("value", "integer")
+)
 
 
 @dataclass(frozen=True)
@@ -78,44 +84,74 @@ class Table:
 
 STATE = Table(
     "realtime_flight_state",
-    _struct(
-        "icao24 string",
-        "callsign string, lat double, lon double, altitude_m double, velocity_mps double, heading_deg double, "
-        "vertical_rate_mps double, on_ground boolean, last_event_time_utc timestamp, updated_at_utc timestamp, "
-        "source string",
+    (
+        T.StructType()
+        .add("icao24", "string", nullable=False)
+        .add("callsign", "string")
+        .add("lat", "double")
+        .add("lon", "double")
+        .add("altitude_m", "double")
+        .add("velocity_mps", "double")
+        .add("heading_deg", "double")
+        .add("vertical_rate_mps", "double")
+        .add("on_ground", "boolean")
+        .add("last_event_time_utc", "timestamp")
+        .add("updated_at_utc", "timestamp")
+        .add("source", "string")
     ),
     ("icao24",),
 )
 GRID_5M = Table(
     "realtime_airspace_grid_5m",
-    _struct(
-        "window_start timestamp, grid_cell string",
-        "window_end timestamp, aircraft_count int, avg_altitude_m double, avg_velocity_mps double",
+    (
+        T.StructType()
+        .add("window_start", "timestamp", nullable=False)
+        .add("window_end", "timestamp")
+        .add("grid_cell", "string", nullable=False)
+        .add("aircraft_count", "integer")
+        .add("avg_altitude_m", "double")
+        .add("avg_velocity_mps", "double")
     ),
     ("window_start", "grid_cell"),
     window="window_start",
 )
 QUALITY_5M = Table(
     "telemetry_quality_5m",
-    _struct(
-        "window_start timestamp",
-        "window_end timestamp, total_messages int, messages_with_position int, messages_missing_position int, "
-        "avg_event_lag_seconds double",
+    (
+        T.StructType()
+        .add("window_start", "timestamp", nullable=False)
+        .add("window_end", "timestamp")
+        .add("total_messages", "integer")
+        .add("messages_with_position", "integer")
+        .add("messages_missing_position", "integer")
+        .add("avg_event_lag_seconds", "double")
     ),
     ("window_start",),
     window="window_start",
 )
 TRAFFIC_1H = Table(
     "hourly_traffic_summary",
-    _struct("start_time timestamp, location string", "end_time timestamp, avg_traffic_count double"),
+    (
+        T.StructType()
+        .add("start_time", "timestamp", nullable=False)
+        .add("end_time", "timestamp")
+        .add("location", "string", nullable=False)
+        .add("avg_traffic_count", "double")
+    ),
     ("start_time", "location"),
     window="start_time",
 )
 TRAFFIC_5M = Table(
     "realtime_traffic_summary",
-    _struct(
-        "start_time timestamp, location string",
-        "end_time timestamp, avg_traffic_count double, max_traffic_count int, min_traffic_count int, data_points int",
+    (
+        T.StructType()
+        .add("start_time", "timestamp", nullable=False)
+        .add("end_time", "timestamp")
+        .add("location", "string", nullable=False)
+        .add("avg_traffic_count", "double")
+        .add("max_traffic_count", "integer")
+        .add("min_traffic_count", "integer")
+        .add("data_points", "integer")
     ),
     ("start_time", "location"),
     window="start_time",

@@ -11,6 +11,7 @@ from contrail.session import local_session  # noqa: E402
 
 SMALL = "/root/testdata/sf0.001"
 
+# A full and a sparse vector of the wire format.
 FULL = ["a1b2c3", "UAL123  ", "United States", 1700000000.0, 1700000005.0, -87.6298, 41.8781, 10500.0, False, 245.3,
         90.0, 1.5, None, 10600.0, "1234", False, 0]
 NULLS = ["deadbe", "CSN302", "China", None, 1700000010.0, None, None, None, True, 80.0, 270.0, 0.0, None, None, None,

@@ -72,12 +72,12 @@ def test_event_messages_keep_nulls(spark):
 def test_dead_letter_messages(spark):
     df = spark.createDataFrame([("a1b2c3",), (None,), ("",)], "id string").select(dead_letter(
         F.lit(True), F.timestamp_seconds(F.lit(1700000000)), F.lit("lat_out_of_range"), F.col("id"), F.lit(17),
-        F.lit("test error")).alias("d")).select("d.*")
+        F.lit("latitude is off the map")).alias("d")).select("d.*")
     rows = to_dead_letter_messages(df).collect()
     assert [r.key for r in rows] == [b"a1b2c3", None, None]
     assert json.loads(rows[1].value) == {
         "error_time_utc": "2023-11-14T22:13:20Z", "error_type": "lat_out_of_range", "raw_icao24": None,
-        "raw_payload": {"state_len": 17}, "message": "test error"}
+        "raw_payload": {"state_len": 17}, "message": "latitude is off the map"}
 
 
 def test_readings(spark):
