@@ -209,4 +209,4 @@ def scanned(docs: DataFrame) -> DataFrame:
 def op6_secret_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
     judged = scanned(_table(spark, sf_dir, "documents").select("doc_id", "text"))
     return judged.select(F.col("doc").alias("doc_id"), "word", F.length("value").alias("n_chars"),
-                         F.sha2("value", 256).alias("value_sha256"), "score", "secret")
+                         F.sha2("value", 256).alias("value_sha256"), "score", "secret", "run")

@@ -280,3 +280,24 @@ def test_findings_of_odd_texts(spark):
     for label, secret in ((1, True), (0, False), (None, True)):
         scanner = secret_scan.fit(found.withColumn("y", F.lit(label).cast("int")), "y", [])
         assert {r.secret for r in scanner.score(found).collect()} == {secret}
+
+
+def test_every_run_of_a_word_is_a_candidate(spark):
+    key, other, digest = "wJalrXUtnFEMIK7MDENGbPxRfiCYEXAMPLEKEY", "a1b2c3d4e5f60718", "0f1e2d3c4b5a69788796a5b4c3d2e1f0"
+    texts = [(1, '{"aws_secret_access_key":"%s","sha":"%s"}' % (key, digest)), (2, f"//host.example/path?access_token={other}"),
+             (3, f"{key},{key}"), (None, f"x <{other}>,<{digest}> y")]
+    docs = spark.createDataFrame(texts, "doc_id long, text string")
+    found = secret_scan.findings(docs, "doc_id", "text").collect()
+    assert sorted((str(r.doc), r.word, r.run, r.value, r.lead) for r in found) == sorted([
+        ("1", 0, 1, key, 'aws_secret_access_key":"'), ("1", 0, 2, digest, '"sha":"'),
+        ("2", 0, 1, f"access_token={other}", ""), ("3", 0, 0, key, ""), ("3", 0, 1, key, ""),
+        ("None", 1, 0, other, ""), ("None", 1, 1, digest, "")])
+    values = secret_scan.mask(docs, secret_scan.findings(docs, "doc_id", "text").select("doc", "value"), "doc_id", "text")
+    masked = {r.doc_id: r.text for r in values.collect()}
+    assert masked[1] == '{"aws_secret_access_key":"<secret>","sha":"<secret>"}' and masked[3] == "<secret>,<secret>"
+
+
+def test_a_long_word_has_all_its_runs(spark):
+    many = ",".join(f'"k{i}":"{i:016d}ab"' for i in range(20_000))
+    found = secret_scan.findings(spark.createDataFrame([(1, many)], "doc_id long, text string"), "doc_id", "text")
+    assert found.agg(F.count("*"), F.max("run")).first()[:] == (20_000, 19_999)
