@@ -217,19 +217,27 @@ def _verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
 
 
 def _sets(texts: DataFrame, wanted: DataFrame, width: int) -> DataFrame:
-    """``node, hashes`` of the wanted ``doc, node``."""
+    """``node, hashes`` of the wanted ``doc, node``, once for each node.
+
+    The node is worked out from the text, as rows of one ``doc`` may hold different sets; a null ``doc`` is one like
+    others. Documents are only looked up, so that an id of many rows does not multiply them.
+    """
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for start, data, offsets in grams.chunks(batch.column(1)):
+            for _, data, offsets in grams.chunks(batch.column(0)):
                 sets = Shingles(data, offsets, width)
                 bounds = np.concatenate(([0], np.cumsum(sets.sizes)))
                 yield pa.RecordBatch.from_arrays([
-                    batch.column(0).slice(start, len(sets.sizes)),
+                    pa.array(sets.nodes),
                     pa.ListArray.from_arrays(pa.array(bounds, pa.int32()), pa.array(sets.hashes.view(np.int64)))],
                     ["node", "hashes"])
 
-    return texts.join(wanted, "doc").select("node", "text").mapInArrow(read, "node long, hashes array<long>")
+    rows = texts.join(wanted.filter("doc is not null").select("doc").distinct(), "doc", "left_semi").select("text")
+    if not wanted.filter("doc is null").isEmpty():
+        rows = rows.unionByName(texts.filter("doc is null").select("text"))
+    return rows.mapInArrow(read, "node long, hashes array<long>").join(
+        wanted.select("node"), "node", "left_semi").dropDuplicates(["node"])
 
 
 def components(nodes: DataFrame, links: DataFrame) -> DataFrame:
@@ -283,8 +291,8 @@ def near_duplicates(docs: DataFrame, key: str, text: str, width: int = 5, percen
     first = landed(stars.unionByName(likely).distinct(), "first-pairs")
 
     nodes = landed(index.select("node").distinct(), "similar-nodes")
-    rep = found.groupBy("node").agg(F.min("doc").alias("doc")).join(nodes, "node")
-    sets = landed(_sets(texts, rep, width), "similar-sets").dropDuplicates(["node"])
+    rep = landed(found.groupBy("node").agg(F.min("doc").alias("doc")).join(nodes, "node"), "similar-documents")
+    sets = landed(_sets(texts, rep, width), "similar-sets")
     links = landed(_verified(first, sets, percent), "first-links")
     labels = components(nodes, links)
 

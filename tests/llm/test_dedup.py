@@ -122,3 +122,16 @@ def test_near_duplicates_of_odd_rows(spark):
     assert by[8, 4] == 8 and by[None, 4] == 8 and by[None, 0] is None
     assert by[6, 2] == by[7, 2] == 6
     assert near_duplicates(frame(spark, rows).limit(0), "doc_id", "text").count() == 0
+
+
+def test_near_copies_of_null_and_repeated_ids_link(spark):
+    def text(name, changed=""):
+        return " ".join([f"{name}{i}" for i in range(40)] + [changed])
+
+    # A near copy without an id, and an id with two texts, of which each has a near copy.
+    rows = [(None, text("a", "x")), (1, text("a")), (2, text("b", "x")), (2, text("c", "x")), (2, "q r"), (5, text("c")),
+            (4, text("b")), (None, text("d")), (None, text("d", "x"))]
+    out = near_duplicates(frame(spark, rows), "doc_id", "text").collect()
+    assert sorted((str(r.doc), r.n_shingles, str(r.component)) for r in out) == sorted([
+        ("None", 37, "1"), ("1", 36, "1"), ("2", 37, "2"), ("2", 37, "2"), ("2", 1, "2"), ("4", 36, "2"), ("5", 36, "2"),
+        ("None", 36, "None"), ("None", 37, "None")])
