@@ -23,6 +23,9 @@ MAX_FREQUENT = 1 << 18
 MATCHES = 4
 # Up to so many sets with the same prefix shingle are compared with each other; beyond, by way of a central one first.
 SHORT_LIST = 24
+# About so many sets of a component are compared with as many others in one go when links are counted, by so many
+# shingles at a time.
+BLOCK, COLUMNS = 256, 4096
 
 _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[65:91] += 32
@@ -256,8 +259,62 @@ def components(nodes: DataFrame, links: DataFrame) -> DataFrame:
         labels = labels.select("node", "comp")
 
 
-def near_duplicates(docs: DataFrame, key: str, text: str, width: int = 5, percent: int = 80) -> DataFrame:
-    """For each row: the key as ``doc``, ``n_shingles`` and ``component``, the smallest key that links reach.
+def _partners(table: pa.Table, percent: int) -> pa.Table:
+    """``node, links``: the rows of the sets that each set of two blocks of a component links to across the blocks, or
+    within the block if both are one."""
+    hashes = table.column("hashes").combine_chunks()
+    sizes = hashes.value_lengths().to_numpy(zero_copy_only=False).astype(np.int64)
+    block, a, b = (table.column(c).to_numpy() for c in ("block", "a", "b"))
+    rows = table.column("rows").to_numpy()
+    left, right = np.flatnonzero(block == a), np.flatnonzero(block == b)
+    _, column, held = np.unique(hashes.flatten().to_numpy(), return_inverse=True, return_counts=True)
+    # A shingle of one set is in no intersection.
+    column = np.where(held > 1, np.cumsum(held > 1) - 1, -1)[column]
+    owner = np.repeat(np.arange(len(sizes)), sizes)[column >= 0]
+    column = column[column >= 0]
+    order = np.argsort(column, kind="stable")
+    column, owner = column[order], owner[order]
+    common = np.zeros((len(left), len(right)), np.int64)
+    for start in range(0, int(column.max(initial=-1)) + 1, COLUMNS):
+        part = slice(*np.searchsorted(column, (start, start + COLUMNS)))
+        has = np.zeros((len(sizes), COLUMNS), np.float32)
+        has[owner[part], column[part] - start] = 1
+        common += (has[left] @ has[right].T).astype(np.int64)
+    linked = 100 * common >= percent * (sizes[left][:, None] + sizes[right] - common)
+    links = np.zeros(len(sizes), np.int64)
+    if a[0] == b[0]:
+        np.fill_diagonal(linked, False)
+        links[left] = linked @ rows[right]
+    else:
+        links[left] = linked @ rows[right]
+        links[right] = linked.T @ rows[left]
+    return pa.table({"node": table.column("node"), "links": pa.array(links)})
+
+
+def _links(final: DataFrame, own: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """``node, links``: the number of rows of other sets that a set links to.
+
+    All links lie within components. Of two sets in one each links to the other; in larger ones every set is compared
+    with every other, block by block, so the work grows with the square of a component, as the links may.
+    """
+    sizes = final.groupBy("comp").agg(F.count("*").alias("size")).filter("size > 1")
+    members = landed(final.join(sizes, "comp").join(own.select("node", "rows"), "node"), "component-members")
+    two = members.filter("size = 2").select("comp", "node", "rows")
+    pairs = two.alias("x").join(two.alias("y"), (F.col("x.comp") == F.col("y.comp")) & (F.col("x.node") != F.col("y.node")))
+    blocks = F.ceil(F.col("size") / BLOCK)
+    dealt = members.filter("size > 2").withColumn("block", F.pmod(F.xxhash64("node"), blocks)).join(sets, "node").select(
+        "comp", "node", "rows", "hashes", "block", F.explode(F.sequence(F.lit(0).cast("long"), blocks - 1)).alias("other"))
+    met = dealt.select("comp", "node", "rows", "hashes", "block", F.least("block", "other").alias("a"),
+                       F.greatest("block", "other").alias("b")).groupBy("comp", "a", "b").applyInArrow(
+        lambda table: _partners(table, percent), "node long, links long")
+    return landed(pairs.select("x.node", F.col("y.rows").alias("links")).unionByName(met).groupBy("node").agg(
+        F.sum("links").alias("links")), "link-counts")
+
+
+def near_duplicates(docs: DataFrame, key: str, text: str, width: int = 5, percent: int = 80,
+                    count_links: bool = False) -> DataFrame:
+    """For each row: the key as ``doc``, ``n_shingles`` and ``component``, the smallest key that links reach; with
+    ``count_links`` also ``n_links``, the number of other rows it links to, copies included.
 
     Two texts link when their intersection is at least ``percent`` percent of their union. A set holds the distinct
     ``width``-word shingles, A-Z lower-cased; a text of fewer words is one shingle, and a text without words, or a null
@@ -268,6 +325,7 @@ def near_duplicates(docs: DataFrame, key: str, text: str, width: int = 5, percen
     Equal sets are one node. Where a prefix shingle has at most ``SHORT_LIST`` sets, they are compared with each other.
     In a longer list each set is first compared with a central one, the set with the fewest rare shingles; after that
     only sets that are still in different components are paired, if the rest of both sets leaves room for the overlap.
+    That finds all components but not all links; to count these, the sets of each component are compared again.
     """
     texts = docs.select(F.col(f"`{key}`").alias("doc"), F.col(f"`{text}`").alias("text"))
     found = landed(prefixes(texts, frequent_shingles(texts, width), width, percent), "shingle-sets")
@@ -320,8 +378,12 @@ def near_duplicates(docs: DataFrame, key: str, text: str, width: int = 5, percen
     least = found.groupBy("node").agg(F.min("doc").alias("doc")).join(final, "node").groupBy("comp").agg(
         F.min("doc").alias("component"))
     known = landed(final.join(least, "comp").select("node", "component"), "node-components")
-    own = found.filter("n > 0").groupBy("node").agg(F.min("doc").alias("least"))
-    named = own.join(known, "node", "left").select("node", F.coalesce("component", "least").alias("component"))
-    return found.alias("f").join(named, "node", "left").select(
-        "doc", F.col("n").cast("long").alias("n_shingles"),
-        F.when(F.col("n") > 0, F.col("component")).otherwise(F.col("doc")).alias("component"))
+    own = found.filter("n > 0").groupBy("node").agg(F.min("doc").alias("least"), F.count("*").alias("rows"))
+    named = own.join(known, "node", "left").select("node", "rows", F.coalesce("component", "least").alias("component"))
+    columns = ["doc", F.col("n").cast("long").alias("n_shingles"),
+               F.when(F.col("n") > 0, F.col("component")).otherwise(F.col("doc")).alias("component")]
+    if count_links:
+        named = named.join(_links(final, own, sets, percent), "node", "left")
+        linked = F.coalesce("links", F.lit(0)) + F.col("rows") - 1
+        columns.append(F.when(F.col("n") > 0, linked).otherwise(F.lit(0)).alias("n_links"))
+    return found.alias("f").join(named, "node", "left").select(*columns)

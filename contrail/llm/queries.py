@@ -194,8 +194,8 @@ def op3_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @_query
 def op2_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
-    found = jaccard_join.near_duplicates(_table(spark, sf_dir, "documents"), "doc_id", "text")
-    return found.select(F.col("doc").alias("doc_id"), "n_shingles", F.col("component").alias("component_id"))
+    found = jaccard_join.near_duplicates(_table(spark, sf_dir, "documents"), "doc_id", "text", count_links=True)
+    return found.select(F.col("doc").alias("doc_id"), "n_shingles", F.col("component").alias("component_id"), "n_links")
 
 
 def scanned(docs: DataFrame) -> DataFrame:

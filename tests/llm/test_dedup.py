@@ -135,3 +135,24 @@ def test_near_copies_of_null_and_repeated_ids_link(spark):
     assert sorted((str(r.doc), r.n_shingles, str(r.component)) for r in out) == sorted([
         ("None", 37, "1"), ("1", 36, "1"), ("2", 37, "2"), ("2", 37, "2"), ("2", 1, "2"), ("4", 36, "2"), ("5", 36, "2"),
         ("None", 36, "None"), ("None", 37, "None")])
+
+
+@pytest.mark.parametrize("block, columns", [(256, 4096), (4, 16)])
+def test_links_within_components_are_counted(spark, monkeypatch, block, columns):
+    monkeypatch.setattr(jaccard_join, "SHORT_LIST", 4)
+    monkeypatch.setattr(jaccard_join, "BLOCK", block)
+    monkeypatch.setattr(jaccard_join, "COLUMNS", columns)
+    rng, texts = random.Random(4), ["", "x", "X", "one two three four five six"]
+    for family in range(3):
+        base = [f"{family}w{i}" for i in range(80)]
+        for _ in range(16):
+            own = base[:rng.randint(64, 80)]
+            own[rng.randrange(len(own))] = "new" + str(rng.randint(0, 9))
+            texts += [" ".join(own)] * rng.randint(1, 2)
+    sets = [plain.shingles(t) for t in texts]
+    links = [sum(5 * len(s & t) >= 4 * len(s | t) for j, t in enumerate(sets) if j != i and s) for i, s in enumerate(sets)]
+    out = near_duplicates(frame(spark, enumerate(texts)), "doc_id", "text", count_links=True).collect()
+    assert {r.doc: r.n_links for r in out} == dict(enumerate(links))
+    comps, _ = plain.groups(dict(enumerate(texts)))
+    assert {r.doc: r.component for r in out} == comps
+    assert any(0 < n < sum(c == comps[i] for c in comps.values()) - 1 for i, n in enumerate(links))
