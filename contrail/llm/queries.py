@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from contrail.llm import (
     decontaminate, jaccard_join, language_id, packing, quality_rules, secret_scan, substring_dedup, suffix_dedup,
-    toxicity,
+    toxicity, whitening,
 )
 from contrail.llm.text import fold
 from contrail.llm.url_filters import ALLOW, BLOCK, Rule, judge_urls
@@ -210,3 +210,10 @@ def op6_secret_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
     judged = scanned(_table(spark, sf_dir, "documents").select("doc_id", "text"))
     return judged.select(F.col("doc").alias("doc_id"), "word", F.length("value").alias("n_chars"),
                          F.sha2("value", 256).alias("value_sha256"), "score", "secret", "run")
+
+
+@_query
+def op12_embedding_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = whitening.whiten(_table(spark, sf_dir, "embeddings"), "vec_id", "embedding", 32)
+    return found.select(F.col("id").alias("vec_id"), "component", "n", F.col("deviation").cast("long").alias("deviation"),
+                        "whitened", "explained", "identity_error")
