@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from contrail.llm import (
     decontaminate, jaccard_join, language_id, packing, quality_rules, secret_scan, substring_dedup, suffix_dedup,
-    toxicity, whitening,
+    toxicity, warc, whitening,
 )
 from contrail.llm.text import fold
 from contrail.llm.url_filters import ALLOW, BLOCK, Rule, judge_urls
@@ -217,3 +217,32 @@ def op12_embedding_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = whitening.whiten(_table(spark, sf_dir, "embeddings"), "vec_id", "embedding", 32)
     return found.select(F.col("id").alias("vec_id"), "component", "n", F.col("deviation").cast("long").alias("deviation"),
                         "whitened", "explained", "identity_error")
+
+
+@_query
+def op11_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = _table(spark, sf_dir, "pages").select("page_id", "url", "html")
+    archive = warc.write_archive(pages, "page_id", "url", "html", min_bytes=0)
+    return warc.read_archive(archive, with_payload=False).select(
+        F.col("key").alias("page_id"), "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
+# SHA-1 as hexadecimal digits, then five bits at a time; the alphabet is that of RFC 4648.
+ORACLES["op11_warc"] = r"""
+WITH p AS (SELECT page_id, coalesce(html, '') AS payload, sha1(coalesce(html, '')) AS hex FROM pages),
+digits AS (
+  SELECT page_id, strlen(payload) AS payload_bytes, hex,
+         list_transform(range(1, 41), lambda i: strpos('0123456789abcdef', hex[i]) - 1) || [0] AS d
+  FROM p),
+coded AS (
+  SELECT page_id, payload_bytes, hex,
+         array_to_string(list_transform(range(0, 32), lambda i:
+           'ABCDEFGHIJKLMNOPQRSTUVWXYZ234567'[
+             (((d[i * 5 // 4 + 1] * 16 + d[i * 5 // 4 + 2]) >> (3 - i * 5 % 4)) & 31) + 1]), '') AS payload_digest,
+         min(page_id) OVER (PARTITION BY hex, payload_bytes) AS least
+  FROM digits)
+SELECT page_id, payload_bytes, payload_digest,
+       CASE WHEN least IS NULL OR page_id IS NOT DISTINCT FROM least THEN 'response' ELSE 'revisit' END AS record_type,
+       CASE WHEN least IS NOT NULL AND page_id IS DISTINCT FROM least THEN least END AS refers_to
+FROM coded
+"""
