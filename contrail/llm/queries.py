@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from contrail.llm import (
-    decontaminate, jaccard_join, language_id, packing, quality_rules, secret_scan, substring_dedup, suffix_dedup,
+    decontaminate, jaccard_join, language_id, packing, prefix_trie, quality_rules, secret_scan, substring_dedup, suffix_dedup,
     toxicity, warc, whitening,
 )
 from contrail.llm.text import fold
@@ -246,3 +246,66 @@ SELECT page_id, payload_bytes, payload_digest,
        CASE WHEN least IS NOT NULL AND page_id IS DISTINCT FROM least THEN least END AS refers_to
 FROM coded
 """
+
+
+@_query
+def op13_conversation_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    turns = landed(prefix_trie.numbered_turns(_table(spark, sf_dir, "conversations"), "conv_id", "turn", "role", "text"),
+                   "turns")
+    convs = turns.select("conv").distinct()
+    heads = convs.select("conv", (F.col("conv") - F.col("conv") % 20).alias("donor"),
+                         (F.crc32(F.col("conv").cast("string").cast("binary")) % 4).alias("h"))
+    trie = prefix_trie.prefix_trie(prefix_trie.rebuilt_turns(turns, heads), convs)
+    ends = prefix_trie.joined_ids(trie.ends)
+    nothing = F.sha2(F.lit("").cast("binary"), 256)
+    return trie.nodes.join(ends.withColumnRenamed("top", "conv"), ["conv", "depth"], "left").select(
+        F.col("conv").alias("conv_id"), "depth", F.col("parent").alias("parent_conv_id"), "n_convs", "n_children",
+        "n_leaves", F.col("saved").alias("saved_tokens"), F.coalesce("ends", nothing).alias("ends_sha256"))
+
+
+# crc32 byte by byte: a list of each byte and eight marks, folded over the running remainder.
+ORACLES["op13_conversation_prefix_trie"] = r"""
+WITH own AS (
+  SELECT conv_id, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, coalesce(role, ''), md5(coalesce(text, ''))) AS place,
+         coalesce(role, '') AS role, coalesce(text, '') AS text
+  FROM conversations WHERE conv_id IS NOT NULL),
+convs AS (
+  SELECT conv_id, conv_id - conv_id % 20 AS donor,
+         xor(list_reduce([4294967295::BIGINT] || flatten(list_transform(string_split(CAST(conv_id AS VARCHAR), ''),
+               lambda c: [ascii(c)::BIGINT, -1, -1, -1, -1, -1, -1, -1, -1])),
+             lambda r, v: CASE WHEN v >= 0 THEN xor(r, v) ELSE xor(r >> 1, 3988292384 * (r & 1)) END),
+           4294967295::BIGINT) % 4 AS h
+  FROM (SELECT DISTINCT conv_id FROM own)),
+lent AS (
+  SELECT c.conv_id, o.place, o.role, o.text FROM convs c JOIN own o ON o.conv_id = c.donor AND o.place <= c.h),
+turns AS (
+  SELECT * FROM lent UNION ALL
+  SELECT c.conv_id, o.place - c.h + (SELECT count(*) FROM lent l WHERE l.conv_id = c.conv_id), o.role, o.text
+  FROM convs c JOIN own o USING (conv_id) WHERE o.place > c.h),
+whole AS (
+  SELECT conv_id, list(strlen(role) || ':' || role || strlen(text) || ':' || text ORDER BY place) AS ts,
+         list(len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')) ORDER BY place) AS ws
+  FROM turns GROUP BY 1),
+paths AS (
+  SELECT conv_id, d AS depth, CASE WHEN d = 0 THEN '' ELSE md5(array_to_string(ts[1:d], '')) END AS node,
+         CASE WHEN d = 0 THEN NULL WHEN d = 1 THEN '' ELSE md5(array_to_string(ts[1:d - 1], '')) END AS up,
+         CASE WHEN d = 0 THEN 0 ELSE ws[d] END AS words, d = coalesce(len(ts), 0) AS last
+  FROM (SELECT conv_id, ts, ws, unnest(range(0, coalesce(len(ts), 0) + 1)) AS d FROM convs LEFT JOIN whole USING (conv_id))),
+nodes AS (
+  SELECT depth, node, any_value(up) AS up, min(conv_id) AS conv_id, count(*) AS n_convs,
+         (count(*) - 1) * any_value(words) AS saved,
+         coalesce(string_agg(CAST(conv_id AS VARCHAR), ',' ORDER BY conv_id) FILTER (WHERE last), '') AS ends
+  FROM paths GROUP BY 1, 2),
+linked AS (
+  SELECT n.*, p.conv_id AS parent_conv_id,
+         (SELECT count(*) FROM nodes c WHERE c.depth = n.depth + 1 AND c.up = n.node) AS n_children
+  FROM nodes n LEFT JOIN nodes p ON p.depth = n.depth - 1 AND p.node = n.up),
+below AS (
+  SELECT DISTINCT a.depth, a.node, b.depth AS d, b.node AS below
+  FROM paths a JOIN paths b ON a.conv_id = b.conv_id AND b.depth >= a.depth)
+SELECT n.conv_id, n.depth, n.parent_conv_id, n.n_convs, n.n_children,
+       CAST(sum(CASE WHEN b.n_children = 0 THEN 1 ELSE 0 END) AS BIGINT) AS n_leaves,
+       CAST(sum(b.saved) AS BIGINT) AS saved_tokens, sha256(n.ends) AS ends_sha256
+FROM linked n JOIN below x ON x.depth = n.depth AND x.node = n.node JOIN linked b ON b.depth = x.d AND b.node = x.below
+GROUP BY n.conv_id, n.depth, n.parent_conv_id, n.n_convs, n.n_children, n.ends
+"""
