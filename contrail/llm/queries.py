@@ -202,7 +202,7 @@ def scanned(docs: DataFrame) -> DataFrame:
     """All findings in the texts with their scores. Labels are the silver ones of documents outside of fold 0 of 5."""
     found = landed(secret_scan.findings(docs, "doc_id", "text"), "secret-candidates")
     train = found.filter(fold(F.col("doc"), 5) != 0).withColumn("label", secret_scan.silver_label(found))
-    return secret_scan.fit(train, "label", secret_scan.dictionary(docs, "doc_id", "text")).score(found)
+    return secret_scan.fit(train, "label", secret_scan.dictionary(docs, "text")).score(found)
 
 
 @_query

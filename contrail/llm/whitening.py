@@ -221,8 +221,8 @@ def leading_components(rows: DataFrame, at: Moments, count: int, guard: int | No
         before = worst
         high = max(float(values[-1]), 1e-14 * trace)
         if turn:  # by then the Ritz values are near the leading eigenvalues
-            outside = max(trace - float(values.sum()), 0.0)
-            low = 0.9 * max(0.0, outside - (d - width - 1) * high) if width < d else 0.0
+            bound = trace - float(values.sum()) - (d - width - 1) * high if width < d else 0.0
+            low = 0.9 * bound if 0 < bound < high else 0.0  # from the end on: the block is not there yet
         q, done = _filtered(rows, at, q, w, low, high, degree)
         passes += done
     else:
