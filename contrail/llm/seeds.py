@@ -28,26 +28,38 @@ def units_of(data: np.ndarray, offsets: np.ndarray, unit: str) -> tuple[np.ndarr
 
 
 def keyed(docs: DataFrame, key: str, text: str) -> DataFrame:
-    return docs.select(F.col(f"`{key}`").alias("doc"), F.col(f"`{text}`").alias("text"))
+    """``doc, content, text``. ``content``, a hash of the text, tells rows of one key apart that hold different texts."""
+    rows = docs.select(F.col(f"`{key}`").alias("doc"), F.col(f"`{text}`").alias("text"))
+    return rows.select("doc", F.xxhash64("text").alias("content"), "text")
+
+
+def to_texts(texts: DataFrame, rows: DataFrame, how: str = "inner") -> DataFrame:
+    """``texts`` with the columns of ``rows``, which has a row for each ``doc`` and ``content``; null is a key like
+    others."""
+    named = rows.withColumnsRenamed({"doc": "_doc", "content": "_content"})
+    same = texts["doc"].eqNullSafe(named["_doc"]) & (texts["content"] == named["_content"])
+    return texts.join(named, same, how).drop("_doc", "_content")
 
 
 def occurrences(docs: DataFrame, unit: str, window: int, gram: int) -> DataFrame:
-    """``doc, anchor, signature, first, n``: each anchor occurrence with its first window start and how many follow."""
+    """``doc, content, anchor, signature, first, n``: each anchor occurrence with its first window start and how many
+    follow."""
 
     def find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for start, data, offsets in grams.chunks(batch.column(1)):
+            for start, data, offsets in grams.chunks(batch.column(2)):
                 found = grams.anchors(*units_of(data, offsets, unit), window, gram)
+                at = pa.array(start + found.text)
                 yield pa.RecordBatch.from_arrays([
-                    batch.column(0).take(pa.array(start + found.text)),
+                    batch.column(0).take(at), batch.column(1).take(at),
                     pa.array(found.anchor.astype(np.int64)), pa.array(found.signature.astype(np.int64)),
                     pa.array(found.first.astype(np.int32)),
                     pa.array((found.last - found.first + 1).astype(np.int32))],
-                    ["doc", "anchor", "signature", "first", "n"])
+                    ["doc", "content", "anchor", "signature", "first", "n"])
 
     kind = dict(docs.dtypes)["doc"]
-    return docs.filter("doc is not null").mapInArrow(
-        find, f"doc {kind}, anchor long, signature long, first int, n int")
+    return docs.select("doc", "content", "text").mapInArrow(
+        find, f"doc {kind}, content long, anchor long, signature long, first int, n int")
 
 
 def repeated(docs: DataFrame, unit: str, window: int, gram: int) -> DataFrame:
@@ -62,17 +74,17 @@ def repeated(docs: DataFrame, unit: str, window: int, gram: int) -> DataFrame:
 
 
 def window_keys(docs: DataFrame, rows: DataFrame, unit: str, window: int) -> DataFrame:
-    """``anchor, hash, doc, start``: every window of the given occurrences, which are joined to their texts."""
-    wanted = rows.groupBy("doc").agg(F.collect_list(F.struct("anchor", "first", "n")).alias("rows"))
-    joined = docs.join(wanted, "doc").select("doc", "text", "rows")
+    """``anchor, hash, doc, content, start``: every window of the given occurrences, which are joined to their texts."""
+    wanted = rows.groupBy("doc", "content").agg(F.collect_set(F.struct("anchor", "first", "n")).alias("rows"))
+    joined = to_texts(docs, wanted).select("doc", "content", "text", "rows")
 
     def hashed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            lists = batch.column(2)
+            lists = batch.column(3)
             lengths = lists.value_lengths().to_numpy(zero_copy_only=False)
             bounds = np.concatenate(([0], np.cumsum(lengths)))
             anchor, first, n = (lists.flatten().field(k).to_numpy() for k in range(3))
-            for start, data, offsets in grams.chunks(batch.column(1)):
+            for start, data, offsets in grams.chunks(batch.column(2)):
                 units, at = units_of(data, offsets, unit)
                 own = slice(bounds[start], bounds[start + len(offsets) - 1])
                 text = np.repeat(np.arange(len(offsets) - 1), lengths[start:start + len(offsets) - 1])
@@ -80,17 +92,18 @@ def window_keys(docs: DataFrame, rows: DataFrame, unit: str, window: int) -> Dat
                 each = np.repeat(np.arange(len(count)), count)
                 local = first[own][each] + np.arange(len(each)) - np.repeat(np.cumsum(count) - count, count)
                 hashes = grams.window_hashes(grams.Sums(units, 1), local + at[text[each]], window)
+                row = pa.array(start + text[each])
                 yield pa.RecordBatch.from_arrays([
-                    pa.array(anchor[own][each]), pa.array(hashes), batch.column(0).take(pa.array(start + text[each])),
-                    pa.array(local.astype(np.int32))], ["anchor", "hash", "doc", "start"])
+                    pa.array(anchor[own][each]), pa.array(hashes), batch.column(0).take(row), batch.column(1).take(row),
+                    pa.array(local.astype(np.int32))], ["anchor", "hash", "doc", "content", "start"])
 
     kind = dict(docs.dtypes)["doc"]
-    return joined.mapInArrow(hashed, f"anchor long, hash long, doc {kind}, start int")
+    return joined.mapInArrow(hashed, f"anchor long, hash long, doc {kind}, content long, start int")
 
 
 def spans_by_doc(spans: DataFrame) -> DataFrame:
-    """``doc, spans``: the spans ``begin, end`` of a document in one row."""
-    return spans.groupBy("doc").agg(F.collect_list(F.struct("begin", "end")).alias("spans"))
+    """``doc, content, spans``: the spans ``begin, end`` of a text in one row."""
+    return spans.groupBy("doc", "content").agg(F.collect_set(F.struct("begin", "end")).alias("spans"))
 
 
 def merged(begin: np.ndarray, end: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:

@@ -11,11 +11,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from contrail.llm import seeds
-from contrail.llm.tables import landed
+from contrail.llm.tables import landed, settled
 
 
 def repeats(docs: DataFrame, key: str, text: str, window: int = 50) -> DataFrame:
-    """``doc, begin, end``: spans of words whose ``window``-word runs all start in a document with a smaller key too.
+    """``doc, content, begin, end``: spans of words whose ``window``-word runs all start in a document with a smaller key too.
 
     Documents meet on winnowed anchors of half a window. A seed is extended to both sides over all the windows that
     chose it: where its signature, a hash of everything these windows hold, is known from a smaller key, the match
@@ -23,22 +23,23 @@ def repeats(docs: DataFrame, key: str, text: str, window: int = 50) -> DataFrame
     extended window by window; these lie where repeats begin and end. Spans are not merged.
 
     Equality is that of two 64-bit hashes, of the anchor and of all the words. Rows with a null key neither remove nor
-    lose words. Rows with the same key must be equal; none is removed for another.
+    lose words. Rows with the same key, which may hold different texts, do not remove one another; ``content`` tells
+    them apart.
     """
-    texts = seeds.keyed(docs, key, text)
+    texts = seeds.keyed(docs, key, text).filter("doc is not null")
     found = seeds.repeated(texts, seeds.WORDS, window, window // 2)
     signatures = landed(found.groupBy("anchor", "signature").agg(F.min("doc").alias("least")), "anchor-signatures")
     several = signatures.groupBy("anchor").agg(F.count("*").alias("ways"))
     known = landed(signatures.join(several, "anchor"), "anchor-ways")
     rows = landed(found.join(known, ["anchor", "signature"]).filter("doc > least or ways > 1"), "anchor-matches")
     covered = rows.filter("doc > least").select(
-        "doc", F.col("first").alias("begin"), (F.col("first") + F.col("n") - 1 + window).alias("end"))
+        "doc", "content", F.col("first").alias("begin"), (F.col("first") + F.col("n") - 1 + window).alias("end"))
 
     keys = landed(seeds.window_keys(texts, rows.filter("doc = least"), seeds.WORDS, window), "window-keys")
     earlier = keys.groupBy("anchor", "hash").agg(F.min("doc").alias("least"), F.max("doc").alias("most")).filter(
         "least < most").select("anchor", "hash", "least")
     extended = keys.join(landed(earlier, "window-firsts"), ["anchor", "hash"]).filter("doc > least").select(
-        "doc", F.col("start").alias("begin"), (F.col("start") + window).alias("end"))
+        "doc", "content", F.col("start").alias("begin"), (F.col("start") + window).alias("end"))
     return covered.unionByName(extended)
 
 
@@ -50,7 +51,7 @@ def dedup_substrings(docs: DataFrame, key: str, text: str, window: int = 50) ->
     document with a smaller key. Words are runs of non-blank characters, unchanged. A null or empty text has no words
     and an empty ``kept``. Other columns are not read.
     """
-    spans = landed(seeds.spans_by_doc(repeats(docs, key, text, window)), "repeated-spans")
+    spans = settled(lambda: seeds.spans_by_doc(repeats(docs, key, text, window)), "repeated-spans")
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -74,5 +75,5 @@ def dedup_substrings(docs: DataFrame, key: str, text: str, window: int = 50) ->
 
     texts = seeds.keyed(docs, key, text)
     kind = dict(texts.dtypes)["doc"]
-    return texts.join(spans, "doc", "left").select("doc", "text", "spans").mapInArrow(
+    return seeds.to_texts(texts, spans, "left").select("doc", "text", "spans").mapInArrow(
         cut, f"doc {kind}, n_words long, n_removed long, spans array<struct<begin: long, end: long>>, kept string")

@@ -9,55 +9,60 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from contrail.llm import seeds
-from contrail.llm.tables import landed
+from contrail.llm.tables import landed, settled
 
 ALL, LATER = "all", "later"
+WORD = 8
 
 
-def suffix_order(data: np.ndarray, limits: np.ndarray, depth: int) -> tuple[np.ndarray, list[tuple[int, np.ndarray]]]:
-    """Positions in the order of their suffixes, compared over at least ``depth`` bytes, by prefix doubling.
+def words_at(data: np.ndarray) -> np.ndarray:
+    """The eight bytes from every place on as one number, zeros beyond the end."""
+    padded = np.concatenate((data, np.zeros(WORD, np.uint8)))
+    words = np.zeros(len(data), np.uint64)
+    for k in range(WORD):
+        words = (words << np.uint64(8)) | padded[k:k + len(data)]
+    return words
 
-    ``limits`` is the end of the text that each position lies in; a suffix without eight bytes before its limit is
-    unlike every other. Also returns the ranks of each doubled length, from which common prefixes follow.
+
+def suffix_order(words: np.ndarray, limits: np.ndarray, depth: int) -> np.ndarray:
+    """Places in the order of their suffixes, compared over at least ``depth`` bytes, by prefix doubling.
+
+    ``words`` are those of ``words_at``, ``limits`` the end of the text that each place lies in; a suffix without eight
+    bytes before its limit is unlike every other. Only the ranks of the last length are kept, in 32 bits.
     """
-    n, width = len(data), 8
-    padded = np.concatenate((data, np.zeros(width, np.uint8)))
-    words = np.zeros(n, np.uint64)
-    for k in range(width):
-        words = (words << np.uint64(8)) | padded[k:k + n]
-    rank = np.unique(words, return_inverse=True)[1].astype(np.int64)
-    lone = limits - np.arange(n) < width
-    rank[lone] = n + np.flatnonzero(lone)
-    levels = [(width, rank)]
+    n, width = len(words), WORD
+    rank = np.unique(words, return_inverse=True)[1].astype(np.int32)
+    lone = np.flatnonzero(limits - np.arange(n, dtype=np.int32) < width)
+    rank[lone] = n + lone
     while width < depth:
-        there = np.arange(n) + width
-        inside = there < limits
-        second = np.where(inside, rank[np.minimum(there, n - 1)], -1 - np.arange(n))
-        rank = np.unique(rank * np.int64(4 * n + 4) + second + n + 1, return_inverse=True)[1].astype(np.int64)
+        there = np.arange(width, n + width, dtype=np.int64)
+        both = rank * np.int64(4 * n + 4)
+        inside = np.flatnonzero(there < limits)
+        both += n - np.arange(n)  # without a second half: unlike every other
+        both[inside] += rank[there[inside]] + 1 + inside
+        rank = np.unique(both, return_inverse=True)[1].astype(np.int32)
         width *= 2
-        levels.append((width, rank))
-    return np.argsort(rank, kind="stable"), levels
+    return np.argsort(rank, kind="stable").astype(np.int32)
 
 
-def common_prefix(a: np.ndarray, b: np.ndarray, levels: list[tuple[int, np.ndarray]], limits: np.ndarray,
-                  depth: int) -> np.ndarray:
-    """Common prefix of pairs of suffixes in multiples of eight bytes (below that 0), or ``depth`` where it reaches it.
-
-    ``depth`` must be such a multiple.
-    """
-    length = np.zeros(len(a), np.int64)
-    for width, rank in reversed(levels):
-        x, y = a + length, b + length
-        inside = (x < limits[a]) & (y < limits[b])
-        same = inside & (rank[np.where(inside, x, 0)] == rank[np.where(inside, y, 0)])
-        length += np.where(same, width, 0)
-    return np.minimum(length, depth)
+def common_prefix(a: np.ndarray, b: np.ndarray, words: np.ndarray, limits: np.ndarray, depth: int) -> np.ndarray:
+    """Common prefix of pairs of suffixes in whole steps of eight bytes, up to ``depth``, which is such a multiple. Pairs
+    are compared word by word, and leave at their first difference."""
+    length = np.zeros(len(a), np.int32)
+    going = np.arange(len(a))
+    for done in range(0, depth, WORD):
+        x, y = a[going] + done, b[going] + done
+        inside = (x + WORD <= limits[a[going]]) & (y + WORD <= limits[b[going]])
+        going, x, y = going[inside], x[inside], y[inside]
+        going = going[words[x] == words[y]]
+        length[going] += WORD
+    return length
 
 
 def factors(order: np.ndarray, prefix: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -84,18 +89,18 @@ def factors(order: np.ndarray, prefix: np.ndarray) -> tuple[np.ndarray, np.ndarr
     return earlier, later
 
 
-def bucket_repeats(parts: pd.DataFrame, window: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Of the stretches of one bucket, in the order of their places: row and offset of each window start, and whether
-    its window occurs at an earlier (bit 1) or a later one (bit 2)."""
-    sizes = parts["bytes"].map(len).to_numpy()
-    data = np.frombuffer(b"".join(parts["bytes"]), np.uint8)
-    begins = np.cumsum(sizes) - sizes
+def bucket_repeats(parts: list[bytes], starts: np.ndarray, window: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Of the stretches of one bucket, in the order of their places and with ``starts`` windows each: row and offset of
+    each window start, and whether its window occurs at an earlier (bit 1) or a later one (bit 2)."""
+    sizes = np.array([len(p) for p in parts], np.int32)
+    words = words_at(np.frombuffer(b"".join(parts), np.uint8))
+    begins = np.cumsum(sizes, dtype=np.int32) - sizes
     limits = np.repeat(begins + sizes, sizes)
-    order, levels = suffix_order(data, limits, window)
-    row = np.repeat(np.arange(len(parts)), sizes)
-    order = order[(order - begins[row[order]]) < parts["n"].to_numpy()[row[order]]]  # window starts only
-    prefix = np.zeros(len(order), np.int64)
-    prefix[1:] = common_prefix(order[:-1], order[1:], levels, limits, window)
+    order = suffix_order(words, limits, window)
+    row = np.repeat(np.arange(len(parts), dtype=np.int32), sizes)
+    order = order[(order - begins[row[order]]) < starts[row[order]]]  # window starts only
+    prefix = np.zeros(len(order), np.int32)
+    prefix[1:] = common_prefix(order[:-1], order[1:], words, limits, window)
     # Suffixes that share no whole window with a neighbour have no factor of that length.
     shares = (prefix >= window) | np.append(prefix[1:] >= window, False)
     kept, near = order[shares], np.where(prefix >= window, prefix, 0)[shares]
@@ -107,9 +112,10 @@ def bucket_repeats(parts: pd.DataFrame, window: int) -> tuple[np.ndarray, np.nda
 
 
 def repeats(docs: DataFrame, key: str, text: str, window: int = 400, remove: str = ALL,
-            bucket_bytes: int = 4 << 20, max_stretches: int = 4_000) -> DataFrame:
-    """``doc, begin, end``: spans of bytes whose ``window``-byte strings also start elsewhere (``remove="all"``), or at
-    a smaller key or earlier in the same text (``"later"``, which keeps the first copy). ``window`` is a multiple of 8.
+            bucket_bytes: int = 1 << 20, max_stretches: int = 4_000) -> DataFrame:
+    """``doc, content, begin, end``: spans of bytes whose ``window``-byte strings also start elsewhere (``remove="all"``), or at
+    a smaller key or earlier in the same text (``"later"``, which keeps the first copy; null is the smallest key).
+    ``content`` tells texts of one key apart. ``window`` is a multiple of 8.
 
     Occurrences of an anchor with the same signature, a hash of all the bytes of their windows, are one stretch that
     repeats as a whole. One stretch of each signature goes on where an anchor has several; these are sorted by suffix
@@ -118,50 +124,54 @@ def repeats(docs: DataFrame, key: str, text: str, window: int = 400, remove: str
     """
     texts = seeds.keyed(docs, key, text)
     found = seeds.repeated(texts, seeds.BYTES, window, window // 2)
+    at = F.struct("doc", "content", "first")
     signatures = landed(found.groupBy("anchor", "signature").agg(
-        F.count("*").alias("copies"), F.min(F.struct("doc", "first")).alias("least")), "byte-signatures")
+        F.count("*").alias("copies"), F.min(at).alias("least")), "byte-signatures")
     several = signatures.groupBy("anchor").agg(F.count("*").alias("ways"))
     known = landed(signatures.join(several, "anchor").filter("copies > 1 or ways > 1"), "byte-ways")
-    is_first = F.struct("doc", "first") == F.col("least")
+    is_first = at.eqNullSafe(F.col("least"))
     rows = landed(found.join(known, ["anchor", "signature"]).select(
-        "doc", "anchor", "first", "n", "copies", "ways", is_first.alias("is_first")), "byte-matches")
+        "doc", "content", "anchor", "first", "n", "copies", "ways", is_first.alias("is_first")), "byte-matches")
     whole = rows.filter("copies > 1" if remove == ALL else "not is_first").select(
-        "doc", F.col("first").alias("begin"), (F.col("first") + F.col("n") - 1 + window).alias("end"))
+        "doc", "content", F.col("first").alias("begin"), (F.col("first") + F.col("n") - 1 + window).alias("end"))
 
     # The first place of each signature stands for all of them.
-    open_ends = rows.filter("is_first and ways > 1").select("doc", "anchor", "first", "n", "ways")
+    open_ends = rows.filter("is_first and ways > 1").select("doc", "content", "anchor", "first", "n", "ways")
     few = landed(stretches(texts, open_ends.filter(F.col("ways") <= max_stretches), window), "byte-stretches")
     total = few.agg(F.sum(F.length("bytes"))).first()[0] or 0
-    dealt = few.withColumn("_bucket", F.pmod(F.xxhash64("anchor"), F.lit(max(1, -(-total // bucket_bytes)))))
+    buckets = max(1, -(-total // bucket_bytes))
+    dealt = few.withColumn("bucket", F.pmod(F.xxhash64("anchor"), F.lit(buckets)))
     wanted = 3 if remove == ALL else 1
     kind = dict(texts.dtypes)["doc"]
 
-    def sort(parts: pd.DataFrame) -> pd.DataFrame:
-        parts = parts.sort_values(["doc", "first"], ignore_index=True)
-        row, offset, how = bucket_repeats(parts, window)
-        row, offset = row[how & wanted > 0], offset[how & wanted > 0]
-        return pd.DataFrame({"doc": parts["doc"].to_numpy()[row], "begin": parts["first"].to_numpy()[row] + offset})
+    def sort(table: pa.Table) -> pa.Table:
+        places = [(c, "ascending") for c in ("doc", "content", "first")]
+        table = table.take(pc.sort_indices(table, places, null_placement="at_start"))
+        row, offset, how = bucket_repeats(table.column("bytes").to_pylist(), table.column("n").to_numpy(), window)
+        row, offset = pa.array(row[how & wanted > 0]), offset[how & wanted > 0]
+        return pa.table({"doc": table.column("doc").take(row), "content": table.column("content").take(row),
+                         "begin": pc.add(table.column("first").take(row), pa.array(offset.astype(np.int32)))})
 
-    sorted_out = dealt.groupBy("_bucket").applyInPandas(sort, f"doc {kind}, begin int")
+    sorted_out = dealt.groupBy("bucket").applyInArrow(sort, f"doc {kind}, content long, begin int")
 
     keys = landed(seeds.window_keys(texts, open_ends.filter(F.col("ways") > max_stretches), seeds.BYTES, window),
                   "byte-window-keys")
-    place = F.struct("doc", "start")
+    place = F.struct("doc", "content", "start")
     twice = keys.groupBy("anchor", "hash").agg(F.count("*").alias("copies"), F.min(place).alias("least")).filter(
         "copies > 1")
     hashed = keys.join(twice, ["anchor", "hash"])
     if remove != ALL:
-        hashed = hashed.filter(place != F.col("least"))
-    ends = sorted_out.unionByName(hashed.select("doc", F.col("start").alias("begin")))
-    return whole.unionByName(ends.select("doc", "begin", (F.col("begin") + window).alias("end")))
+        hashed = hashed.filter(~place.eqNullSafe(F.col("least")))
+    ends = sorted_out.unionByName(hashed.select("doc", "content", F.col("start").alias("begin")))
+    return whole.unionByName(ends.select("doc", "content", "begin", (F.col("begin") + window).alias("end")))
 
 
 def stretches(texts: DataFrame, rows: DataFrame, window: int) -> DataFrame:
-    """``doc, anchor, first, n, bytes``: the bytes of all the windows of each occurrence."""
-    wanted = rows.groupBy("doc").agg(F.collect_list(F.struct("anchor", "first", "n")).alias("rows"))
-    joined = texts.join(wanted, "doc").select("doc", F.col("text").cast("binary").alias("text"), "rows")
-    return joined.select("doc", "text", F.explode("rows").alias("r")).select(
-        "doc", "r.anchor", "r.first", "r.n",
+    """``doc, content, anchor, first, n, bytes``: the bytes of all the windows of each occurrence."""
+    wanted = rows.groupBy("doc", "content").agg(F.collect_set(F.struct("anchor", "first", "n")).alias("rows"))
+    joined = seeds.to_texts(texts, wanted).select("doc", "content", F.col("text").cast("binary").alias("text"), "rows")
+    return joined.select("doc", "content", "text", F.explode("rows").alias("r")).select(
+        "doc", "content", "r.anchor", "r.first", "r.n",
         F.substring(F.col("text"), F.col("r.first") + 1, F.col("r.n") + window - 1).alias("bytes"))
 
 
@@ -171,10 +181,10 @@ def dedup_bytes(docs: DataFrame, key: str, text: str, window: int = 400, remove:
 
     A byte is removed if a string of ``window`` bytes around it, judged on the input, also starts elsewhere: in another
     row, rows with the same key included, or in the same text, where the two may overlap. A null text is like an empty
-    one. Rows with a null key keep everything and nothing is removed for them. Rows with the same key must be equal.
-    Other columns are not read.
+    one. Rows with a null key are rows like others, and rows of one key may hold different texts. Other columns are not
+    read.
     """
-    spans = landed(seeds.spans_by_doc(repeats(docs, key, text, window, remove)), "byte-spans")
+    spans = settled(lambda: seeds.spans_by_doc(repeats(docs, key, text, window, remove)), "byte-spans")
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -198,5 +208,5 @@ def dedup_bytes(docs: DataFrame, key: str, text: str, window: int = 400, remove:
 
     texts = seeds.keyed(docs, key, text)
     kind = dict(texts.dtypes)["doc"]
-    return texts.join(spans, "doc", "left").select("doc", "text", "spans").mapInArrow(
+    return seeds.to_texts(texts, spans, "left").select("doc", "text", "spans").mapInArrow(
         cut, f"doc {kind}, n_bytes long, n_removed long, spans array<struct<begin: long, end: long>>, kept binary")

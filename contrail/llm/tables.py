@@ -2,20 +2,64 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+import threading
+from collections.abc import Callable
+
+from pyspark.sql import DataFrame, SparkSession
 
 from contrail import session
 
 _FREE = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+_open = threading.local()
 
 
 def landed(df: DataFrame, purpose: str) -> DataFrame:
     """Write ``df`` to the shared work folder and read it from there. Its shuffle files are freed once it is written:
     whoever needs the rows again reads the table."""
-    conf = df.sparkSession.conf
-    before = conf.get(_FREE, "false")
-    conf.set(_FREE, "true")
+    spark = df.sparkSession
+    path = session.work_dir(spark, purpose)
+    before = spark.conf.get(_FREE, "false")
+    spark.conf.set(_FREE, "true")
+    try:
+        df.write.parquet(path)
+    finally:
+        spark.conf.set(_FREE, before)
+    for paths in getattr(_open, "scopes", []):
+        paths.append(path)
+    out = spark.read.schema(df.schema).parquet(path)
+    out._landed = path
+    return out
+
+
+def settled(build: Callable[[], DataFrame], purpose: str) -> DataFrame:
+    """What ``build`` returns, landed; then the tables that were landed on the way are removed.
+
+    They are removed when the result stands, so a lost executor finds what its tasks read. Only what ``build`` lands
+    itself goes: tables that it was given stay.
+    """
+    scopes = _open.__dict__.setdefault("scopes", [])
+    paths: list[str] = []
+    scopes.append(paths)
     try:
-        return session.landed(df, purpose)
+        built = build()
+        on_the_way = list(paths)
+        out = landed(built, purpose)
     finally:
-        conf.set(_FREE, before)
+        scopes.remove(paths)
+    remove(out.sparkSession, on_the_way)
+    for outer in scopes:
+        outer[:] = [p for p in outer if p not in set(on_the_way)]
+    return out
+
+
+def remove(spark: SparkSession, paths: list[str]) -> None:
+    jvm_path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
+    conf = spark._jsparkSession.sessionState().newHadoopConf()
+    for path in paths:
+        place = jvm_path(path)
+        place.getFileSystem(conf).delete(place, True)
+
+
+def place_of(table: DataFrame) -> str:
+    """The folder of a table that ``landed`` returned, before anything is selected from it."""
+    return table._landed

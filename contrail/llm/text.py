@@ -43,3 +43,11 @@ def fold(key: Column, parts: int) -> Column:
 def only(df: DataFrame, columns: Iterable[str]) -> DataFrame:
     """The named columns and no others, so that extra columns of a caller's table cannot clash with working ones."""
     return df.select(*[F.col(f"`{c}`") for c in columns])
+
+
+def unused(name: str, *tables: DataFrame) -> str:
+    """``name``, with as many underscores behind it as no column of the tables has."""
+    taken = {c.lower() for t in tables for c in t.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name

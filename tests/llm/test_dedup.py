@@ -76,14 +76,37 @@ def test_bytes_of_odd_rows(spark):
     assert dedup_bytes(frame(spark, ODD).limit(0), "doc_id", "text").count() == 0
 
 
+def test_bytes_of_null_and_repeated_ids(spark):
+    """Rows, not ids: every row is judged by its own text."""
+    shared = "the same stretch of text in both, long enough"
+    rows = [(None, shared + " and an end"), (1, shared), (1, "short one"), (2, "x" * 20 + shared), (None, "alone here"),
+            (3, "twice over"), (3, "twice over, and more of it")]
+    raw = {i: t.encode() for i, (_, t) in enumerate(rows)}
+    gone = plain.bytes_removed(raw, 8, False)
+    out = dedup_bytes(frame(spark, rows), "doc_id", "text", 8).collect()
+    expected = sorted((str(rows[i][0]), len(raw[i]), len(gone[i]),
+                       bytes(b for k, b in enumerate(raw[i]) if k not in gone[i])) for i in raw)
+    assert sorted((str(r.doc), r.n_bytes, r.n_removed, bytes(r.kept)) for r in out) == expected
+
+
+def test_substrings_of_repeated_ids(spark):
+    rows = [(0, "a b c d e f g h"), (1, "a b c d e f x"), (1, "short one"), (1, "q a b c d z"), (2, "short one two three"),
+            (1, "short one two three")]
+    out = dedup_substrings(frame(spark, rows), "doc_id", "text", 4).collect()
+    assert sorted((r.doc, r.n_words, r.kept) for r in out) == sorted([
+        (0, 8, "a b c d e f g h"), (1, 7, "x"), (1, 2, "short one"), (1, 6, "q z"), (2, 4, ""),
+        (1, 4, "short one two three")])
+
+
 def test_factors_are_those_of_a_plain_search():
     rng = np.random.default_rng(5)
     data = rng.integers(97, 99, 200).astype(np.uint8)
     limits = np.full(len(data), len(data))
-    order, levels = suffix_dedup.suffix_order(data, limits, 16)
+    words = suffix_dedup.words_at(data)
+    order = suffix_dedup.suffix_order(words, limits, 16)
     order = order[order < len(data) - 15]
     prefix = np.zeros(len(order), np.int64)
-    prefix[1:] = suffix_dedup.common_prefix(order[:-1], order[1:], levels, limits, 16)
+    prefix[1:] = suffix_dedup.common_prefix(order[:-1], order[1:], words, limits, 16)
     earlier, later = suffix_dedup.factors(order, prefix)
     text = data.tobytes()
     for i in range(len(order)):
