@@ -35,11 +35,11 @@ def running_total(df: DataFrame, order: str, value: str, into: str, block: int =
     return inside.join(blocks, "_b").withColumn(into, F.col("_before") + F.col("_inside")).select(*df.columns, into)
 
 
-def ingest_counters(normalized: DataFrame, passed: DataFrame, poll: str = "poll_id") -> DataFrame:
-    """Per poll: vectors, sent, dead letters, repeats skipped, altitudes suppressed, and all skips so far.
+def poll_counters(normalized: DataFrame, passed: DataFrame, poll: str = "poll_id") -> DataFrame:
+    """Per poll: vectors, sent, dead letters, repeats skipped, altitudes suppressed.
 
     ``normalized`` is the output of ``normalize_vectors``, ``passed`` the valid events that went on after
-    de-duplication; both carry the poll. The per-poll rows are written once, as the running total reads them thrice.
+    de-duplication; both carry the poll.
     """
     seen = normalized.groupBy(poll).agg(
         F.count(F.lit(1)).alias("states"),
@@ -47,11 +47,17 @@ def ingest_counters(normalized: DataFrame, passed: DataFrame, poll: str = "poll_
         F.count_if("altitude_suppressed").alias("altitudes_suppressed"),
     )
     sent = passed.groupBy(poll).agg(F.count(F.lit(1)).alias("sent"))
-    polls = (
+    return (
         seen.join(sent, poll, "left")
         .withColumn("sent", F.coalesce("sent", F.lit(0)))
         .withColumn("dedupe_skipped", F.col("states") - F.col("dlq") - F.col("sent"))
     )
+
+
+def ingest_counters(normalized: DataFrame, passed: DataFrame, poll: str = "poll_id") -> DataFrame:
+    """``poll_counters`` and all skips so far. The per-poll rows are written once, as the running total reads them
+    thrice."""
+    polls = poll_counters(normalized, passed, poll)
     return running_total(landed(polls, "polls"), poll, "dedupe_skipped", "total_skipped")
 
 

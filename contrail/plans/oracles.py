@@ -157,6 +157,24 @@ def _if_good(expression: str, name: str) -> str:
     return f"case when message is null then {expression} end as {name}"
 
 
+def _counters(source: str) -> str:
+    return (_with(
+        "vectors", source, recursive=True, cut=_CUT.format(source=source), judged=_JUDGED, valid=_VALID,
+        clocked="select *, cast(floor(epoch(ingestion_ts)) as bigint) as clock_s from valid",
+        accepted=_accepted("clocked", _EVENT_KEYS),
+        sent="select poll_id, count(*) as sent from (select poll_id from clocked r join accepted s on "
+        + " and ".join(f"r.{k} is not distinct from s.{k}" for k in (*_EVENT_KEYS, "clock_s"))
+        + " qualify row_number() over (partition by "
+        + ", ".join(f"r.{k}" for k in (*_EVENT_KEYS, "clock_s")) + " order by r.event_id) = 1) group by all",
+        polls="select poll_id, count(*) as states, count(message) as dlq, "
+        "count(*) filter (where message is null and grounded and height > 100) as altitudes_suppressed "
+        "from judged group by all",
+        counted="select p.*, coalesce(sent, 0) as sent, states - dlq - coalesce(sent, 0) as dedupe_skipped "
+        "from polls p left join sent using (poll_id)",
+    ) + "select poll_id, states, dlq, altitudes_suppressed, sent, dedupe_skipped, "
+    "cast(sum(dedupe_skipped) over (order by poll_id) as bigint) as total_skipped from counted")
+
+
 ORACLES: dict[str, str] = {
     "parse_events": _with("telemetry", marked=f"select *, {_DAMAGE} as message from telemetry") + "select "
     + ", ".join(_if_good(c, c) for c in (
@@ -189,21 +207,7 @@ ORACLES: dict[str, str] = {
     + "select case when message = 'icao24 is null or empty' then 'missing_required_field' "
     "else 'schema_validation' end as error_type, count(*) as dead_letters "
     "from judged where message is not null group by all",
-    "ingest_counters": _with(
-        "vectors", "repolled", recursive=True, cut=_CUT.format(source="repolled"), judged=_JUDGED, valid=_VALID,
-        clocked="select *, cast(floor(epoch(ingestion_ts)) as bigint) as clock_s from valid",
-        accepted=_accepted("clocked", _EVENT_KEYS),
-        sent="select poll_id, count(*) as sent from (select poll_id from clocked r join accepted s on "
-        + " and ".join(f"r.{k} is not distinct from s.{k}" for k in (*_EVENT_KEYS, "clock_s"))
-        + " qualify row_number() over (partition by "
-        + ", ".join(f"r.{k}" for k in (*_EVENT_KEYS, "clock_s")) + " order by r.event_id) = 1) group by all",
-        polls="select poll_id, count(*) as states, count(message) as dlq, "
-        "count(*) filter (where message is null and grounded and height > 100) as altitudes_suppressed "
-        "from judged group by all",
-        counted="select p.*, coalesce(sent, 0) as sent, states - dlq - coalesce(sent, 0) as dedupe_skipped "
-        "from polls p left join sent using (poll_id)",
-    ) + "select poll_id, states, dlq, altitudes_suppressed, sent, dedupe_skipped, "
-    "cast(sum(dedupe_skipped) over (order by poll_id) as bigint) as total_skipped from counted",
+    "ingest_counters": _counters("repolled"),
     "dedupe_ttl": _with("telemetry", "replays", recursive=True, accepted=_accepted("replays", _REPLAY_KEYS))
     + "select * from accepted",
     "within_bbox": _with("telemetry")
@@ -271,3 +275,80 @@ for _name, _delay in (("traffic_hourly", "1 hour"), ("traffic_5m", "10 minutes")
         f"{_head}select * from (select {_query}) where end_time <= (select max(reading_ts) from traffic) "
         f"- interval '{_delay}'"
     )
+
+# streams
+
+ORACLES["dedupe_stateful"] = ORACLES["dedupe_ttl"]
+ORACLES["pipeline_tables_shared"] = ORACLES["catalog_tables"] = ORACLES["pipeline_tables"]
+ORACLES["ingest_counters_stream"] = _counters("polled")
+ORACLES["ingest_to_messages"] = _with(
+    "vectors", "polled", recursive=True, cut=_CUT.format(source="polled"), judged=_JUDGED, valid=_VALID,
+    clocked="select *, cast(floor(epoch(ingestion_ts)) as bigint) as clock_s from valid",
+    accepted=_accepted("clocked", _EVENT_KEYS),
+    messages="select 'events' as topic, icao24 as message_key, "
+    f"{_iso('make_timestamp(clock_s * 1000000)')} as at, icao24 as field_0, last_contact_utc as field_1, "
+    f"'{bbox_id(*BOX)}' as field_2 from accepted "
+    "union all select 'dead', case when message <> 'icao24 is null or empty' then nullif(icao24, '') end, "
+    f"{_iso('ingestion_ts')}, case when message <> 'icao24 is null or empty' then icao24 end, "
+    "case when message = 'icao24 is null or empty' then 'missing_required_field' else 'schema_validation' end, "
+    "message from judged where message is not null",
+) + 'select topic, message_key, "at", field_0, field_1, field_2, count(*) as messages from messages group by all'
+_TURNS = (
+    "select *, case when event_id % 40 = 7 then 2 else own end as turn from (select *, "
+    "(s - min(s) over ()) // ((max(s) over () - min(s) over ()) // 3 + 1) as own "
+    "from (select *, cast(floor(epoch(event_ts)) as bigint) as s from telemetry))"
+)
+_LATE = (
+    "select t.*, s - s % 300 + 300 <= w.newest - 600 as late from turns t left join "
+    "(select n.turn, max(p.s) as newest from (select distinct turn from turns) n join turns p on p.turn < n.turn "
+    "group by n.turn) w using (turn)"
+)
+ORACLES["late_rows"] = _with("telemetry", turns=_TURNS, marked=_LATE) + (
+    "select cast(turn as integer) as batch, icao24, callsign, make_timestamp(s * 1000000) as event_ts, lat, lon, "
+    "altitude_m from marked where late"
+)
+ORACLES["stream_progress"] = _with("telemetry") + (
+    "select name, runs, failed_runs, false as dropped_rows, case when name = 'parsed_layer' then cast(3 as bigint) end as batches, "
+    "case when name = 'parsed_layer' then (select count(*) from telemetry) end as rows, failed_runs > 0 as reported "
+    "from (values ('parsed_layer', cast(3 as bigint), cast(0 as bigint)), ('flight_state_upsert', 3, 0), "
+    "('airspace_grid_5m', 3, 0), ('quality_metrics_5m', 3, 0), ('waiting_query', 1, 0), ('broken_query', 1, 1)) "
+    "v(name, runs, failed_runs)"
+)
+_SECONDS = (
+    "select *, cast(floor(epoch(ingestion_ts)) as bigint) as s, lat is not null and lon is not null as here "
+    "from telemetry where icao24 <> '' qualify row_number() over "
+    "(partition by icao24, cast(floor(epoch(ingestion_ts)) as bigint) order by event_ts desc, event_id desc) = 1"
+)
+_NEIGHBOURS = (
+    "select *, lag(s) over w as before, lag(here) over w as was, lead(s) over w as next, lead(here) over w as stays, "
+    "max(s) over () as last from seconds window w as (partition by icao24 order by s)"
+)
+_AT = "make_timestamp(({}) * 1000000) as at"
+ORACLES["live_positions_stream"] = _with("telemetry", seconds=_SECONDS, neighbours=_NEIGHBOURS) + (
+    f"select icao24, 'appeared' as change, {_AT.format('s')}, lat, lon, altitude_m from neighbours "
+    "where here and (before is null or not was or s > before + 300) "
+    f"union all select icao24, 'removed', {_AT.format('case when next <= s + 300 then next else s + 300 end')}, "
+    "null, null, null from neighbours "
+    "where here and case when next <= s + 300 then not stays when next is not null then true else last > s + 300 end "
+    f"union all select icao24, 'live', {_AT.format('s')}, lat, lon, altitude_m from neighbours "
+    "where here and next is null and last <= s + 300"
+)
+
+# views
+
+_KNOWN["busy_state"] = _STATE.replace("from telemetry", "from busy")
+_KNOWN["busy_grid"] = _GRID.replace("from telemetry", "from busy")
+ORACLES["to_imperial_display"] = _with("telemetry", "state") + (
+    "select icao24, round_even(velocity_mps * 2.23694e0, 1) as velocity_mps, round_even(altitude_m * 3.28084e0, 0) "
+    "as altitude_m, round_even(vertical_rate_mps * 196.85e0, 1) as vertical_rate_mps from state"
+)
+ORACLES["live_positions_5m"] = _with("busy", state=_KNOWN["busy_state"]) + (
+    "select icao24, callsign, lat, lon, altitude_m, velocity_mps, heading_deg, updated_at_utc from state "
+    "where lat is not null and lon is not null "
+    "and updated_at_utc >= (select max(updated_at_utc) from state) - interval '5 minutes'"
+)
+ORACLES["airspace_density_busy"] = _with("busy", grid=_KNOWN["busy_grid"]) + (
+    "select grid_cell, aircraft_count, avg_altitude_m, cast(split_part(grid_cell, '_', 1) as double) as grid_lat, "
+    "cast(split_part(grid_cell, '_', 2) as double) as grid_lon from grid "
+    "where window_end = (select max(window_end) from grid)"
+)

@@ -15,6 +15,7 @@ _SPARK = {
     "ADD": "make_dt_interval(0,0,0,{n})",
     "STR": "string",
     "TS": "cast(ts as timestamp)",
+    "BUSY_TS": "timestamp_seconds(1704067200 + event_id * 7919 % 900)",
 }
 _DUCK = {
     "K": "cast(json_extract_string(props,'$.k') as int)",
@@ -22,6 +23,7 @@ _DUCK = {
     "ADD": "to_seconds({n})",
     "STR": "varchar",
     "TS": "ts",
+    "BUSY_TS": "make_timestamp((1704067200 + event_id * 7919 % 900) * 1000000)",
 }
 
 _TELEMETRY = """
@@ -64,6 +66,18 @@ select {TS} as reading_ts, concat('loc_', cast(user_id % 10 as {STR})) as locati
 from events
 """
 
+# The same telemetry squeezed into a quarter of an hour and 200 grid cells, so that cells and windows hold many rows.
+_BUSY = """
+select event_id, lower(lpad(hex(user_id),6,'0')) as icao24, concat('TST', cast(user_id as {STR})) as callsign,
+  {BUSY_TS} as event_ts, {BUSY_TS} + {ADD_LAG} as ingestion_ts,
+  case when event_type = 'error' then cast(null as double) else 24.0e0 + (user_id % 20) * 0.173e0 end as lat,
+  case when event_type = 'error' then cast(null as double) else -125.0e0 + ({K} % 10) * 0.61e0 end as lon,
+  case when event_type = 'signup' then cast(null as double) else value * 25.0e0 end as altitude_m,
+  value as velocity_mps, cast(event_id % 360 as double) as heading_deg,
+  cast({K} - 50 as double) as vertical_rate_mps, event_type = 'click' as on_ground, 'events' as source
+from events
+"""
+
 # Every row again at these clock offsets, which tell "since the last accepted" from "since the last seen".
 REPLAY_OFFSETS = (0, 60, 119, 120, 200, 241)
 # Every vector again in later polls: one repeat within the TTL, one after it.
@@ -72,7 +86,7 @@ REPOLL_OFFSETS = (0, 60, 130)
 
 def _fill(text: str, engine: dict[str, str]) -> str:
     return text.format(
-        **{k: engine[k] for k in ("K", "EPOCH", "STR", "TS")}, ADD_LAG=engine["ADD"].format(n="event_id % 7")
+        **{k: engine[k] for k in ("K", "EPOCH", "STR", "TS", "BUSY_TS")}, ADD_LAG=engine["ADD"].format(n="event_id % 7")
     ).strip()
 
 
@@ -94,6 +108,10 @@ def telemetry(source: DataFrame) -> DataFrame:
     return _project(source, _TELEMETRY)
 
 
+def busy(source: DataFrame) -> DataFrame:
+    return _project(source, _BUSY)
+
+
 def vectors(source: DataFrame) -> DataFrame:
     return _project(source, _VECTORS)
 
@@ -122,11 +140,27 @@ def repolled(source: DataFrame) -> DataFrame:
     )
 
 
+# Poll responses every ten seconds: new vectors, those of the poll before (within the TTL), and those of the 13th before
+# (after it).
+POLL_OFFSETS = (0, 1, 13)
+POLL_SECONDS = 10
+FIRST_POLL = 1_704_067_200
+
+
+def polled(source: DataFrame) -> DataFrame:
+    """The vectors of polls, each in three of them, with the time of the poll."""
+    copies = F.posexplode(F.array(*[F.lit(o) for o in POLL_OFFSETS])).alias("n", "later")
+    return vectors(source).select("event_id", "poll_id", "state", copies).select(
+        (F.col("event_id") * 3 + F.col("n")).alias("event_id"), (F.col("poll_id") + F.col("later")).alias("poll_id"),
+        F.timestamp_seconds(FIRST_POLL + POLL_SECONDS * (F.col("poll_id") + F.col("later"))).alias("ingestion_ts"), "state")
+
+
 # The same for DuckDB, as the bodies of common table expressions.
 DUCK = {
     "telemetry": _fill(_TELEMETRY, _DUCK),
     "vectors": _fill(_VECTORS, _DUCK),
     "readings": _fill(_READINGS, _DUCK),
+    "busy": _fill(_BUSY, _DUCK),
 }
 DUCK["replays"] = (
     "select t.icao24, t.event_ts as last_contact, t.lat, t.lon, t.altitude_m, t.velocity_mps, "
@@ -138,3 +172,9 @@ DUCK["repolled"] = (
     "v.ingestion_ts + to_seconds(o.sec) as ingestion_ts, v.state from vectors v cross join "
     "(values " + ", ".join(f"({n}, {sec})" for n, sec in enumerate(REPOLL_OFFSETS)) + ") o(n, sec)"
 )
+DUCK["polled"] = (
+    "select v.event_id * 3 + o.n as event_id, v.poll_id + o.later as poll_id, "
+    f"make_timestamp(({FIRST_POLL} + {POLL_SECONDS} * (v.poll_id + o.later)) * 1000000) as ingestion_ts, v.state "
+    "from vectors v cross join (values " + ", ".join(f"({n}, {later})" for n, later in enumerate(POLL_OFFSETS))
+    + ") o(n, later)"
+)

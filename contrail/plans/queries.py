@@ -5,8 +5,10 @@ Timestamps leave as zone-less timestamps and averages rounded to six digits, so
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
+from pyspark.errors import StreamingQueryException
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
 from contrail.functions import bbox_id
@@ -24,7 +26,9 @@ from contrail.schemas import (
 from contrail.session import configure, landed, work_dir
 from contrail.sources import FolderTarget, export_snapshots as write_snapshots, load_table, read_event_stream
 from contrail.streaming import (
-    append_windows, dedupe_stream as dedupe_batches, insert_absent_windows, start_pipeline, start_traffic,
+    ProgressLog, QueryFailed, append_windows, await_queries, dedupe_stateful as dedupe_keyed,
+    dedupe_stream as dedupe_batches, insert_absent_windows, keep_live, live_changes, read_ingest_counts, read_live,
+    start_ingest, start_pipeline, start_shared_pipeline, start_traffic,
 )
 
 BOX = (25.0, 45.0, -110.0, -80.0)
@@ -178,17 +182,101 @@ def q_dedupe_ttl(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _out(dedupe_ttl(P.replays(_events(spark, sf_dir)), REPLAY_KEYS))
 
 
-def q_dedupe_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = P.replays(P.events_stream(configure(spark), sf_dir))
+def _in_turns(rows: DataFrame, order: Column, base: str, catch_up: Callable[[DataFrame], None], turns: int = 3) -> None:
+    """Land rows in several turns, in their order, and let a stream of them catch up after each: several batches, and a
+    restart from the checkpoint between them."""
+    low, high = rows.agg(F.min(order), F.max(order)).first()
+    step = (high - low) // turns + 1
+    for turn in range(turns):
+        rows.where((order >= low + turn * step) & (order < low + (turn + 1) * step)).write.mode("append").parquet(
+            f"{base}/in")
+        catch_up(rows.sparkSession.readStream.schema(rows.schema).parquet(f"{base}/in"))
+
+
+def _passed_in_turns(spark: SparkSession, sf_dir: str, run: Callable[[DataFrame, str, Callable], None]) -> DataFrame:
+    """The replays, de-duplicated by a stream in three batches with restarts."""
+    rows = P.replays(_events(spark, sf_dir))
     base = work_dir(spark, "dedupe")
-    target = FolderTarget(f"{base}/tables")
 
     def keep(passed: DataFrame, batch_id: int) -> None:
         passed.write.mode("overwrite").parquet(f"{base}/passed/batch={batch_id}")
 
-    _run_stream(rows, dedupe_batches(target, keep, REPLAY_KEYS), f"{base}/checkpoint", "append")
-    passed = spark.read.schema(rows.schema).parquet(f"{base}/passed")
-    return _out(passed.select(*rows.columns))
+    _in_turns(rows, F.col("clock_s"), base, lambda part: run(part, base, keep))
+    return _out(spark.read.schema(rows.schema).parquet(f"{base}/passed").select(*rows.columns))
+
+
+def q_dedupe_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _passed_in_turns(spark, sf_dir, lambda rows, base, keep: _run_stream(
+        rows, dedupe_batches(FolderTarget(f"{base}/tables"), keep, REPLAY_KEYS), f"{base}/checkpoint", "append"))
+
+
+def q_dedupe_stateful(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _passed_in_turns(spark, sf_dir, lambda rows, base, keep: _run_stream(
+        dedupe_keyed(rows, REPLAY_KEYS), keep, f"{base}/checkpoint", "append"))
+
+
+class _FailsOnce:
+    """A message sink that breaks down after a batch has been written for the first time, as a lost connection would."""
+
+    def __init__(self, path: str, batch_id: int):
+        self.path, self.batch_id, self.failed = path, batch_id, False
+
+    def __call__(self, messages: DataFrame, batch_id: int) -> None:
+        messages.write.mode("overwrite").parquet(f"{self.path}/batch={batch_id}")
+        if batch_id == self.batch_id and not self.failed:
+            self.failed = True
+            raise ConnectionError("the sink is gone")
+
+
+def _run_ingest(spark: SparkSession, sf_dir: str) -> tuple[str, FolderTarget]:
+    """Polls to messages in three batches, of which the second runs twice."""
+    base = work_dir(spark, "ingest")
+    target = FolderTarget(f"{base}/tables")
+    rows = P.polled(_events(spark, sf_dir))
+    listed = F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("event_id", "state"))),
+                                      lambda s: s["state"]), ",")
+    polls = rows.groupBy("poll_id", "ingestion_ts").agg(
+        F.concat(F.lit('{"time":0,"states":['), listed, F.lit("]}")).alias("value"))
+    events = _FailsOnce(f"{base}/events", 1)
+
+    def dead(messages: DataFrame, batch_id: int) -> None:
+        messages.write.mode("overwrite").parquet(f"{base}/dead/batch={batch_id}")
+
+    def catch_up(part: DataFrame) -> None:
+        for _ in range(2):
+            query = start_ingest(part, events, dead, f"{base}/checkpoint", bbox_id(*BOX), dedupe_in=target,
+                                 trigger={"availableNow": True}, count_in=target, now=F.col("ingestion_ts"))
+            try:
+                query.awaitTermination()
+                return
+            except StreamingQueryException as error:
+                if "the sink is gone" not in str(error):
+                    raise
+
+    _in_turns(polls, F.col("poll_id"), base, catch_up)
+    return base, target
+
+
+def q_ingest_counters_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    _, target = _run_ingest(configure(spark), sf_dir)
+    return read_ingest_counts(spark, target)
+
+
+def q_ingest_to_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What the polls became: event messages without repeats, and dead letters."""
+    base, _ = _run_ingest(configure(spark), sf_dir)
+    body = F.col("value").cast("string")
+
+    def read(kind: str, time: str, *paths: str) -> DataFrame:
+        rows = spark.read.schema("key binary, value binary").parquet(f"{base}/{kind}")
+        return rows.select(
+            F.lit(kind).alias("topic"), F.col("key").cast("string").alias("message_key"),
+            F.get_json_object(body, time).alias("at"),
+            *[F.get_json_object(body, path).alias(f"field_{n}") for n, path in enumerate(paths)])
+
+    events = read("events", "$.ingestion_time_utc", "$.icao24", "$.last_contact_utc", "$.bbox_id")
+    dead = read("dead", "$.error_time_utc", "$.raw_icao24", "$.error_type", "$.message")
+    return events.unionByName(dead).groupBy(*events.columns).agg(F.count("*").alias("messages"))
 
 
 # aggregates
@@ -276,6 +364,27 @@ def q_to_imperial(spark: SparkSession, sf_dir: str) -> DataFrame:
     return converted.select("icao24", *[F.round(n, 6).alias(n) for n in names])
 
 
+def q_to_imperial_display(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """As shown: rounded half to even, to one digit, none and one."""
+    names = ["velocity_mps", "altitude_m", "vertical_rate_mps"]
+    return to_imperial(_state(spark, sf_dir).select("icao24", *names))
+
+
+def _busy_state(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return latest_state(P.busy(_events(spark, sf_dir)))
+
+
+def q_live_positions_5m(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A quarter of an hour of telemetry, of which the last five minutes are live."""
+    state = _busy_state(spark, sf_dir)
+    return _out(live_positions(state, state.agg(F.max("updated_at_utc")).scalar()))
+
+
+def q_airspace_density_busy(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The newest of a few windows with many cells, each of many messages."""
+    return _out(airspace_density(airspace_grid_5m(P.busy(_events(spark, sf_dir)))))
+
+
 def q_airspace_density(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The newest window is found from the times alone, and only its rows are aggregated."""
     rows = with_position(_telemetry(spark, sf_dir))
@@ -317,35 +426,37 @@ def q_export_snapshots(spark: SparkSession, sf_dir: str) -> DataFrame:
 # running pipelines
 
 def _fed(rows: DataFrame, time: str, to_messages: Callable[[DataFrame], DataFrame],
-         start: Callable[[DataFrame, str], dict], base: str, turns: int = 3) -> None:
+         start: Callable[[DataFrame, str], dict], base: str, turns: int = 3, turn_of: Callable | None = None) -> None:
     """Land rows as messages in several turns, in time order, and let the queries catch up after each: several
-    batches, and a restart from the checkpoint between them."""
+    batches, and a restart from the checkpoint between them. ``turn_of`` may move rows to a later turn than their own.
+    """
     spark = rows.sparkSession
     seconds = F.unix_timestamp(time)
     low, high = rows.agg(F.min(seconds), F.max(seconds)).first()
-    step = (high - low) // turns + 1
+    own = F.floor((seconds - low) / ((high - low) // turns + 1))
+    placed = turn_of(own) if turn_of else own
     for turn in range(turns):
-        part = rows.where((seconds >= low + turn * step) & (seconds < low + (turn + 1) * step))
-        to_messages(part).select("key", "value").write.mode("append").parquet(f"{base}/in")
+        to_messages(rows.where(placed == turn)).select("key", "value").write.mode("append").parquet(f"{base}/in")
         raw = read_event_stream(spark, "parquet", f"{base}/in")
-        for query in start(raw, f"{base}/checkpoint").values():
-            query.awaitTermination()
+        await_queries(start(raw, f"{base}/checkpoint"))
+
+
+def _messages(part: DataFrame) -> DataFrame:
+    return to_event_messages(with_event_text(part, "events", SCHEMA_VERSION))
 
 
-def _run_pipeline(spark: SparkSession, sf_dir: str, mode: str) -> FolderTarget:
+def _run_pipeline(spark: SparkSession, sf_dir: str, mode: str, starter: Callable = start_pipeline) -> FolderTarget:
     base = work_dir(spark, "pipeline")
     target = FolderTarget(f"{base}/tables")
-    _fed(_telemetry(spark, sf_dir), "event_ts",
-         lambda part: to_event_messages(with_event_text(part, "events", SCHEMA_VERSION)),
-         lambda raw, checkpoint: start_pipeline(raw, target, checkpoint, mode, trigger={"availableNow": True}), base)
+    _fed(_telemetry(spark, sf_dir), "event_ts", _messages,
+         lambda raw, checkpoint: starter(raw, target, checkpoint, mode, trigger={"availableNow": True}), base)
     return target
 
 
-def q_pipeline_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
-    target = _run_pipeline(spark, sf_dir, "append")
-
+def _tables(read: Callable[[Table], DataFrame]) -> DataFrame:
+    """The three tables in one shape."""
     def rows(table: Table, at: str, key: str, amount: str) -> DataFrame:
-        return target.read(spark, table.name).select(
+        return read(table).select(
             F.lit(table.name).alias("table_name"), F.col(at).alias("at"), F.expr(key).alias("row_key"),
             F.expr(amount).cast("double").alias("amount"))
 
@@ -354,6 +465,102 @@ def q_pipeline_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
                 .unionByName(rows(QUALITY_5M, "window_start", "''", "total_messages")))
 
 
+def q_pipeline_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
+    target = _run_pipeline(spark, sf_dir, "append")
+    return _tables(lambda table: target.read(spark, table.name))
+
+
+def q_pipeline_tables_shared(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same tables, from messages that are parsed once."""
+    target = _run_pipeline(spark, sf_dir, "append", start_shared_pipeline)
+    return _tables(lambda table: target.read(spark, table.name))
+
+
+def q_catalog_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same tables, read by their names in the catalog."""
+    target = _run_pipeline(spark, sf_dir, "append", start_shared_pipeline)
+    database = f"telemetry_{uuid.uuid4().hex}"
+    spark.sql(f"CREATE DATABASE {database}")
+    for table in (STATE, GRID_5M, QUALITY_5M):
+        target.publish(spark, table, database)
+    return _tables(lambda table: spark.table(f"{database}.{table.name}"))
+
+
+HELD_BACK = 40
+
+
+def _late(turn: Column) -> Column:
+    """One message in forty comes in the last turn, whatever its time."""
+    return F.when(F.col("event_id") % HELD_BACK == 7, 2).otherwise(turn)
+
+
+def q_late_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Messages that come when the watermark has closed their window, with what they carry."""
+    base = work_dir(spark, "late")
+    target = FolderTarget(f"{base}/tables")
+    rows = _telemetry(spark, sf_dir)
+
+    def keep(late: DataFrame, batch_id: int) -> None:
+        late.write.mode("overwrite").parquet(f"{base}/late/batch={batch_id}")
+
+    _fed(rows, "event_ts", _messages, lambda raw, checkpoint: start_shared_pipeline(
+        raw, target, checkpoint, late=keep, trigger={"availableNow": True}), base, turn_of=_late)
+    found = spark.read.parquet(f"{base}/late")
+    return _out(found.select("batch", "icao24", "callsign", "event_ts", "lat", "lon", "altitude_m"))
+
+
+def q_stream_progress(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What the queries of a pipeline report, and a query that fails beside another."""
+    base = work_dir(spark, "progress")
+    target = FolderTarget(f"{base}/tables")
+    rows = _telemetry(spark, sf_dir)
+
+    def broken(batch: DataFrame, batch_id: int) -> None:
+        raise ConnectionError("the sink is gone")
+
+    with ProgressLog(spark, f"{base}/log") as log:
+        _fed(rows, "event_ts", _messages, lambda raw, checkpoint: start_shared_pipeline(
+            raw, target, checkpoint, trigger={"availableNow": True}), base, turn_of=_late)
+        raw = read_event_stream(spark, "parquet", f"{base}/in")
+        both = {
+            name: raw.writeStream.queryName(name).foreachBatch(sink).option("checkpointLocation", f"{base}/{name}").start()
+            for name, sink in (("waiting_query", lambda batch, batch_id: None), ("broken_query", broken))}
+        try:
+            await_queries(both)
+            reported = None
+        except QueryFailed as failure:
+            reported = str(failure).split(":")[0]
+    batches = log.batches().where(F.col("name") == "parsed_layer")
+    read = batches.agg(F.count_if(F.col("rows") > 0).alias("batches"), F.sum("rows").alias("rows"))
+    dropped = log.batches().where(F.col("late_rows") > 0).select("name").distinct()
+    ended = log.ended().groupBy("name").agg(F.count("*").alias("runs"), F.count("error").alias("failed_runs"))
+    return ended.join(dropped.withColumn("dropped_rows", F.lit(True)), "name", "left").join(
+        read.withColumn("name", F.lit("parsed_layer")), "name", "left").select(
+        "name", "runs", "failed_runs", F.coalesce("dropped_rows", F.lit(False)).alias("dropped_rows"), "batches", "rows",
+        (F.col("name").eqNullSafe(F.lit(reported))).alias("reported"))
+
+
+def q_live_positions_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every appearance and removal of a vehicle, and the positions that are live in the end."""
+    base = work_dir(spark, "live")
+    target = FolderTarget(f"{base}/tables")
+    apply = keep_live(target)
+
+    def write(changes: DataFrame, batch_id: int) -> None:
+        changes.write.mode("overwrite").parquet(f"{base}/changes/batch={batch_id}")
+        apply(spark.read.parquet(f"{base}/changes/batch={batch_id}"), batch_id)
+
+    def catch_up(rows: DataFrame) -> None:
+        changes = live_changes(rows, max_age=300, tiebreak=["event_ts", "event_id"])
+        _run_stream(changes, write, f"{base}/checkpoint", "append")
+
+    _in_turns(_telemetry(spark, sf_dir), F.unix_timestamp("ingestion_ts"), base, catch_up)
+    changes = spark.read.parquet(f"{base}/changes").where(F.col("change") != "moved")
+    live = read_live(spark, target).withColumn("change", F.lit("live")).withColumnRenamed("updated_at_utc", "at")
+    names = ["icao24", "change", "at", "lat", "lon", "altitude_m"]
+    return _out(changes.select(*names).unionByName(live.select(*names)))
+
+
 def q_grid_live_view(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Open windows too, each as it was last emitted."""
     grid = _run_pipeline(spark, sf_dir, "update").read(spark, GRID_5M.name)

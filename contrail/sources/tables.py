@@ -68,15 +68,16 @@ def load_table(
 PARTS = ("window_date date", "run string", "batch bigint")
 
 
-def ensure_table(spark: SparkSession, table: Table, path: str) -> None:
+def ensure_table(spark: SparkSession, table: Table, path: str, database: str | None = None) -> None:
     """Create the catalog table over ``path`` unless it exists, laid out as ``FolderTarget`` writes window tables."""
+    name = f"{database}.{table.name}" if database else table.name
     columns = [f"{f.name} {f.dataType.simpleString()}{'' if f.nullable else ' NOT NULL'}" for f in table.schema]
     partitioned = ""
     if table.window:
         columns += PARTS
         partitioned = f" PARTITIONED BY ({', '.join(p.split()[0] for p in PARTS)})"
     spark.sql(
-        f"CREATE TABLE IF NOT EXISTS {table.name} ({', '.join(columns)}) USING parquet{partitioned} LOCATION '{path}'"
+        f"CREATE TABLE IF NOT EXISTS {name} ({', '.join(columns)}) USING parquet{partitioned} LOCATION '{path}'"
     )
 
 
@@ -177,16 +178,17 @@ class FolderTarget:
             files.delete(jvm_path(folder), True)
             files.rename(jvm_path(fresh), jvm_path(folder))
 
-    def publish(self, spark: SparkSession, table: Table) -> None:
-        """Make what lies in the folder readable under the table's name: a window table with all its folders, a keyed
-        one as a view of its newest version. To be called again after writes."""
+    def publish(self, spark: SparkSession, table: Table, database: str | None = None) -> None:
+        """Make what lies in the folder readable under the table's name, in ``database`` or the current one: a window
+        table with all its folders, a keyed one as a view of its newest version. To be called again after writes."""
+        name = f"{database}.{table.name}" if database else table.name
         if table.window:
-            ensure_table(spark, table, self.path(table))
-            spark.sql(f"MSCK REPAIR TABLE {table.name}")
-            spark.catalog.refreshTable(table.name)
+            ensure_table(spark, table, self.path(table), database)
+            spark.sql(f"MSCK REPAIR TABLE {name}")
+            spark.catalog.refreshTable(name)
         elif found := self.versions(spark, table):
             columns = ", ".join(table.columns)
-            spark.sql(f"CREATE OR REPLACE VIEW {table.name} AS SELECT {columns} FROM "
+            spark.sql(f"CREATE OR REPLACE VIEW {name} AS SELECT {columns} FROM "
                       f"parquet.`{self.path(table)}/{found[-1].folder}`")
 
     # keyed tables

@@ -13,6 +13,7 @@ from typing import Protocol
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from contrail.operators.counters import poll_counters, running_total
 from contrail.operators.dedupe import accepted_last, dedupe_ttl
 from contrail.operators.ingest import route_events
 from contrail.operators.latest import absent_rows, latest_state
@@ -154,3 +155,35 @@ def dedupe_stream(
         target.drop(spark, folder)
 
     return write
+
+
+def count_ingest(
+    target: FolderTarget, poll: str = "poll_id", name: str = "ingest_counters",
+) -> Callable[[DataFrame, DataFrame, int], None]:
+    """Counters of every poll with the running total of skips, carried from batch to batch.
+
+    Takes the normalised rows of a batch, those that went on, and the batch id. The total that a batch ends with is a
+    version of its own, so a batch that runs again starts from the total before it and replaces its own rows: each
+    poll counts once. Polls are numbered in their order, and one is never split over batches.
+    """
+
+    def count(normalized: DataFrame, passed: DataFrame, batch_id: int) -> None:
+        spark = normalized.sparkSession
+        stored = target.keyed(spark, f"{name}_total", before=batch_id)
+        before = 0 if stored is None else stored.first()["total_skipped"]
+        place = target.path(f"{name}/run={run_id(spark)}/batch={batch_id}")
+        counted = f"{place}/polls"
+        poll_counters(normalized, passed, poll).write.mode("overwrite").parquet(f"{counted}-alone")
+        alone = spark.read.parquet(f"{counted}-alone")
+        total = running_total(alone, poll, "dedupe_skipped", "total_skipped")
+        total.withColumn("total_skipped", F.col("total_skipped") + before).write.mode("overwrite").parquet(counted)
+        after = alone.agg((F.coalesce(F.sum("dedupe_skipped"), F.lit(0)) + before).alias("total_skipped"))
+        target.write_version(after, f"{name}_total", batch_id)
+
+    return count
+
+
+def read_ingest_counts(spark: SparkSession, target: FolderTarget, name: str = "ingest_counters") -> DataFrame:
+    """What ``count_ingest`` has written so far."""
+    return spark.read.option("basePath", target.path(name)).parquet(f"{target.path(name)}/run=*/batch=*/polls").drop(
+        "run", "batch")
