@@ -13,74 +13,147 @@ from heapq import heapify, heappop
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-import regex
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from contrail.session import landed
+from contrail.llm.tables import landed
+from contrail.llm.text import unused
 
 # Characters whose lower case is one character and which no normal form changes: ASCII and Latin-1 without its signs.
-_PLAIN = re.compile(r"[!-~À-ÖØ-Þß-öø-ÿ]+")
-_BLANKS = re.compile(r"[ \t\n\x0b\x0c\r]+")
-# What str.split takes for blanks and the tokenizers' own pattern does not.
-_SEPARATORS = re.compile(r"[\x1c-\x1f]")
-_REMEMBERED = 200_000
+_PLAIN = "^[!-~À-ÖØ-Þß-öø-ÿ]+$"
+_REMEMBERED = 150_000
+CHUNK_BYTES = 8 << 20
 
 
-class _Memory(dict):
-    """The ids of words or pieces as bytes, worked out when first asked for; forgets everything when it is full."""
+class Ragged:
+    """Rows of ids one after the other, from bytes of unsigned 32-bit numbers."""
 
-    def __init__(self, ids_of: Callable[[str], bytes]):
-        super().__init__()
-        self.ids_of = ids_of
+    def __init__(self, rows: list[bytes]):
+        self.flat = np.frombuffer(b"".join(rows), np.uintc)
+        self.sizes = np.array(list(map(len, rows)), np.int64) // 4
 
-    def __missing__(self, key: str) -> bytes:
-        if len(self) >= _REMEMBERED:
-            self.clear()
-        ids = self[key] = self.ids_of(key)
-        return ids
+    def take(self, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of the rows ``at`` one after the other, and where each row's begin (one more than rows)."""
+        count = self.sizes[at]
+        total = np.concatenate(([0], np.cumsum(count)))
+        starts = (np.cumsum(self.sizes) - self.sizes)[at]
+        return self.flat[np.repeat(starts - total[:-1], count) + np.arange(total[-1])], total
 
 
-@functools.cache
-def encoder(path: str) -> Callable[[str], np.ndarray]:
-    """The ids of a text by a tokenizer file that drops white space, without special tokens.
+class Encoder:
+    """The ids of texts by a tokenizer file that drops white space, without special tokens.
 
-    Such a tokenizer treats each word between blanks for itself, so the ids of words are remembered. Words of plain
-    characters are cut by the file's own pattern, and the pieces go to its model; all others go to the whole tokenizer.
+    Such a tokenizer treats each word between blanks for itself, and each piece that its pattern cuts a word into. So
+    the distinct words of a batch are cut into pieces, the distinct pieces are looked up, and ids are gathered back by
+    number. Pieces not met before go to the tokenizer together; their ids are told apart by the ends of words that the
+    vocabulary marks. Words of other than plain characters, and all words where the file is of another make, go to the
+    whole tokenizer one by one. What was worked out is remembered in two generations, of which the older one goes when
+    the newer is full.
     """
-    from tokenizers import Tokenizer
-
-    with open(path, encoding="utf-8") as file:
-        spec = json.load(file)
-    whole = Tokenizer.from_file(path)
-    model, steps = whole.model, (spec.get("pre_tokenizer") or {}).get("pretokenizers", [])
-    split = next((s for s in steps if s["type"] == "Split"), None)
-    lowered = json.dumps(spec.get("normalizer")).count('"Lowercase"') == 1
-    by_bytes = bool(steps) and steps[-1]["type"] == "ByteLevel" and not steps[-1]["add_prefix_space"]
-    added = re.compile("|".join(re.escape(t["content"]) for t in spec["added_tokens"]) or "(?!)")
-    pattern = regex.compile(split["pattern"]["Regex"]) if split and lowered and by_bytes else None
-    printable = [*range(33, 127), *range(161, 173), *range(174, 256)]
-    signs = {b: chr(b) for b in printable} | {
-        b: chr(256 + k) for k, b in enumerate(b for b in range(256) if b not in printable)}
 
-    def of_piece(piece: str) -> bytes:
-        mapped = piece.encode().decode("latin-1").translate(signs)
-        return array("I", [t.id for t in model.tokenize(mapped)]).tobytes()
+    def __init__(self, path: str):
+        from tokenizers import Tokenizer
+
+        with open(path, encoding="utf-8") as file:
+            spec = json.load(file)
+        self.whole = Tokenizer.from_file(path)
+        steps = (spec.get("pre_tokenizer") or {}).get("pretokenizers", [])
+        split = next((s for s in steps if s["type"] == "Split"), None)
+        lowered = json.dumps(spec.get("normalizer")).count('"Lowercase"') == 1
+        by_bytes = bool(steps) and steps[-1]["type"] == "ByteLevel" and not steps[-1]["add_prefix_space"]
+        mark = (spec.get("model") or {}).get("end_of_word_suffix")
+        self.pattern = f"({split['pattern']['Regex']})" if split and lowered and by_bytes and mark else None
+        self.added = "|".join(re.escape(t["content"]) for t in spec["added_tokens"])
+        vocabulary = self.whole.get_vocab()
+        self.ends = np.zeros(max(vocabulary.values()) + 1, bool)
+        if mark:
+            self.ends[[v for k, v in vocabulary.items() if k.endswith(mark)]] = True
+        self.newer: dict[str, bytes] = {}
+        self.older: dict[str, bytes] = {}
+
+    def __call__(self, texts: pa.Array, end: int | None = None) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of all texts one after the other, each followed by ``end`` if it is given, and where each text's
+        begin (one more than texts). Nulls are empty texts."""
+        lists = pc.ascii_split_whitespace(texts.cast(pa.large_string()).fill_null(""))
+        words = lists.flatten().dictionary_encode()
+        rows = self._words(words.dictionary)
+        bounds = lists.offsets.to_numpy() - lists.offsets[0].as_py()
+        codes = words.indices.to_numpy()
+        if end is not None:
+            rows.flat = np.append(rows.flat, np.uintc(end))
+            rows.sizes = np.append(rows.sizes, 1)
+            codes = np.insert(codes, bounds[1:], len(rows.sizes) - 1)
+            bounds = bounds + np.arange(len(bounds))
+        ids, total = rows.take(codes)
+        return ids, total[bounds]
+
+    def _words(self, words: pa.Array) -> Ragged:
+        plain = np.zeros(len(words), bool)
+        if self.pattern is not None:
+            mask = pc.match_substring_regex(words, _PLAIN)
+            if self.added:
+                mask = pc.and_not(mask, pc.match_substring_regex(words, self.added))
+            plain = mask.to_numpy(zero_copy_only=False)
+        out = np.empty(len(words), object)
+        others = np.flatnonzero(~plain)
+        out[others] = self._known(words.take(pa.array(others)).to_pylist(), self._alone)
+        if plain.any():
+            spaced = pc.replace_substring_regex(pc.utf8_lower(words.filter(pa.array(plain))), self.pattern, r"\1 ")
+            lists = pc.ascii_split_whitespace(spaced)
+            pieces = lists.flatten().dictionary_encode()
+            found = Ragged(self._known(pieces.dictionary.to_pylist(), self._together))
+            # A blank ends what is split, so every list has an empty piece at its end, which has no ids.
+            ids, total = found.take(pieces.indices.to_numpy())
+            bounds = total[lists.offsets.to_numpy() - lists.offsets[0].as_py()] * 4
+            data = ids.tobytes()
+            out[np.flatnonzero(plain)] = [data[a:b] for a, b in zip(bounds.tolist(), bounds[1:].tolist())]
+        return Ragged(out.tolist())
+
+    def _known(self, keys: list[str], work_out: Callable[[list[str]], list[bytes]]) -> list[bytes]:
+        """The ids of words or pieces, which cannot be mistaken for each other: plain ones are pieces."""
+        newer, older = self.newer.get, self.older.get
+        found = [newer(k) or older(k) for k in keys]
+        missing = [i for i, ids in enumerate(found) if ids is None]
+        if missing:
+            fresh = [keys[i] for i in missing]
+            for i, ids in zip(missing, work_out(fresh)):
+                found[i] = ids
+        if len(self.newer) + len(keys) > _REMEMBERED:
+            self.older, self.newer = self.newer, {}
+        self.newer.update(zip(keys[:_REMEMBERED], found))
+        return found
 
-    pieces = _Memory(of_piece)
+    def _alone(self, words: list[str]) -> list[bytes]:
+        return [array("I", self.whole.encode(w, add_special_tokens=False).ids).tobytes() for w in words]
+
+    def _together(self, pieces: list[str]) -> list[bytes]:
+        out: list[bytes] = []
+        for first in range(0, len(pieces), 4096):
+            part = pieces[first:first + 4096]
+            ids = np.array(self.whole.encode(" ".join(part), add_special_tokens=False).ids, np.uintc)
+            stops = (np.flatnonzero(self.ends[ids]) + 1).tolist()
+            some = [bool(p) for p in part]
+            if len(stops) != sum(some) or (stops and stops[-1] != len(ids)):
+                out += self._alone(part)  # the vocabulary marks no ends here
+                continue
+            data, at, before = ids.tobytes(), iter(stops), 0
+            for p in some:
+                stop = next(at) if p else before
+                out.append(data[4 * before:4 * stop])
+                before = stop
+        return out
 
-    def of_word(word: str) -> bytes:
-        if pattern is None or not _PLAIN.fullmatch(word) or added.search(word):
-            return array("I", whole.encode(word, add_special_tokens=False).ids).tobytes()
-        return b"".join(map(pieces.__getitem__, pattern.findall(word.lower())))
 
-    words = _Memory(of_word)
+@functools.cache
+def shared_encoder(path: str) -> Encoder:
+    """One for each Python worker."""
+    return Encoder(path)
 
-    def of_text(text: str) -> np.ndarray:
-        parts = filter(None, _BLANKS.split(text)) if _SEPARATORS.search(text) else text.split()
-        return np.frombuffer(b"".join(map(words.__getitem__, parts)), np.uintc)
 
-    return of_text
+def encoder(path: str) -> Callable[[str], np.ndarray]:
+    """The ids of one text."""
+    return lambda text: shared_encoder(path)(pa.array([text]))[0]
 
 
 def token_pieces(docs: DataFrame, key: str, text: str, tokenizer: str, capacity: int, end: int,
@@ -89,28 +162,40 @@ def token_pieces(docs: DataFrame, key: str, text: str, tokenizer: str, capacity:
 
     Returns the key as ``doc_id``, ``piece`` from 0, ``start`` in the document's ids, ``length``, ``ids_crc32`` of the
     little-endian 32-bit ids, and with ``with_ids`` the ``ids``. A null text is like an empty one, a piece of one id.
-    Repeated rows give repeated pieces. Narrow; a batch of Arrow rows is in memory at a time.
+    Repeated rows give repeated pieces. Narrow; texts are worked on in chunks of about ``CHUNK_BYTES``.
     """
     kind = dict(docs.dtypes)[key]
     schema = f"doc_id {kind}, piece int, start long, length long, ids_crc32 long" + ", ids array<int>" * with_ids
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode = encoder(tokenizer)
+        encode = shared_encoder(tokenizer)
         for batch in batches:
-            rows = []
-            for k, t in enumerate(batch.column(1)):
-                ids = np.append(encode(t.as_py() or ""), np.uintc(end)).astype("<u4", copy=False)
-                for piece, start in enumerate(range(0, len(ids), capacity)):
-                    part = ids[start:start + capacity]
-                    rows.append((k, piece, start, len(part), zlib.crc32(part.tobytes()), part))
-            at, piece, start, length, crc, part = map(list, zip(*rows)) if rows else [[]] * 6
-            columns = [batch.column(0).take(pa.array(at, pa.int64())), pa.array(piece, pa.int32()),
-                       *[pa.array(c, pa.int64()) for c in (start, length, crc)]]
-            names = ["doc_id", "piece", "start", "length", "ids_crc32"]
-            if with_ids:
-                columns.append(pa.array([p.astype(np.int32) for p in part], pa.list_(pa.int32())))
-                names.append("ids")
-            yield pa.RecordBatch.from_arrays(columns, names)
+            sizes = pc.fill_null(pc.binary_length(batch.column(1)), 0).to_numpy(zero_copy_only=False)
+            chunk = np.cumsum(sizes, dtype=np.int64) // CHUNK_BYTES
+            edges = [0, *(np.flatnonzero(np.diff(chunk)) + 1).tolist(), len(sizes)]
+            for first, last in zip(edges, edges[1:]):
+                if first < last:
+                    yield pieces(batch.slice(first, last - first), encode)
+
+    def pieces(batch: pa.RecordBatch, encode: Encoder) -> pa.RecordBatch:
+        ids, bounds = encode(batch.column(1), end)
+        ids = ids.astype("<u4", copy=False)
+        sizes = np.diff(bounds)
+        several = -(-sizes // capacity)
+        at = np.repeat(np.arange(len(sizes)), several)
+        piece = np.arange(len(at)) - np.repeat(np.cumsum(several) - several, several)
+        start = piece * capacity
+        length = np.minimum(sizes[at] - start, capacity)
+        begin = bounds[at] + start
+        crc = [zlib.crc32(ids[b:b + n]) for b, n in zip(begin.tolist(), length.tolist())]
+        columns = [batch.column(0).take(pa.array(at)), pa.array(piece.astype(np.int32)),
+                   pa.array(start), pa.array(length), pa.array(crc, pa.int64())]
+        names = ["doc_id", "piece", "start", "length", "ids_crc32"]
+        if with_ids:
+            columns.append(pa.ListArray.from_arrays(pa.array(np.append(begin, bounds[-1]).astype(np.int32)),
+                                                    pa.array(ids.astype(np.int32))))
+            names.append("ids")
+        return pa.RecordBatch.from_arrays(columns, names)
 
     return docs.select(F.col(f"`{key}`").alias("doc_id"), F.col(f"`{text}`").alias("text")).mapInArrow(cut, schema)
 
@@ -225,17 +310,18 @@ def pack(pieces: DataFrame, capacity: int, length: str = "length", group_size: i
     packed again across groups. A group is all that a task holds. Offsets in a sequence leave no gap. Pieces longer
     than ``capacity``, or not above 0, are refused by an error; an empty table gives an empty one.
     """
-    numbered = landed(pieces.withColumn("_n", F.monotonically_increasing_id()), "packing-pieces")
+    number = unused("number", pieces)
+    numbered = landed(pieces.withColumn(number, F.monotonically_increasing_id()), "packing-pieces")
     sizes = numbered.agg(F.min(length), F.max(length), F.count("*")).first()
     if sizes[2] and (sizes[0] is None or sizes[0] < 1 or sizes[1] > capacity):
         raise ValueError(f"lengths must lie between 1 and {capacity}")
-    light = numbered.select("_n", F.col(length).cast("long").alias("_length"))
+    light = numbered.select(F.col(number).alias("_n"), F.col(length).cast("long").alias("_length"))
     first = landed(_packed(light, sizes[2], capacity, group_size, 0), "packing-first")
     full = first.filter(F.col("_fill") >= pool_below * capacity)
     rest = first.filter(F.col("_fill") < pool_below * capacity).select("_n", "_length")
     second = _packed(rest, rest.count(), capacity, group_size, 1)
-    placed = full.unionByName(second).select("_n", "sequence_id", "offset")
-    return numbered.join(placed, "_n").drop("_n")
+    placed = full.unionByName(second).select(F.col("_n").alias(number), "sequence_id", "offset")
+    return numbered.join(placed, number).drop(number)
 
 
 def _packed(rows: DataFrame, count: int, capacity: int, group_size: int, turn: int) -> DataFrame:
@@ -256,6 +342,7 @@ def _packed(rows: DataFrame, count: int, capacity: int, group_size: int, turn: i
             "sequence_id": ((2 * int(group[0]) + turn) << 24) + bins,
             "_fill": np.bincount(bins, lengths).astype(np.int64)[bins]})
 
-    dealt = rows.withColumn("_group", F.pmod(F.xxhash64("_n"), F.lit(groups)))
+    # Rows are a few bytes each and groups much work, so their number of tasks is given and not made smaller.
+    dealt = rows.withColumn("_group", F.pmod(F.xxhash64("_n"), F.lit(groups))).repartition(groups, "_group")
     return dealt.groupBy("_group").applyInPandas(
         one, "_n long, _length long, offset long, sequence_id long, _fill long")
