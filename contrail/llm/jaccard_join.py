@@ -15,7 +15,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from contrail.llm import grams
-from contrail.llm.tables import landed
+from contrail.llm.tables import landed, place_of, remove, settled
 
 # Shingles whose frequency is known to every task, so a bound of what is broadcast; the others count as rare.
 MAX_FREQUENT = 1 << 18
@@ -23,9 +23,13 @@ MAX_FREQUENT = 1 << 18
 MATCHES = 4
 # Up to so many sets with the same prefix shingle are compared with each other; beyond, by way of a central one first.
 SHORT_LIST = 24
-# About so many sets of a component are compared with as many others in one go when links are counted, by so many
-# shingles at a time.
-BLOCK, COLUMNS = 256, 4096
+# At most about so many sets of a component, with so many shingles together, are compared with as many others in one go
+# when links are counted, by so many shingles at a time.
+BLOCK, BLOCK_SHINGLES, COLUMNS = 2048, 1 << 20, 1024
+# A set travels as the low five bytes of its shingles' hashes, in order, and with counts of these by their last bits.
+HASH_BYTES, BINS = 5, 64
+# Bits of the map that tells texts whether their sets are asked for: at most 2^18 rows of 64 are broadcast.
+MARKS = 1 << 24
 
 _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[65:91] += 32
@@ -59,6 +63,28 @@ class Shingles:
         self.nodes = grams.scramble(sums_of + self.sizes.astype(np.uint64)).view(np.int64)
 
 
+def packed(hashes: np.ndarray, bounds: np.ndarray) -> pa.Array:
+    """Lists of hashes, cut at ``bounds``, as bytes: five for each hash."""
+    data = np.ascontiguousarray(hashes).view(np.uint8).reshape(-1, 8)[:, :HASH_BYTES].tobytes()
+    return pa.Array.from_buffers(pa.large_binary(), len(bounds) - 1, [
+        None, pa.py_buffer((bounds * HASH_BYTES).astype(np.int64)), pa.py_buffer(data)]).cast(pa.binary())
+
+
+def unpacked(cells: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """The hashes of all cells one after the other, and the size of each cell."""
+    parts = [np.frombuffer(cell.as_buffer(), np.uint8).reshape(-1, HASH_BYTES) for cell in cells]
+    whole = np.concatenate(parts) if parts else np.empty((0, HASH_BYTES), np.uint8)
+    wide = np.zeros((len(whole), 8), np.uint8)
+    wide[:, :HASH_BYTES] = whole
+    return wide.view(np.int64).ravel(), np.array([len(p) for p in parts], np.int64)
+
+
+def counts_by_bin(hashes: np.ndarray, row: np.ndarray, rows: int) -> np.ndarray:
+    """How many hashes of each row fall into each bin, up to 255; a row of bytes each."""
+    bins = (hashes.view(np.uint64) % np.uint64(BINS)).astype(np.int64)
+    return np.minimum(np.bincount(row * BINS + bins, minlength=rows * BINS), 255).astype(np.uint8).reshape(rows, BINS)
+
+
 def least_overlap(n: Column, percent: int) -> Column:
     """The smallest integer that is at least ``percent`` of ``n``."""
     return F.floor((n * percent + 99) / 100).cast("int")
@@ -99,12 +125,14 @@ def frequent_shingles(texts: DataFrame, width: int) -> np.ndarray:
     if least is None:
         return np.empty(0, np.int64)
     top = counted.filter(level >= least).toPandas()
+    remove(texts.sparkSession, [place_of(counted)])
     return top.sort_values(["n", "h"])["h"].to_numpy(np.int64).copy()
 
 
 def prefixes(texts: DataFrame, frequent: np.ndarray, width: int, percent: int) -> DataFrame:
-    """``doc, node, n, prefix``: the number of shingles of each text, a hash of its set as ``node``, and the longest
-    prefix that the set may need. Of equal sets in a batch only the first carries it."""
+    """``doc, node, n, prefix, bins``: the number of shingles of each text, a hash of its set as ``node``, the longest
+    prefix that the set may need, and counts of its hashes by bin. Of equal sets in a batch only the first carries the
+    two."""
     by_hash = np.argsort(frequent)
     known = texts.sparkSession.sparkContext.broadcast((frequent[by_hash], by_hash + 1))
     kind = dict(texts.dtypes)["doc"]
@@ -133,11 +161,14 @@ def prefixes(texts: DataFrame, frequent: np.ndarray, width: int, percent: int) -
                 taken = h[order][place < np.repeat(length, n)]
                 lists = pa.ListArray.from_arrays(pa.array(np.concatenate(([0], np.cumsum(length))), pa.int32()),
                                                  pa.array(taken))
+                counts = counts_by_bin(sets.hashes, sets.row, len(n))
+                bins = pa.array([b.tobytes() if f else None for b, f in zip(counts, fresh.tolist())], pa.binary())
                 yield pa.RecordBatch.from_arrays([
-                    batch.column(0).slice(start, len(n)), pa.array(sets.nodes), pa.array(n.astype(np.int32)), lists],
-                    ["doc", "node", "n", "prefix"])
+                    batch.column(0).slice(start, len(n)), pa.array(sets.nodes), pa.array(n.astype(np.int32)), lists, bins],
+                    ["doc", "node", "n", "prefix", "bins"])
 
-    return texts.select("doc", "text").mapInArrow(look, f"doc {kind}, node long, n int, prefix array<long>")
+    return texts.select("doc", "text").mapInArrow(
+        look, f"doc {kind}, node long, n int, prefix array<long>, bins binary")
 
 
 def _index(sets: DataFrame, percent: int) -> DataFrame:
@@ -167,8 +198,8 @@ def _index(sets: DataFrame, percent: int) -> DataFrame:
         cost.append(F.when(allowed, F.struct((F.col(f"read{k}") * (1 + 20 / k ** 2)).alias("cost"),
                                              F.lit(k).alias("ell"))))
     chosen = sums.filter(possible).select("node", F.least(*cost)["ell"].alias("ell"))
-    return landed(rows.join(chosen, "node").filter(F.col("pos") < F.col("n") - overlap + F.col("ell")).select(
-        "h", "node", "n", "pos", "ell", "df"), "prefix-index")
+    return rows.join(chosen, "node").filter(F.col("pos") < F.col("n") - overlap + F.col("ell")).select(
+        "h", "node", "n", "pos", "ell", "df")
 
 
 def _plausible(x: str, y: str, percent: int) -> Column:
@@ -201,16 +232,39 @@ def _candidates(index: DataFrame, percent: int) -> DataFrame:
                         & (100 * F.least("nx", "ny") >= percent * F.greatest("nx", "ny"))).select("x", "y", "common")
 
 
-def _verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """The pairs whose sets are similar enough, by the sets themselves."""
-    one = pairs.join(sets.select(F.col("node").alias("x"), F.col("hashes").alias("xs")), "x")
-    both = one.join(sets.select(F.col("node").alias("y"), F.col("hashes").alias("ys")), "y").select("x", "y", "xs", "ys")
+def _likely(pairs: DataFrame, short: DataFrame, percent: int) -> DataFrame:
+    """The pairs that may be similar enough by ``short`` (``node, n, bins``): what two sets have in common is at most the
+    sum of their smaller counts by bin (a full count, 255, bounds nothing). Lists are moved for these only."""
+    one = pairs.join(short.select(F.col("node").alias("x"), F.col("n").alias("nx"), F.col("bins").alias("bx")), "x")
+    both = one.join(short.select(F.col("node").alias("y"), F.col("n").alias("ny"), F.col("bins").alias("by")), "y")
+
+    def bound(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            bx, by = (np.frombuffer(b"".join(c.as_buffer() for c in batch.column(k)), np.uint8).reshape(-1, BINS)
+                      for k in (3, 5))
+            nx, ny = (batch.column(k).to_numpy().astype(np.int64) for k in (2, 4))
+            least = np.minimum(bx, by)
+            most = np.where((least == 255).any(axis=1), np.minimum(nx, ny), least.sum(axis=1, dtype=np.int64))
+            keep = pa.array(100 * most >= percent * (nx + ny - most))
+            yield pa.RecordBatch.from_arrays([batch.column(k).filter(keep) for k in (0, 1)], ["x", "y"])
+
+    return both.select("x", "y", "nx", "bx", "ny", "by").mapInArrow(bound, "x long, y long")
+
+
+def _verified(pairs: DataFrame, short: DataFrame, texts: DataFrame, docs: DataFrame, width: int,
+              percent: int) -> DataFrame:
+    """The pairs whose sets are similar enough, by the sets themselves; ``docs`` (``node, doc``) says where to read one."""
+    likely = landed(_likely(pairs, short, percent), "likely-pairs")
+    nodes = likely.select(F.explode(F.array("x", "y")).alias("node")).distinct()
+    lists = landed(_sets(texts, docs.join(nodes, "node", "left_semi"), width), "similar-sets")
+    one = likely.join(lists.select(F.col("node").alias("x"), F.col("hashes").alias("xs")), "x")
+    both = one.join(lists.select(F.col("node").alias("y"), F.col("hashes").alias("ys")), "y").select("x", "y", "xs", "ys")
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             keep = []
-            for xs, ys in zip(batch.column(2), batch.column(3)):
-                a, b = xs.values.to_numpy(), ys.values.to_numpy()
+            for k in range(batch.num_rows):
+                (a, _), (b, _) = (unpacked(batch.column(c).slice(k, 1)) for c in (2, 3))
                 common = len(a) + len(b) - len(np.union1d(a, b))
                 keep.append(100 * common >= percent * (len(a) + len(b) - common))
             yield pa.RecordBatch.from_arrays([c.filter(pa.array(keep, pa.bool_())) for c in batch.columns[:2]],
@@ -219,11 +273,21 @@ def _verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     return both.mapInArrow(compare, "x long, y long")
 
 
+def _marked(texts: DataFrame, wanted: DataFrame) -> DataFrame:
+    """The texts whose ``doc`` may be wanted, found without moving any: a bit map of ``MARKS`` bits is sent to them. It
+    is of that size whatever there is to mark; the fuller it is, the more texts pass that are not wanted."""
+    bit = F.pmod(F.xxhash64("doc"), F.lit(MARKS))
+    words = landed(wanted.select(bit.alias("bit")).groupBy(F.shiftright("bit", 6).alias("word")).agg(
+        F.bit_or(F.expr("shiftleft(1L, cast(bit & 63 as int))")).alias("marks")), "wanted-marks")
+    held = texts.withColumn("bit", bit).withColumn("word", F.shiftright("bit", 6)).join(F.broadcast(words), "word")
+    return held.filter(F.expr("shiftright(marks, cast(bit & 63 as int)) & 1") == 1).select("doc", "text")
+
+
 def _sets(texts: DataFrame, wanted: DataFrame, width: int) -> DataFrame:
     """``node, hashes`` of the wanted ``doc, node``, once for each node.
 
     The node is worked out from the text, as rows of one ``doc`` may hold different sets; a null ``doc`` is one like
-    others. Documents are only looked up, so that an id of many rows does not multiply them.
+    others.
     """
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -231,56 +295,53 @@ def _sets(texts: DataFrame, wanted: DataFrame, width: int) -> DataFrame:
             for _, data, offsets in grams.chunks(batch.column(0)):
                 sets = Shingles(data, offsets, width)
                 bounds = np.concatenate(([0], np.cumsum(sets.sizes)))
-                yield pa.RecordBatch.from_arrays([
-                    pa.array(sets.nodes),
-                    pa.ListArray.from_arrays(pa.array(bounds, pa.int32()), pa.array(sets.hashes.view(np.int64)))],
-                    ["node", "hashes"])
+                yield pa.RecordBatch.from_arrays([pa.array(sets.nodes), packed(sets.hashes, bounds)], ["node", "hashes"])
 
-    rows = texts.join(wanted.filter("doc is not null").select("doc").distinct(), "doc", "left_semi").select("text")
-    if not wanted.filter("doc is null").isEmpty():
-        rows = rows.unionByName(texts.filter("doc is null").select("text"))
-    return rows.mapInArrow(read, "node long, hashes array<long>").join(
-        wanted.select("node"), "node", "left_semi").dropDuplicates(["node"])
+    rows = _marked(texts, wanted).select("text").mapInArrow(read, "node long, hashes binary")
+    return rows.join(wanted.select("node"), "node", "left_semi").dropDuplicates(["node"])
 
 
 def components(nodes: DataFrame, links: DataFrame) -> DataFrame:
     """``node, comp``: the smallest node that links reach, by passing on the smallest label and following labels."""
     both = landed(links.select("x", "y").unionByName(links.select(F.col("y").alias("x"), F.col("x").alias("y"))), "links")
     labels = landed(nodes.select("node", F.col("node").alias("comp")), "labels")
-    while True:
+
+    def passed_on(labels: DataFrame) -> DataFrame:
         near = both.join(labels, both["y"] == labels["node"]).groupBy("x").agg(F.min("comp").alias("near"))
         nearer = labels.join(near, labels["node"] == near["x"], "left").select(
             "node", F.col("comp").alias("old"), F.least("comp", "near").alias("comp"))
         onward = labels.select(F.col("node").alias("_at"), F.col("comp").alias("_on"))
-        labels = landed(nearer.join(onward, nearer["comp"] == onward["_at"]).select(
-            "node", "old", F.least("comp", "_on").alias("comp")), "labels")
+        return nearer.join(onward, nearer["comp"] == onward["_at"]).select(
+            "node", "old", F.least("comp", "_on").alias("comp"))
+
+    while True:
+        before, labels = labels, landed(passed_on(labels.select("node", "comp")), "labels")
+        remove(labels.sparkSession, [place_of(before)])
         if labels.filter("comp < old").isEmpty():
             return labels.select("node", "comp")
-        labels = labels.select("node", "comp")
 
 
 def _partners(table: pa.Table, percent: int) -> pa.Table:
     """``node, links``: the rows of the sets that each set of two blocks of a component links to across the blocks, or
     within the block if both are one."""
-    hashes = table.column("hashes").combine_chunks()
-    sizes = hashes.value_lengths().to_numpy(zero_copy_only=False).astype(np.int64)
+    hashes, sizes = unpacked(table.column("hashes").combine_chunks())
     block, a, b = (table.column(c).to_numpy() for c in ("block", "a", "b"))
     rows = table.column("rows").to_numpy()
     left, right = np.flatnonzero(block == a), np.flatnonzero(block == b)
-    _, column, held = np.unique(hashes.flatten().to_numpy(), return_inverse=True, return_counts=True)
+    _, column, held = np.unique(hashes, return_inverse=True, return_counts=True)
     # A shingle of one set is in no intersection.
     column = np.where(held > 1, np.cumsum(held > 1) - 1, -1)[column]
     owner = np.repeat(np.arange(len(sizes)), sizes)[column >= 0]
     column = column[column >= 0]
     order = np.argsort(column, kind="stable")
     column, owner = column[order], owner[order]
-    common = np.zeros((len(left), len(right)), np.int64)
+    common = np.zeros((len(left), len(right)), np.int32)
     for start in range(0, int(column.max(initial=-1)) + 1, COLUMNS):
         part = slice(*np.searchsorted(column, (start, start + COLUMNS)))
         has = np.zeros((len(sizes), COLUMNS), np.float32)
         has[owner[part], column[part] - start] = 1
-        common += (has[left] @ has[right].T).astype(np.int64)
-    linked = 100 * common >= percent * (sizes[left][:, None] + sizes[right] - common)
+        common += (has[left] @ has[right].T).astype(np.int32)
+    linked = (100 + percent) * common.astype(np.int64) >= percent * (sizes[left][:, None] + sizes[right])
     links = np.zeros(len(sizes), np.int64)
     if a[0] == b[0]:
         np.fill_diagonal(linked, False)
@@ -291,24 +352,29 @@ def _partners(table: pa.Table, percent: int) -> pa.Table:
     return pa.table({"node": table.column("node"), "links": pa.array(links)})
 
 
-def _links(final: DataFrame, own: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+def _links(final: DataFrame, own: DataFrame, short: DataFrame, texts: DataFrame, docs: DataFrame, width: int,
+           percent: int) -> DataFrame:
     """``node, links``: the number of rows of other sets that a set links to.
 
     All links lie within components. Of two sets in one each links to the other; in larger ones every set is compared
-    with every other, block by block, so the work grows with the square of a component, as the links may.
+    with every other, block by block, so the work grows with the square of a component, as the links may. A block holds
+    ``BLOCK`` sets or ``BLOCK_SHINGLES`` shingles, so a set is sent out once for each such part of its component.
     """
-    sizes = final.groupBy("comp").agg(F.count("*").alias("size")).filter("size > 1")
+    sized = final.join(short.select("node", "n"), "node")
+    sizes = sized.groupBy("comp").agg(F.count("*").alias("size"), F.sum("n").alias("shingles")).filter("size > 1")
     members = landed(final.join(sizes, "comp").join(own.select("node", "rows"), "node"), "component-members")
     two = members.filter("size = 2").select("comp", "node", "rows")
     pairs = two.alias("x").join(two.alias("y"), (F.col("x.comp") == F.col("y.comp")) & (F.col("x.node") != F.col("y.node")))
-    blocks = F.ceil(F.col("size") / BLOCK)
-    dealt = members.filter("size > 2").withColumn("block", F.pmod(F.xxhash64("node"), blocks)).join(sets, "node").select(
+    blocks = F.greatest(F.ceil(F.col("size") / BLOCK), F.ceil(F.col("shingles") / BLOCK_SHINGLES))
+    larger = members.filter("size > 2")
+    sets = landed(_sets(texts, docs.join(larger.select("node"), "node", "left_semi"), width), "component-sets")
+    dealt = larger.withColumn("block", F.pmod(F.xxhash64("node"), blocks)).join(sets, "node").select(
         "comp", "node", "rows", "hashes", "block", F.explode(F.sequence(F.lit(0).cast("long"), blocks - 1)).alias("other"))
     met = dealt.select("comp", "node", "rows", "hashes", "block", F.least("block", "other").alias("a"),
                        F.greatest("block", "other").alias("b")).groupBy("comp", "a", "b").applyInArrow(
         lambda table: _partners(table, percent), "node long, links long")
-    return landed(pairs.select("x.node", F.col("y.rows").alias("links")).unionByName(met).groupBy("node").agg(
-        F.sum("links").alias("links")), "link-counts")
+    return pairs.select("x.node", F.col("y.rows").alias("links")).unionByName(met).groupBy("node").agg(
+        F.sum("links").alias("links"))
 
 
 def near_duplicates(docs: DataFrame, key: str, text: str, width: int = 5, percent: int = 80,
@@ -327,9 +393,16 @@ def near_duplicates(docs: DataFrame, key: str, text: str, width: int = 5, percen
     only sets that are still in different components are paired, if the rest of both sets leaves room for the overlap.
     That finds all components but not all links; to count these, the sets of each component are compared again.
     """
+    return settled(lambda: _groups(docs, key, text, width, percent, count_links), "near-duplicates")
+
+
+def _groups(docs: DataFrame, key: str, text: str, width: int, percent: int, count_links: bool) -> DataFrame:
     texts = docs.select(F.col(f"`{key}`").alias("doc"), F.col(f"`{text}`").alias("text"))
     found = landed(prefixes(texts, frequent_shingles(texts, width), width, percent), "shingle-sets")
-    index = _index(found.filter("size(prefix) > 0"), percent)
+    index = settled(lambda: _index(found.filter("size(prefix) > 0"), percent), "prefix-index")
+    short = landed(found.filter("bins is not null").dropDuplicates(["node"]).select("node", "n", "bins"), "set-bins")
+    whole, found = found, landed(found.drop("prefix", "bins"), "shingle-nodes")
+    remove(docs.sparkSession, [place_of(whole)])
 
     # The centre of a long list, and for each set the centre it shares most lists with.
     long_rows = index.filter(F.col("df") > SHORT_LIST)
@@ -350,8 +423,7 @@ def near_duplicates(docs: DataFrame, key: str, text: str, width: int = 5, percen
 
     nodes = landed(index.select("node").distinct(), "similar-nodes")
     rep = landed(found.groupBy("node").agg(F.min("doc").alias("doc")).join(nodes, "node"), "similar-documents")
-    sets = landed(_sets(texts, rep, width), "similar-sets")
-    links = landed(_verified(first, sets, percent), "first-links")
+    links = settled(lambda: _verified(first, short, texts, rep, width, percent), "first-links")
     labels = components(nodes, links)
 
     def apart(pairs: DataFrame) -> DataFrame:
@@ -372,7 +444,7 @@ def near_duplicates(docs: DataFrame, key: str, text: str, width: int = 5, percen
               .select(F.least("x.node", "y.node").alias("x"), F.greatest("x.node", "y.node").alias("y")))
     rest = landed(apart(candidates.select("x", "y").unionByName(across).distinct()).join(
         first, ["x", "y"], "left_anti"), "other-pairs")
-    more = landed(_verified(rest, sets, percent), "other-links")
+    more = settled(lambda: _verified(rest, short, texts, rep, width, percent), "other-links")
     final = components(nodes, links.unionByName(more))
 
     least = found.groupBy("node").agg(F.min("doc").alias("doc")).join(final, "node").groupBy("comp").agg(
@@ -383,7 +455,7 @@ def near_duplicates(docs: DataFrame, key: str, text: str, width: int = 5, percen
     columns = ["doc", F.col("n").cast("long").alias("n_shingles"),
                F.when(F.col("n") > 0, F.col("component")).otherwise(F.col("doc")).alias("component")]
     if count_links:
-        named = named.join(_links(final, own, sets, percent), "node", "left")
+        named = named.join(settled(lambda: _links(final, own, short, texts, rep, width, percent), "link-counts"), "node", "left")
         linked = F.coalesce("links", F.lit(0)) + F.col("rows") - 1
         columns.append(F.when(F.col("n") > 0, linked).otherwise(F.lit(0)).alias("n_links"))
     return found.alias("f").join(named, "node", "left").select(*columns)
