@@ -12,6 +12,8 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, StringType, StructField, StructType
 
+from contrail.llm.text import unused
+
 UNKNOWN = "und"
 MAX_LANGUAGES = 1_000
 _CODES = 0x110000
@@ -137,5 +139,6 @@ def identify(docs: DataFrame, profiles: Profiles, text: str = "text") -> DataFra
         for texts in batches:
             yield pd.DataFrame([shared.value.predict(t) for t in texts], columns=["lang_pred", "score"])
 
-    out = docs.withColumn("_p", predicted(F.col(f"`{text}`")))
-    return out.withColumns({"lang_pred": F.col("_p.lang_pred"), "score": F.col("_p.score")}).drop("_p")
+    found = unused("found", docs)
+    out = docs.withColumn(found, predicted(F.col(f"`{text}`")))
+    return out.withColumns({"lang_pred": F.col(f"{found}.lang_pred"), "score": F.col(f"{found}.score")}).drop(found)

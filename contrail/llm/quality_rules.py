@@ -8,8 +8,8 @@ from dataclasses import dataclass, field
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from contrail.llm.text import BLANK_CLASS, blank_words, let
-from contrail.session import landed
+from contrail.llm.tables import landed
+from contrail.llm.text import BLANK_CLASS, blank_words, let, unused
 
 WINDOW = 3
 STATISTICS = ("n_words", "word_chars", "n_symbols", "n_lines", "n_dup_lines", "n_repeat_words")
@@ -61,11 +61,12 @@ def with_statistics(docs: DataFrame, text: str = "text") -> DataFrame:
                                        F.size(F.array_distinct(lines)).cast("long").alias("d"))).alias("lines"),
             _repeat_words(words).alias("n_repeat_words"))
 
-    out = docs.withColumn("_s", let(blank_words(F.col(f"`{text}`")), counted))
+    found = unused("found", docs)
+    out = docs.withColumn(found, let(blank_words(F.col(f"`{text}`")), counted))
     return out.withColumns({
-        **{c: F.col(f"_s.{c}") for c in ("n_words", "word_chars", "n_symbols", "n_repeat_words")},
-        "n_lines": F.col("_s.lines.n"), "n_dup_lines": F.col("_s.lines.n") - F.col("_s.lines.d"),
-    }).drop("_s")
+        **{c: F.col(f"{found}.{c}") for c in ("n_words", "word_chars", "n_symbols", "n_repeat_words")},
+        "n_lines": F.col(f"{found}.lines.n"), "n_dup_lines": F.col(f"{found}.lines.n") - F.col(f"{found}.lines.d"),
+    }).drop(found)
 
 
 def _share(part: str, whole: str) -> Column:
@@ -166,13 +167,14 @@ def learn(labelled: DataFrame, key: str, bad: Column, max_rows: int = 200_000, m
     Two thirds of the rows (by hash of ``key``) grow a rule, one threshold at a time by information gain; the last
     third prunes its tail and must confirm it: at least ``min_support`` bad texts covered, at ``min_precision``. The
     rows a rule covers are set aside before the next one. Thresholds are quantiles of the bad and of the other texts.
-    At most ``max_rows`` labelled rows are used, those with the smallest hash of their key. Every step is an aggregate
+    About ``max_rows`` labelled rows are used, those with the smallest hashes of their keys. Every step is an aggregate
     whose result has a row for each feature and interval. Rows with a null mark are left out; without bad rows, or
     without others, the list is empty and keeps everything.
     """
     columns = [F.col(f"`{key}`").alias("key"), *STATISTICS, bad.alias("bad")]
-    rows = landed(labelled.select(*columns).filter("bad is not null").orderBy(F.xxhash64("key")).limit(max_rows),
-                  "quality-labels")
+    marked = labelled.select(*columns).filter("bad is not null")
+    share = min(1.0, max_rows / max(1, marked.count()))
+    rows = landed(marked.filter((F.xxhash64("key").cast("double") + 2.0 ** 63) / 2.0 ** 64 <= share), "quality-labels")
     steps = [k / n_cuts for k in range(n_cuts + 1)]
     cuts: dict[str, set[float]] = {name: set() for name in features()}
     for row in rows.groupBy("bad").agg(*[F.percentile_approx(c, steps, 10_000).alias(n) for n, c in features().items()]

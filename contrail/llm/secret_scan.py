@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from contrail.llm.tables import landed
-from contrail.llm.text import blank_words, let
+from contrail.llm.text import blank_words, let, unused
 
 # A candidate is any such run in a word, with a digit or a capital after a small letter in it. Addresses, numbers and
 # names qualify: the forest tells them from secrets.
@@ -30,8 +30,8 @@ _BUCKETS = 8
 
 
 def findings(docs: DataFrame, key: str, text: str) -> DataFrame:
-    """``doc, word, run, value, lead, around, before, after``: every candidate with the number of its word and its
-    number among the word's runs.
+    """``doc, content, word, run, value, lead, around, before, after``: every candidate with a hash of its text, the
+    number of its word and its number among the word's runs.
 
     A candidate is a run of 16 or more letters, digits and ``_+/=.@-`` in a word, if it has a digit or a capital after a
     small letter; a word has as many as it holds, and each is judged for itself. ``lead`` is what stands before the run
@@ -41,7 +41,8 @@ def findings(docs: DataFrame, key: str, text: str) -> DataFrame:
     key is kept; repeated rows have repeated findings. Narrow.
     """
     whole = docs.select(F.col(f"`{key}`").alias("doc"), F.col(f"`{text}`").alias("text"))
-    words = whole.filter(F.col("text").rlike(RUN)).select("doc", blank_words(F.col("text")).alias("words"))
+    words = whole.filter(F.col("text").rlike(RUN)).select(
+        "doc", F.xxhash64("text").alias("content"), blank_words(F.col("text")).alias("words"))
 
     def at(i: Column) -> Column:
         return F.coalesce(F.get("words", i), F.lit(""))
@@ -50,7 +51,7 @@ def findings(docs: DataFrame, key: str, text: str) -> DataFrame:
         i.alias("word"), w.alias("whole"),
         F.concat_ws(" ", F.right(at(i - 2), F.lit(_NEAR)), F.right(at(i - 1), F.lit(_NEAR))).alias("before"),
         F.left(at(i + 1), F.lit(_NEAR)).alias("after"))), lambda f: f["whole"].rlike(RUN))
-    held = words.select("doc", F.explode(holding).alias("f")).select("doc", "f.*")
+    held = words.select("doc", "content", F.explode(holding).alias("f")).select("doc", "content", "f.*")
 
     def each(parts: Column) -> Column:
         runs, gaps = parts["runs"], parts["gaps"]
@@ -67,8 +68,8 @@ def findings(docs: DataFrame, key: str, text: str) -> DataFrame:
 
     # The runs of a word and what stands between them, worked out once for all of them.
     parts = F.struct(F.regexp_extract_all("whole", F.lit(RUN), 0).alias("runs"), F.split("whole", RUN, -1).alias("gaps"))
-    return held.select("doc", "word", "before", "after", F.explode(let(parts, each)).alias("f")).select(
-        "doc", "word", "f.run", "f.value", "f.lead", "f.around", "before", "after")
+    return held.select("doc", "content", "word", "before", "after", F.explode(let(parts, each)).alias("f")).select(
+        "doc", "content", "word", "f.run", "f.value", "f.lead", "f.around", "before", "after")
 
 
 def silver_label(rows: DataFrame) -> Column:
@@ -95,12 +96,11 @@ def silver_label(rows: DataFrame) -> Column:
     return F.when(secret, 1).when(mail | site | file | name | number, 0)
 
 
-def dictionary(docs: DataFrame, key: str, text: str, size: int = 800, max_texts: int = 2_000) -> list[str]:
-    """The ``size`` words of three letters or more that the most of about ``max_texts`` texts hold."""
-    whole = docs.select(F.xxhash64(F.col(f"`{key}`")).alias("h"), F.col(f"`{text}`").alias("text"))
-    share = min(1.0, max_texts / max(1, whole.count()))
-    sample = whole.filter((F.col("h").cast("double") + 2.0 ** 63) / 2.0 ** 64 <= share)
-    words = sample.select(F.explode(F.array_distinct(F.regexp_extract_all(F.lower("text"), F.lit(r"\p{L}{3,}"), 0))))
+def dictionary(docs: DataFrame, text: str, size: int = 800) -> list[str]:
+    """The ``size`` words of three letters or more that the most of all texts hold; of equal ones the first in order.
+    A word counts once for each text and is counted within tasks before it is sent on."""
+    words = docs.select(F.explode(F.array_distinct(
+        F.regexp_extract_all(F.lower(F.col(f"`{text}`")), F.lit(r"\p{L}{3,}"), 0))))
     top = words.groupBy("col").count().orderBy(F.desc("count"), "col").limit(size)
     return [r[0] for r in top.collect()]
 
@@ -175,11 +175,14 @@ def fit(labelled: DataFrame, label: str, words: list[str], max_findings: int = 2
 
 
 def mask(docs: DataFrame, secrets: DataFrame, key: str, text: str) -> DataFrame:
-    """``docs`` with every value of ``secrets`` (``doc``, ``value``) in a text replaced by ``MASK``; other texts, null
-    ones and rows with a null key stay. Longer values go first, as one may lie in another. Columns stay as they are."""
-    values = secrets.groupBy("doc").agg(F.array_sort(F.collect_set(F.struct(
-        (-F.length("value")).alias("n"), "value"))).alias("_values")).withColumnRenamed("doc", "_doc")
-    joined = docs.join(values, docs[key] == values["_doc"], "left")
-    masked = F.when(F.col("_values").isNull(), F.col(f"`{text}`")).otherwise(F.aggregate(
-        "_values", F.col(f"`{text}`"), lambda whole, v: F.replace(whole, v["value"], F.lit(MASK))))
+    """``docs`` with every value of ``secrets`` (``doc``, ``content`` and ``value`` of findings) in the text it was found
+    in replaced by ``MASK``; other texts and null ones stay. A null key is one like others, and texts of one key are
+    told apart by their hash. Longer values go first, as one may lie in another. Columns stay as they are."""
+    doc, content, values = (unused(n, docs) for n in ("doc", "content", "values"))
+    listed = secrets.groupBy(F.col("doc").alias(doc), F.col("content").alias(content)).agg(F.array_sort(F.collect_set(
+        F.struct((-F.length("value")).alias("n"), "value"))).alias(values))
+    whole = docs[f"`{text}`"]
+    joined = docs.join(listed, docs[f"`{key}`"].eqNullSafe(F.col(doc)) & (F.xxhash64(whole) == F.col(content)), "left")
+    masked = F.when(F.col(values).isNull(), whole).otherwise(F.aggregate(
+        values, whole, lambda w, v: F.replace(w, v["value"], F.lit(MASK))))
     return joined.withColumn(text, masked).select(*[F.col(f"`{c}`") for c in docs.columns])

@@ -11,6 +11,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
+from contrail.llm.text import ascii_lower, unused
+
 ALLOW, BLOCK = "allow", "block"
 # The trie goes to every task, so the text of all its rules may not exceed this; longer lists go through a join.
 MAX_TRIE_BYTES = 64 * 1024 * 1024
@@ -108,8 +110,9 @@ def judge_urls(pages: DataFrame, rules: Sequence[Rule], url: str = "url", otherw
             }, dtype=object)
 
     place = pages.withColumns({"host": host_of(F.col(f"`{url}`")), "path": path_of(F.col(f"`{url}`"))})
-    out = place.withColumn("_judged", judged("host", "path"))
-    return out.withColumns({"rule": F.col("_judged.rule"), "verdict": F.col("_judged.verdict")}).drop("_judged")
+    found = unused("judged", place)
+    out = place.withColumn(found, judged("host", "path"))
+    return out.withColumns({"rule": F.col(f"{found}.rule"), "verdict": F.col(f"{found}.verdict")}).drop(found)
 
 
 def judge_urls_by_join(pages: DataFrame, rules: DataFrame, key: str, url: str = "url",
@@ -117,22 +120,26 @@ def judge_urls_by_join(pages: DataFrame, rules: DataFrame, key: str, url: str =
     """``judge_urls`` for a list of any length, given as a table of ``verdict``, ``host`` and ``path``.
 
     Each page asks for every suffix of its host and every beginning of its path up to a ``/``, so rule paths must end
-    in ``/``. ``key`` tells the pages apart. Returns ``key``, ``host``, ``path``, ``rule`` and ``verdict``.
+    in ``/``. Hosts of rules are lower-cased like those of pages, A-Z only. Rows are told apart by ``key`` and url: a
+    null key is one like others, rows of one key may have different urls, and repeated rows stay repeated. Returns
+    ``key``, ``host``, ``path``, ``rule`` and ``verdict``.
     """
     labels = F.split("host", r"\.")
-    place = pages.select(F.col(f"`{key}`").alias(key), host_of(F.col(f"`{url}`")).alias("host"),
-                         path_of(F.col(f"`{url}`")).alias("path"))
+    address = F.col(f"`{url}`")
+    place = pages.select(F.col(f"`{key}`").alias("id"), F.xxhash64(address).alias("same"),
+                         host_of(address).alias("host"), path_of(address).alias("path"))
     suffixes = F.transform(F.sequence(F.lit(1), F.size(labels)),
                            lambda i: F.concat_ws(".", F.slice(labels, i, F.size(labels))))
     cuts = F.size(F.split("path", "/")) - 1
-    asked = (place.withColumn("_host", F.explode(suffixes)).filter(cuts > 0)
-             .withColumn("_path", F.explode(F.transform(F.sequence(F.lit(1), cuts), lambda i: F.concat(
+    asked = (place.withColumn("end", F.explode(suffixes)).filter(cuts > 0)
+             .withColumn("start", F.explode(F.transform(F.sequence(F.lit(1), cuts), lambda i: F.concat(
                  F.call_function("substring_index", F.col("path"), F.lit("/"), i), F.lit("/"))))))
-    known = rules.groupBy(F.lower("host").alias("_host"), F.col("path").alias("_path")).agg(
-        F.max("verdict").alias("_verdict"))
-    best = asked.join(known, ["_host", "_path"]).groupBy(key).agg(F.max(F.struct(
-        F.size(F.split("_host", r"\.")).alias("depth"), F.length("_path").alias("size"),
-        F.concat("_host", "_path").alias("rule"), F.col("_verdict").alias("verdict"))).alias("_best"))
-    return place.join(best, key, "left").select(
-        key, "host", "path", F.col("_best.rule").alias("rule"),
-        F.coalesce(F.col("_best.verdict"), F.lit(otherwise)).alias("verdict"))
+    known = rules.groupBy(ascii_lower(F.col("host")).alias("end"), F.col("path").alias("start")).agg(
+        F.max("verdict").alias("says"))
+    best = asked.join(known, ["end", "start"]).groupBy(F.col("id").alias("best_id"), F.col("same").alias("best_same")).agg(
+        F.max(F.struct(F.size(F.split("end", r"\.")).alias("depth"), F.length("start").alias("size"),
+                       F.concat("end", "start").alias("rule"), F.col("says").alias("verdict"))).alias("best"))
+    same = F.col("id").eqNullSafe(F.col("best_id")) & (F.col("same") == F.col("best_same"))
+    return place.join(best, same, "left").select(
+        F.col("id").alias(key), "host", "path", F.col("best.rule").alias("rule"),
+        F.coalesce(F.col("best.verdict"), F.lit(otherwise)).alias("verdict"))

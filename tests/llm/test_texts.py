@@ -262,7 +262,7 @@ def test_secrets_are_told_from_lookalikes(spark):
     found = secret_scan.findings(docs, "doc_id", "text")
     label = secret_scan.silver_label(found)
     scanner = secret_scan.fit(found.filter("doc % 2 = 0").withColumn("y", label), "y",
-                              secret_scan.dictionary(docs, "doc_id", "text"))
+                              secret_scan.dictionary(docs, "text"))
     judged = scanner.score(found)
     assert {r.doc: r.secret for r in judged.collect()} == truth
     masked = {r.doc_id: r.text for r in secret_scan.mask(
