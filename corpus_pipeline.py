@@ -12,14 +12,17 @@ from pyspark.sql import functions as F
 
 from contrail.llm import decontaminate, jaccard_join, queries, toxicity
 from contrail.llm.secret_scan import mask
-from contrail.llm.tables import landed
+from contrail.llm.tables import landed, settled
+from contrail.llm.text import unused
 
 TOXIC_FROM = 0.5
 
 
-def _without(docs: DataFrame, ids: DataFrame) -> DataFrame:
-    """The documents whose id is not among ``ids.gone``; null is an id like others."""
-    return docs.join(ids.select("gone").distinct(), docs["doc_id"].eqNullSafe(F.col("gone")), "left_anti")
+def _without(docs: DataFrame, ids: DataFrame, column: str) -> DataFrame:
+    """The documents whose id is not in the column of ``ids``; null is an id like others."""
+    gone = unused("gone", docs)
+    listed = ids.select(F.col(column).alias(gone)).distinct()
+    return docs.join(listed, docs["doc_id"].eqNullSafe(F.col(gone)), "left_anti")
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -34,31 +37,41 @@ def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
 
     Rows without an id go if their group has an id, and stay otherwise.
     """
-    groups = jaccard_join.near_duplicates(docs, "doc_id", "text")
-    kept = groups.filter(F.col("doc").eqNullSafe(F.col("component"))).select(F.col("doc").alias("_kept")).distinct()
-    one = docs.join(kept, docs["doc_id"].eqNullSafe(F.col("_kept")), "left_semi")
-    repeated = landed(groups.filter("doc is not null").groupBy("doc").count().filter("count > 1"), "repeated-ids")
+    kept = settled(lambda: _kept(docs), "kept-documents")
+    name, rows = unused("kept", docs), unused("rows", docs)
+    named = kept.select(F.col("doc").alias(name), F.col("rows").alias(rows))
     # Repeated ids are few or none; only their rows need a second look.
-    single = _without(one, repeated.select(F.col("doc").alias("gone")))
-    several = one.join(repeated.select(F.col("doc").alias("_again")), F.col("doc_id") == F.col("_again"), "left_semi")
-    return single.unionByName(several.dropDuplicates(["doc_id"]))
+    single, several = named.filter(F.col(rows) == 1), named.filter(F.col(rows) > 1)
+    alone = docs.join(single, docs["doc_id"].eqNullSafe(F.col(name)), "left_semi")
+    again = docs.join(several, docs["doc_id"].eqNullSafe(F.col(name)), "left_semi")
+    nameless = again.filter("doc_id is null")
+    return alone.unionByName(nameless).unionByName(again.filter("doc_id is not null").dropDuplicates(["doc_id"]))
+
+
+def _kept(docs: DataFrame) -> DataFrame:
+    """The ids that stay, with the number of rows of each."""
+    groups = jaccard_join.near_duplicates(docs, "doc_id", "text")
+    stays = F.max(F.col("doc").eqNullSafe(F.col("component"))).alias("stays")
+    return groups.groupBy("doc").agg(F.count("*").alias("rows"), stays).filter("stays").select("doc", "rows")
 
 
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without a window of a benchmark item."""
     benchmark = spark.read.parquet(f"{sf_dir}/benchmark.parquet")
-    found = decontaminate.contamination(docs, benchmark, "doc_id", "text", "item_id", "text")
-    return _without(docs, landed(found.filter("n_hit > 0").select(F.col("doc_id").alias("gone")), "contaminated"))
+    found = settled(lambda: decontaminate.contamination(docs, benchmark, "doc_id", "text", "item_id", "text").filter(
+        "n_hit > 0").select("doc_id"), "contaminated")
+    return _without(docs, found, "doc_id")
 
 
 def mask_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """All documents, with secrets in their texts masked and ``n_chars`` of changed texts counted anew."""
-    found = landed(queries.scanned(docs.select("doc_id", "text")).filter("secret").select("doc", "value"), "secrets")
-    old = docs.withColumn("_old", F.col("text"))
-    changed = ~F.col("text").eqNullSafe(F.col("_old"))
+    found = settled(lambda: queries.scanned(docs.select("doc_id", "text")).filter("secret").select(
+        "doc", "content", "value"), "secrets")
+    before = unused("before", docs)
+    masked = mask(docs.withColumn(before, F.col("text")), found, "doc_id", "text")
+    changed = ~F.col("text").eqNullSafe(F.col(before))
     count = F.when(changed, F.length("text")).otherwise(F.col("n_chars")).cast(docs.schema["n_chars"].dataType)
-    return mask(old, found, "doc_id", "text").withColumn("n_chars", count).select(
-        *[F.col(f"`{c}`") for c in docs.columns])
+    return masked.withColumn("n_chars", count).select(*[F.col(f"`{c}`") for c in docs.columns])
 
 
 def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
