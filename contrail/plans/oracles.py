@@ -278,6 +278,7 @@ for _name, _delay in (("traffic_hourly", "1 hour"), ("traffic_5m", "10 minutes")
 
 # streams
 
+ORACLES["upsert_state_buckets"] = ORACLES["upsert_state"]
 ORACLES["dedupe_stateful"] = ORACLES["dedupe_ttl"]
 ORACLES["pipeline_tables_shared"] = ORACLES["catalog_tables"] = ORACLES["pipeline_tables"]
 ORACLES["ingest_counters_stream"] = _counters("polled")

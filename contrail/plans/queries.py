@@ -24,7 +24,7 @@ from contrail.schemas import (
     DEDUPE_KEYS, GRID_5M, QUALITY_5M, SCHEMA_VERSION, STATE, TELEMETRY, TRAFFIC_1H, TRAFFIC_5M, Table,
 )
 from contrail.session import configure, landed, work_dir
-from contrail.sources import FolderTarget, export_snapshots as write_snapshots, load_table, read_event_stream
+from contrail.sources import BucketedTarget, FolderTarget, export_snapshots as write_snapshots, load_table, read_event_stream
 from contrail.streaming import (
     ProgressLog, QueryFailed, append_windows, await_queries, dedupe_stateful as dedupe_keyed,
     dedupe_stream as dedupe_batches, insert_absent_windows, keep_live, live_changes, read_ingest_counts, read_live,
@@ -327,6 +327,17 @@ def q_upsert_state(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _out(target.keyed(spark, STATE))
 
 
+def q_upsert_state_buckets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same in four batches into buckets, each with newer and older rows, one of them twice and a new base between."""
+    rows = _telemetry(spark, sf_dir)
+    target = BucketedTarget(work_dir(spark, "buckets"), buckets=8)
+    for batch_id in (0, 1, 2, 2, 3):
+        part = to_state_rows(rows.where(F.col("event_id") % 4 == batch_id))
+        target.upsert(part, STATE, batch_id, updated_at="incoming")
+        target.compact(spark, STATE, least=2)
+    return _out(target.read(spark, STATE))
+
+
 def q_insert_if_absent(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Two thirds of each day are stored, two thirds arrive; where they overlap the stored row stays."""
     grid = airspace_grid_5m(_telemetry(spark, sf_dir))

@@ -1,5 +1,6 @@
 """Where rows come from and where they go."""
 
+from contrail.sources.buckets import BucketedTarget
 from contrail.sources.jdbc import JdbcTarget, merge_statement, read_jdbc_table, scan_options
 from contrail.sources.messages import write_messages
 from contrail.sources.streams import read_event_stream, read_polls, stream_options
@@ -8,7 +9,7 @@ from contrail.sources.tables import (
 )
 
 __all__ = [
-    "FolderTarget", "JdbcTarget", "conform", "ensure_table", "export_snapshots", "load_table", "merge_statement",
+    "BucketedTarget", "FolderTarget", "JdbcTarget", "conform", "ensure_table", "export_snapshots", "load_table", "merge_statement",
     "read_event_stream", "read_jdbc_table", "read_polls", "read_snapshot", "scan_options", "stream_options",
     "write_messages", "write_snapshot",
 ]

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import datetime
 import time
+import uuid
 from dataclasses import dataclass
 
 from pyspark.errors import AnalysisException
@@ -163,20 +164,33 @@ class FolderTarget:
     def compact(self, spark: SparkSession, table: Table, before: datetime.date) -> None:
         """Put all folders of a day together, for days before ``before`` that no query writes any more.
 
-        Windows that were emitted several times are settled on the last emission. The new folders are written first;
-        the old ones go once these are complete, and readers of a table in use should be stopped meanwhile.
+        Windows that were emitted several times are settled on the last emission. The compacted rows are moved into
+        place as a whole before anything else goes, so wherever this stops no row is lost: readers that settle windows
+        (``read``) see the same rows at every moment, and the next call finishes what was left.
         """
         parts = self._parts(spark, table)
         days = [r[0] for r in parts.where(F.col("window_date") < F.lit(before)).groupBy("window_date").agg(
             F.countDistinct("run", "batch").alias("n")).where("n > 1").collect()]
-        files, jvm_path = self._files(spark, table)
         for day in days:
-            rows = self.windows(spark, table, newest=True, since=day).where(F.to_date(F.col(table.window)) == F.lit(day))
-            folder = f"{self.path(table)}/window_date={day}"
-            fresh = f"{self.path(table)}/_compacted-{day}"
-            rows.write.mode("overwrite").parquet(f"{fresh}/run=compacted/batch=0")
-            files.delete(jvm_path(folder), True)
-            files.rename(jvm_path(fresh), jvm_path(folder))
+            self._clear(spark, table, day, self._place_compacted(spark, table, day))
+
+    def _place_compacted(self, spark: SparkSession, table: Table, day: datetime.date) -> str:
+        """Add the settled rows of a day to it; returns the name of their folder."""
+        files, jvm_path = self._files(spark, table)
+        rows = self.windows(spark, table, newest=True, since=day).where(F.to_date(F.col(table.window)) == F.lit(day))
+        name = f"run=compacted-{uuid.uuid4().hex}"
+        staged = f"{self.path(table)}/_{name}"
+        rows.write.parquet(f"{staged}/batch=0")
+        if not files.rename(jvm_path(staged), jvm_path(f"{self.path(table)}/window_date={day}/{name}")):
+            raise OSError(f"{staged} could not be moved into place")
+        return name
+
+    def _clear(self, spark: SparkSession, table: Table, day: datetime.date, keep: str) -> None:
+        """Remove all folders of a day but one."""
+        files, jvm_path = self._files(spark, table)
+        for status in files.listStatus(jvm_path(f"{self.path(table)}/window_date={day}")):
+            if status.getPath().getName() != keep:
+                files.delete(status.getPath(), True)
 
     def publish(self, spark: SparkSession, table: Table, database: str | None = None) -> None:
         """Make what lies in the folder readable under the table's name, in ``database`` or the current one: a window

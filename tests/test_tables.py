@@ -116,6 +116,19 @@ def test_inserts_start_on_an_empty_folder_and_may_be_replayed(spark, tmp_path):
         assert sorted(r.aircraft_count for r in target.windows(spark, GRID_5M).collect()) == [1, 2, 3]
 
 
+def test_a_compaction_that_stops_loses_nothing(spark, tmp_path):
+    target = FolderTarget(str(tmp_path))
+    for batch_id, count in ((0, 1), (1, 2)):
+        rows = spark.createDataFrame([(at(0), at(5), "1.0_1.0", count, 1.0, 1.0)], GRID_5M.schema)
+        append_windows(target, GRID_5M)(rows, batch_id)
+    settled = target.read(spark, GRID_5M.name).collect()
+    target._place_compacted(spark, GRID_5M, dt.date(2024, 1, 1))  # and then the process is gone
+    assert target.read(spark, GRID_5M.name).collect() == settled and len(settled) == 1
+    target.compact(spark, GRID_5M, dt.date(2024, 1, 2))
+    assert target.windows(spark, GRID_5M).collect() == settled
+    assert len(list((tmp_path / GRID_5M.name / "window_date=2024-01-01").glob("run=*"))) == 1
+
+
 def test_compacted_and_published_tables(spark, tmp_path):
     target = FolderTarget(str(tmp_path))
     for batch_id in range(3):
@@ -128,7 +141,8 @@ def test_compacted_and_published_tables(spark, tmp_path):
         target.compact(spark, GRID_5M, dt.date(2030, 1, 1))
         assert sorted(r.aircraft_count for r in target.windows(spark, GRID_5M).collect()) == [0, 1, 2]
         day = tmp_path / GRID_5M.name / "window_date=2024-01-01"
-        assert [p.name for p in day.iterdir() if p.is_dir()] == ["run=compacted"]
+        folder, = [p.name for p in day.iterdir() if p.is_dir()]
+        assert folder.startswith("run=compacted-")
     finally:
         spark.sql(f"DROP TABLE IF EXISTS {GRID_5M.name}")
         spark.sql(f"DROP VIEW IF EXISTS {STATE.name}")
