@@ -192,12 +192,58 @@ def op3_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
                         F.size("spans").cast("long").alias("n_spans"), F.sha2("kept", 256).alias("kept_sha256"))
 
 
+# Windows of bytes as hexadecimal digits, two for each byte.
+ORACLES["op3_suffix_array_dedup"] = r"""
+WITH d AS (SELECT row_number() OVER () AS r, doc_id, hex(encode(coalesce(text, ''))) AS h FROM documents),
+windows AS (
+  SELECT r, i, md5_number(substr(h, 2 * i + 1, 800)) AS g
+  FROM (SELECT r, h, unnest(range(0, length(h) // 2 - 399)) AS i FROM d WHERE length(h) >= 800)),
+starts AS (SELECT r, i FROM windows SEMI JOIN (SELECT g FROM windows GROUP BY g HAVING count(*) > 1) USING (g)),
+runs AS (
+  SELECT r, i, sum(new) OVER (PARTITION BY r ORDER BY i) AS k
+  FROM (SELECT r, i, coalesce((i > lag(i) OVER (PARTITION BY r ORDER BY i) + 400)::INT, 1) AS new FROM starts)),
+spans AS (SELECT r, min(i) AS b, max(i) + 400 AS e FROM runs GROUP BY r, k),
+gaps AS (
+  SELECT r, b, e, coalesce(lag(e) OVER (PARTITION BY r ORDER BY b), 0) AS before,
+         lead(b) OVER (PARTITION BY r ORDER BY b) IS NULL AS last
+  FROM spans),
+kept AS (
+  SELECT r, count(*) AS n_spans, sum(e - b) AS n_removed,
+         string_agg(substr(h, 2 * before + 1, 2 * (b - before)) || CASE WHEN last THEN substr(h, 2 * e + 1) ELSE '' END,
+                    '' ORDER BY b) AS kept
+  FROM gaps JOIN d USING (r) GROUP BY r)
+SELECT doc_id, length(h) // 2 AS n_bytes, CAST(coalesce(n_removed, 0) AS BIGINT) AS n_removed,
+       coalesce(n_spans, 0) AS n_spans, sha256(unhex(coalesce(kept, h))) AS kept_sha256
+FROM d LEFT JOIN kept USING (r)
+"""
+
+
 @_query
 def op2_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = jaccard_join.near_duplicates(_table(spark, sf_dir, "documents"), "doc_id", "text", count_links=True)
     return found.select(F.col("doc").alias("doc_id"), "n_shingles", F.col("component").alias("component_id"), "n_links")
 
 
+ORACLES["op2_ngram_jaccard_join"] = r"""
+WITH RECURSIVE d AS (
+  SELECT row_number() OVER () AS r, doc_id, regexp_extract_all(translate(coalesce(text, ''),
+           'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS w FROM documents),
+sets AS (
+  SELECT r, doc_id, CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 5 THEN [array_to_string(w, ' ')]
+           ELSE list_distinct(list_transform(range(1, len(w) - 3), lambda i: array_to_string(w[i:i + 4], ' '))) END AS g
+  FROM d),
+shingles AS (SELECT r, len(g) AS n, unnest(g) AS h FROM sets),
+links AS (
+  SELECT a.r AS x, b.r AS y FROM shingles a JOIN shingles b ON a.h = b.h AND a.r <> b.r
+  GROUP BY a.r, b.r, a.n, b.n HAVING 100 * count(*) >= 80 * (a.n + b.n - count(*))),
+reach AS (SELECT r AS x, r AS y FROM sets UNION SELECT reach.x, links.y FROM reach JOIN links ON links.x = reach.y)
+SELECT s.doc_id, len(g) AS n_shingles,
+       (SELECT min(o.doc_id) FROM reach JOIN sets o ON o.r = reach.y WHERE reach.x = s.r) AS component_id,
+       (SELECT count(*) FROM links WHERE links.x = s.r) AS n_links
+FROM sets s
+"""
+
+
 def scanned(docs: DataFrame) -> DataFrame:
     """All findings in the texts with their scores. Labels are the silver ones of documents outside of fold 0 of 5."""
     found = landed(secret_scan.findings(docs, "doc_id", "text"), "secret-candidates")
