@@ -30,10 +30,11 @@ def read(raw: Column, type_name: str) -> Column:
     return F.try_variant_get(raw, "$", type_name)
 
 
-def read_number(raw: Column) -> Column:
+def read_number(raw: Column, kind: Column) -> Column:
     """A number, also from text. The engine takes Java's type suffixes and hexadecimal text for numbers; these are
-    none here."""
-    return F.when(~F.coalesce(read(raw, "string").rlike(JAVA_NUMBER), F.lit(False)), read(raw, "double"))
+    none here. Only text is looked at for that."""
+    is_number = (kind != "STRING") | ~read(raw, "string").rlike(JAVA_NUMBER)
+    return F.when(F.coalesce(is_number, F.lit(True)), read(raw, "double"))
 
 
 def truth(raw: Column, kind: Column) -> Column:

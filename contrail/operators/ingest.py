@@ -71,7 +71,7 @@ def normalize_vectors(
     # 1. cut the vector into its fields, look up their types, read their values: each step once per field
     raw = {name: F.col(f"_raw_{name}") for name in VECTOR_POSITIONS}
     v = {name: F.col(f"_{name}") for name in VECTOR_POSITIONS}
-    kind = {name: F.col(f"_kind_{name}") for name in VECTOR_POSITIONS if name not in _LENIENT}
+    kind = {name: F.col(f"_kind_{name}") for name in VECTOR_POSITIONS}
     cut = df.select(
         *kept, now.alias("_now"), F.col(state).alias("_vector"),
         *[field.alias(f"_raw_{name}") for name, field in vector_fields(F.col(state)).items()],
@@ -81,7 +81,7 @@ def normalize_vectors(
     )
     valued = typed.select(
         *carried, *kind.values(), *[raw[name] for name in (*_LENIENT, "icao24")],
-        *[(coerce.read_number(raw[name]) if name in _LENIENT else coerce.read(raw[name], as_type)).alias(f"_{name}")
+        *[(coerce.read_number(raw[name], kind[name]) if name in _LENIENT else coerce.read(raw[name], as_type)).alias(f"_{name}")
           for name, as_type in _READ_AS.items()],
         *[coerce.truth(raw[name], kind[name]).alias(f"_{name}") for name in ("on_ground", "spi")],
     )
