@@ -45,7 +45,7 @@ def settled(build: Callable[[], DataFrame], purpose: str) -> DataFrame:
         on_the_way = list(paths)
         out = landed(built, purpose)
     finally:
-        scopes.remove(paths)
+        scopes.pop()
     remove(out.sparkSession, on_the_way)
     for outer in scopes:
         outer[:] = [p for p in outer if p not in set(on_the_way)]
