@@ -175,14 +175,18 @@ def fit(labelled: DataFrame, label: str, words: list[str], max_findings: int = 2
 
 
 def mask(docs: DataFrame, secrets: DataFrame, key: str, text: str) -> DataFrame:
-    """``docs`` with every value of ``secrets`` (``doc``, ``content`` and ``value`` of findings) in the text it was found
+    """``docs`` with every value of ``secrets`` (``doc``, ``value`` and ``content`` of findings) in the text it was found
     in replaced by ``MASK``; other texts and null ones stay. A null key is one like others, and texts of one key are
-    told apart by their hash. Longer values go first, as one may lie in another. Columns stay as they are."""
+    told apart by their hash; without ``content`` a value is replaced in all texts of its key. Longer values go first,
+    as one may lie in another. Columns stay as they are."""
     doc, content, values = (unused(n, docs) for n in ("doc", "content", "values"))
-    listed = secrets.groupBy(F.col("doc").alias(doc), F.col("content").alias(content)).agg(F.array_sort(F.collect_set(
+    keys = [F.col("doc").alias(doc)] + [F.col("content").alias(content)] * ("content" in secrets.columns)
+    listed = secrets.groupBy(*keys).agg(F.array_sort(F.collect_set(
         F.struct((-F.length("value")).alias("n"), "value"))).alias(values))
     whole = docs[f"`{text}`"]
-    joined = docs.join(listed, docs[f"`{key}`"].eqNullSafe(F.col(doc)) & (F.xxhash64(whole) == F.col(content)), "left")
+    same = docs[f"`{key}`"].eqNullSafe(F.col(doc))
+    if content in listed.columns:
+        same = same & (F.xxhash64(whole) == F.col(content))
     masked = F.when(F.col(values).isNull(), whole).otherwise(F.aggregate(
         values, whole, lambda w, v: F.replace(w, v["value"], F.lit(MASK))))
-    return joined.withColumn(text, masked).select(*[F.col(f"`{c}`") for c in docs.columns])
+    return docs.join(listed, same, "left").withColumn(text, masked).select(*[F.col(f"`{c}`") for c in docs.columns])

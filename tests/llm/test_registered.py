@@ -33,7 +33,8 @@ def stages(spark, tmp_path_factory):
     again = docs.filter("doc_id = 7")
     odd = spark.createDataFrame([(None, "lone row without an id", None, None, None), (900001, None, "en", "s", None),
                                  (900002, "", "en", None, 0), (900003, " \n ", None, "s", 3)], docs.schema)
-    out = [docs.unionByName(again).unionByName(odd).withColumn("node", F.lit(1))]
+    working = ("node", "gone", "kept", "rows", "before", "doc", "content", "values", "found", "_kept", "_again", "_old")
+    out = [docs.unionByName(again).unionByName(odd).withColumns({name: F.lit(1) for name in working})]
     for name, stage in corpus_pipeline.STAGES:
         path = str(tmp_path_factory.mktemp(name) / "rows")
         stage(spark, out[-1], SMALL).write.parquet(path)

@@ -68,6 +68,45 @@ def test_urls_by_join_agree_with_the_trie(spark):
     assert sorted(map(tuple, a.collect()), key=str) == sorted(map(tuple, b.collect()), key=str)
 
 
+def test_urls_by_join_judge_rows_not_keys(spark):
+    """A null key, one key with two urls, repeated rows, and hosts lower-cased as far as ASCII goes."""
+    rules = [Rule(BLOCK, "net"), Rule(ALLOW, "org", "/fr/"), Rule(BLOCK, "İx.com")]
+    rows = [(None, "http://a.net/"), (1, "http://a.org/fr/x"), (1, "http://a.net/x"), (1, "http://a.net/x"),
+            (None, "http://a.org/"), (2, "http://İx.com/"), (3, None)]
+    pages = spark.createDataFrame(rows, "page_id int, url string")
+    table = spark.createDataFrame([(r.verdict, r.host, r.path) for r in rules], "verdict string, host string, path string")
+    a = url_filters.judge_urls(pages, rules).select("page_id", "host", "path", F.lower("rule"), "verdict")
+    b = url_filters.judge_urls_by_join(pages, table, "page_id").select("page_id", "host", "path", F.lower("rule"), "verdict")
+    assert sorted(map(tuple, a.collect()), key=str) == sorted(map(tuple, b.collect()), key=str)
+
+
+def test_columns_with_working_names_stay(spark):
+    names = ["found", "judged", "doc", "content", "values", "number", "_n", "_p", "_s", "_judged", "_values", "_doc", "_old"]
+    docs = spark.createDataFrame([(1, 'x token = "a1b2c3d4e5f60718" http://a.net/', 5), (None, 'token = "a1b2c3d4e5f60718"', 5)],
+                                 "doc_id long, text string, length long").withColumns({n: F.lit(n) for n in names})
+
+    def kept(df):
+        return all([r[n] for n in names] == names for r in df.collect())
+
+    assert kept(quality_rules.with_statistics(docs, "text"))
+    assert kept(url_filters.judge_urls(docs, RULES, "text"))
+    assert kept(packing.pack(docs, 10, "length"))
+    assert kept(language_id.identify(docs, language_id.fit_profiles(docs.withColumn("lang", F.lit("en")), "text", "lang",
+                                                                    "doc_id")))
+    found = secret_scan.findings(docs, "doc_id", "text")
+    masked = secret_scan.mask(docs, found, "doc_id", "text")
+    assert kept(masked) and all("<secret>" in r.text for r in masked.collect())
+
+
+def test_secrets_are_masked_in_their_own_text(spark):
+    key = "a1b2c3d4e5f60718"
+    docs = spark.createDataFrame([(1, f"secret {key}"), (1, f"harmless {key} x"), (None, f"also {key}")],
+                                 "doc_id long, text string")
+    found = secret_scan.findings(docs, "doc_id", "text").filter("before != ' harmless'")
+    texts = sorted(r.text for r in secret_scan.mask(docs, found, "doc_id", "text").collect())
+    assert texts == ["also <secret>", f"harmless {key} x", "secret <secret>"]
+
+
 def test_too_many_rules_are_refused(spark, monkeypatch):
     monkeypatch.setattr(url_filters, "MAX_TRIE_BYTES", 10)
     with pytest.raises(ValueError):
