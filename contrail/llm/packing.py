@@ -8,7 +8,6 @@ import re
 import zlib
 from array import array
 from collections.abc import Callable, Iterator
-from heapq import heapify, heappop
 
 import numpy as np
 import pandas as pd
@@ -220,85 +219,107 @@ def best_fit(lengths: np.ndarray, capacity: int) -> np.ndarray:
     return bins
 
 
-def local_search(lengths: np.ndarray, bins: np.ndarray, capacity: int, patience: int = 64) -> np.ndarray:
+def _pairs(lengths: np.ndarray, own: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The distinct sums of two pieces of a bin, ascending, and two pieces for each."""
+    own = own[np.argsort(lengths[own], kind="stable")]
+    sizes = lengths[own]
+    own = own[(sizes != np.roll(sizes, 2)) | (np.arange(len(own)) < 2)]  # of equal lengths two are enough
+    a, b = np.triu_indices(len(own), 1)
+    sums, one = np.unique(lengths[own[a]] + lengths[own[b]], return_index=True)
+    return sums, own[a[one]], own[b[one]]
+
+
+class _Bins:
+    """Bins with their pieces, fills and sums of pairs."""
+
+    def __init__(self, lengths: np.ndarray, bins: np.ndarray, capacity: int):
+        n = int(bins.max(initial=-1)) + 1
+        sizes = np.bincount(bins, minlength=n)
+        self.lengths, self.capacity = lengths, capacity
+        self.pieces = np.split(np.argsort(bins, kind="stable"), np.cumsum(sizes)[:-1])
+        self.fill = np.bincount(bins, lengths, n).astype(np.int64)
+        self.pairs = [_pairs(lengths, p) for p in self.pieces]
+
+    def exchange(self, giver: int) -> tuple[int, np.ndarray, np.ndarray] | None:
+        """The exchange that takes most out of ``giver`` and raises the squared fill: the other bin, the pieces that
+        leave and those that come back. A move, if any piece fits elsewhere: the longest, to where the least room is
+        left. Else one piece for one, two for one, or one for two. Of the giver's sorted lengths and sums, the largest
+        that a place has room for is looked up for all places at once, so no pair of pieces is passed over."""
+        room = self.capacity - self.fill
+        own = self.pieces[giver][np.argsort(self.lengths[self.pieces[giver]], kind="stable")]
+        mine = self.lengths[own]
+        takers = np.flatnonzero((self.fill > 0) & (room > 0))
+        takers = takers[takers != giver]
+        if not len(takers):
+            return None
+
+        def gains(sums: np.ndarray, theirs: np.ndarray, where: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+            k = np.searchsorted(sums, theirs + room[where], "right") - 1
+            net = np.where(k >= 0, sums[k] - theirs, 0)
+            return np.where(self.fill[where] + net > self.fill[giver], net, 0), k
+
+        net, k = gains(mine, np.zeros(len(takers), np.int64), takers)
+        if net.max() > 0:
+            best = np.flatnonzero(net == net.max())
+            at = best[np.argmin(room[takers[best]])]
+            return int(takers[at]), own[[k[at]]], own[:0]
+        singles = np.concatenate([self.pieces[t] for t in takers])
+        of_single = np.repeat(takers, [len(self.pieces[t]) for t in takers])
+        doubles = np.concatenate([self.pairs[t][0] for t in takers])
+        of_double = np.repeat(takers, [len(self.pairs[t][0]) for t in takers])
+        best, found = 0, None
+        sums, first, second = self.pairs[giver]
+        for mine_now, parts in ((mine, [own]), (sums, [first, second])):
+            if len(mine_now):
+                net, k = gains(mine_now, self.lengths[singles], of_single)
+                at = int(net.argmax())
+                if net[at] > best:
+                    best = int(net[at])
+                    found = int(of_single[at]), np.array([p[k[at]] for p in parts]), singles[[at]]
+        if len(doubles):
+            net, k = gains(mine, doubles, of_double)
+            at = int(net.argmax())
+            if net[at] > best:
+                taker = int(of_double[at])
+                j = at - int(np.flatnonzero(of_double == taker)[0])
+                found = taker, own[[k[at]]], np.array([self.pairs[taker][1][j], self.pairs[taker][2][j]])
+        return found
+
+    def change(self, giver: int, taker: int, out: np.ndarray, back: np.ndarray) -> None:
+        for b, less, more in ((giver, out, back), (taker, back, out)):
+            self.pieces[b] = np.concatenate((self.pieces[b][~np.isin(self.pieces[b], less)], more))
+            self.fill[b] += self.lengths[more].sum() - self.lengths[less].sum()
+            self.pairs[b] = _pairs(self.lengths, self.pieces[b])
+
+
+def local_search(lengths: np.ndarray, bins: np.ndarray, capacity: int) -> np.ndarray:
     """Empty bins by exchanges that make fuller bins fuller, so that each raises the sum of squared fills.
 
-    The emptiest bin gives: one of its pieces moves to a bin with room for it, or changes places with a smaller piece,
-    or with two pieces that are smaller together, or two of its pieces do with a smaller one, always the exchange that
-    fills most. A bin that can give no more is left, and the next emptiest one tried. The search ends when the bins
-    are as few as the total allows, or ``patience`` bins in a row could not be emptied.
+    The emptiest bin gives, as long as an exchange takes something out of it (see ``_Bins.exchange``); then the next
+    emptiest one that has not been tried since the last change. The search ends when the bins are as few as the total
+    allows, or when as many bins in a row as there are have been tried without emptying one.
     """
-    lengths, bins = lengths.astype(np.int64), bins.copy()
-    n_bins = int(bins.max(initial=-1)) + 1
-    fill = np.bincount(bins, lengths, n_bins).astype(np.int64)
-    room = capacity - fill
-    order = [(int(f), b) for b, f in enumerate(fill)]
-    heapify(order)
-    used, least, failed = n_bins, -(-int(lengths.sum()) // capacity), 0
-    # The neighbours of a piece in its bin, for exchanges of two: rebuilt for a bin when it is asked.
-    while order and used > least and failed < patience:
-        f, giver = heappop(order)
-        if f != fill[giver] or not f:
-            continue
-        while fill[giver]:
-            own = np.flatnonzero(bins == giver)
-            change = _exchange(lengths, bins, room, own, giver)
-            if change is None:
-                break
-            out, back, taker = change
-            bins[out], bins[back] = taker, giver
-            moved = int(lengths[out].sum() - lengths[back].sum())
-            fill[giver] -= moved
-            fill[taker] += moved
-            room[giver] += moved
-            room[taker] -= moved
-        if fill[giver]:
-            failed += 1
-        else:
-            used, failed = used - 1, 0
-    return np.unique(bins, return_inverse=True)[1]
-
-
-def _exchange(lengths: np.ndarray, bins: np.ndarray, room: np.ndarray, own: np.ndarray,
-              giver: int) -> tuple[np.ndarray, np.ndarray, int] | None:
-    """Which of the giver's pieces leave, which come back, and the bin they change with: the largest gain."""
-    none = np.empty(0, np.int64)
-    fuller = room < room[giver]
-    fuller[giver] = False
-    best, found = 0, None
-    space = np.where(fuller, room, -1)
-    for i in own[np.argsort(-lengths[own], kind="stable")][:16]:
-        fits = space >= lengths[i]
-        if fits.any():  # a move, to where the least room is left
-            return np.array([i]), none, int(np.where(fits, space, np.iinfo(np.int64).max).argmin())
-    others = np.flatnonzero(fuller[bins])
-    if not len(others):
-        return None
-    give = [(np.array([i]), int(lengths[i])) for i in own]
-    give += [(np.array([i, j]), int(lengths[i] + lengths[j])) for k, i in enumerate(own[:16]) for j in own[k + 1:16]]
-    for out, size in give:
-        gain = size - lengths[others]
-        gain = np.where(gain <= space[bins[others]], gain, 0)
-        at = int(gain.argmax())
-        if gain[at] > best:
-            best, found = int(gain[at]), (out, others[at:at + 1], int(bins[others[at]]))
-    if found is not None:
-        return found
-    # One piece for two: pairs of neighbours in the order of bins, within a bin.
-    near = others[np.argsort(bins[others], kind="stable")]
-    for apart in (1, 2):
-        a, b = near[:-apart], near[apart:]
-        together = bins[a] == bins[b]
-        a, b = a[together], b[together]
-        if not len(a):
-            continue
-        for i in own:
-            gain = lengths[i] - lengths[a] - lengths[b]
-            gain = np.where(gain <= space[bins[a]], gain, 0)
-            at = int(gain.argmax())
-            if gain[at] > best:
-                best, found = int(gain[at]), (np.array([i]), np.array([a[at], b[at]]), int(bins[a[at]]))
-    return found
+    least = -(-int(lengths.sum()) // capacity)
+    used = int(bins.max(initial=-1)) + 1
+    if used <= least:
+        return bins
+    state, failed, changes = _Bins(lengths.astype(np.int64), bins, capacity), 0, 0
+    tried: dict[int, int] = {}
+    while used > least and failed < used:
+        emptiest = np.argsort(np.where(state.fill > 0, state.fill, capacity + 1), kind="stable")[:used].tolist()
+        giver = next((b for b in emptiest if tried.get(b) != changes), None)
+        if giver is None:
+            break
+        before = changes
+        while state.fill[giver] and (change := state.exchange(giver)) is not None:
+            state.change(giver, *change)
+            changes = before + 1
+        tried[giver] = changes
+        used, failed = (used - 1, 0) if not state.fill[giver] else (used, failed + 1)
+    out = np.empty(len(lengths), np.int64)
+    for k, b in enumerate(np.flatnonzero(state.fill)):
+        out[state.pieces[b]] = k
+    return out
 
 
 def pack(pieces: DataFrame, capacity: int, length: str = "length", group_size: int = 16_000,

@@ -219,6 +219,41 @@ def test_local_search_empties_bins():
         assert last.max() + 1 >= -(-lengths.sum() // 100)
 
 
+def fewest(lengths, capacity):
+    """The optimum, over all subsets."""
+    n = len(lengths)
+    best = [(0, 0)] + [(n + 1, 0)] * ((1 << n) - 1)  # bins, and what the last one holds
+    for done in range(1 << n):
+        for i in range(n):
+            if not done >> i & 1:
+                bins, held = best[done]
+                new = (bins, held + lengths[i]) if bins and held + lengths[i] <= capacity else (bins + 1, lengths[i])
+                best[done | 1 << i] = min(best[done | 1 << i], new)
+    return best[-1][0]
+
+
+def test_local_search_finds_the_optimum_of_small_instances():
+    rng, better = random.Random(6), 0
+    for _ in range(60):
+        lengths = np.array([rng.randint(15, 45) for _ in range(10)])
+        first, optimum = packing.best_fit(lengths, 100), fewest(lengths.tolist(), 100)
+        found = min(packing.local_search(lengths, start, 100).max() + 1 for start in (first, np.arange(10)))
+        assert found == optimum
+        better += first.max() + 1 > optimum
+    assert better >= 3  # best fit alone does not get there
+
+
+def test_local_search_beats_best_fit():
+    rng = np.random.default_rng(1)
+    for low, high, bins in ((300, 1400, 3), (600, 1800, 6)):
+        lengths = rng.integers(low, high + 1, 1500)
+        first = packing.best_fit(lengths, 4096)
+        last = packing.local_search(lengths, first, 4096)
+        assert np.bincount(last, lengths).max() <= 4096 and first.max() - last.max() >= bins
+        alone = packing.local_search(lengths[:400], np.arange(400), 4096)  # also from one piece a bin
+        assert alone.max() < packing.best_fit(lengths[:400], 4096).max()
+
+
 # ---- language
 
 def test_language_by_plain_distance_and_odd_texts(spark):
