@@ -245,7 +245,7 @@ def test_local_search_finds_the_optimum_of_small_instances():
 
 def test_local_search_beats_best_fit():
     rng = np.random.default_rng(1)
-    for low, high, bins in ((300, 1400, 2), (600, 1800, 8)):
+    for low, high, bins in ((300, 1400, 2), (600, 1800, 5)):
         lengths = rng.integers(low, high + 1, 1500)
         first = packing.best_fit(lengths, 4096)
         last = packing.local_search(lengths, first, 4096)
