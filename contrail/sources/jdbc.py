@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Mapping
 from dataclasses import dataclass, field
 
@@ -65,7 +66,7 @@ def merge_statement(table: Table, staging: str, replace: bool, stamp: bool = Fal
 class JdbcTarget:
     """Tables of one database. Executors write a staging table in parallel; the driver then sends one statement.
 
-    The staging table carries the batch id, so a replayed batch overwrites its own leavings.
+    The staging table carries run and batch, so a replayed batch overwrites its own leavings and no other query's.
     """
 
     url: str
@@ -87,9 +88,11 @@ class JdbcTarget:
         self._merge(rows, table, batch_id, replace=True, stamp=updated_at == "now")
 
     def _merge(self, rows: DataFrame, table: Table, batch_id: int, replace: bool, stamp: bool = False) -> None:
-        from contrail.sources.tables import conform
+        from contrail.sources.tables import conform, run_id
 
-        staging = f"{table.name}_stage_{batch_id}"
+        run = run_id(rows.sparkSession)
+        mark = "" if run == "direct" else hashlib.md5(run.encode()).hexdigest()[:12] + "_"
+        staging = f"{table.name}_stage_{mark}{batch_id}"
         (
             conform(rows, table).write.format("jdbc").mode("overwrite")
             .options(url=self.url, dbtable=staging, batchsize=self.batch_rows, **self.properties).save()

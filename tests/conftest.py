@@ -36,7 +36,7 @@ def nulls():
 
 
 def event(**fields):
-    """A message of the event schema as a dict."""
+    """A message of the event schema as a dict. Those of the full vector, as an event."""
     base = {
         "schema_version": 1, "event_time_utc": "2023-11-14T22:13:20Z", "source": "opensky", "icao24": "a1b2c3",
         "ingestion_time_utc": "2023-11-14T22:13:21Z", "callsign": "UAL123", "lat": 41.8781, "lon": -87.6298,

@@ -285,6 +285,11 @@ def test_jdbc_batches(monkeypatch, spark):
     JdbcTarget("jdbc:x").append(grid(spark, (at(0), "a", 1)), GRID_5M, 7)
     assert staged == [True]
     assert "USING realtime_airspace_grid_5m_stage_7 s" in sent[0] and sent[1] == "DROP TABLE realtime_airspace_grid_5m_stage_7"
+    for run in ("one", "two"):  # queries whose batches have the same number
+        spark.sparkContext.setLocalProperty("sql.streaming.queryId", run)
+        JdbcTarget("jdbc:x").append(grid(spark, (at(0), "a", 1)), GRID_5M, 7)
+    spark.sparkContext.setLocalProperty("sql.streaming.queryId", None)
+    assert len({text for text in sent if text.startswith("DROP")}) == 3
 
 
 def test_stream_options(spark):
