@@ -155,7 +155,7 @@ def fit(labelled: DataFrame, text: str, label: str, key: str, max_texts: int = 1
     """A toxicity classifier from labelled texts.
 
     Voters are ``n_lexicons`` groups of words and stems that labels of 1 go with (a stem and its words in one group),
-    as many "nothing of the group's strong entries" voters pooled into clean votes, and ``PATTERNS``. ``LabelModel``
+    two voters for clean texts that find nothing of the groups' strong entries, and ``PATTERNS``. ``LabelModel``
     turns votes into posterior labels, and a logistic regression of the entries in a text is fitted to those. About
     ``max_texts`` labelled rows are used, at most ``max_entries`` entries; both bound what the driver gets. Labels
     other than 0 and 1 are left out. Without labels of both kinds every text has the same low score.

@@ -291,7 +291,7 @@ def test_languages_of_held_out_documents(spark):
 def test_toxicity_of_held_out_documents(spark):
     labels = spark.read.parquet(f"{SMALL}/labels.parquet")
     out = queries.QUERIES["op5_toxicity"](spark, SMALL).join(labels, "doc_id").filter("held_out").toPandas()
-    assert (out.predicted[out.toxic == 1]).mean() > 0.7 and (out.predicted[out.toxic == 0]).mean() < 0.06
+    assert (out.predicted[out.toxic == 1]).mean() >= 0.88 and (out.predicted[out.toxic == 0]).mean() < 0.06
 
 
 def test_the_label_model_finds_good_voters():
