@@ -187,7 +187,7 @@ def leading_components(rows: DataFrame, at: Moments, count: int, guard: int | No
     eigenvalues and growing fast above it, one distributed pass for each degree; then QR and Rayleigh-Ritz. The interval
     ends at the smallest Ritz value of the block and begins at a lower bound of all eigenvalues: those outside of the
     block add up to the trace less the Ritz values, and none of them exceeds the interval's end. The block has
-    ``guard`` columns more than wanted, by default half as many; where a round does not bring the residuals down,
+    ``guard`` columns more than wanted, by default three quarters as many; where a round does not bring the residuals down,
     the block is widened. Done when every wanted residual ``|Vq - eq|`` is below ``tolerance`` x trace, or rounding
     keeps it from falling below 1000 times that. Raises ``ArithmeticError`` if neither comes about.
     Eigenvalues below 1e-12 of the largest count as zero and have no component.
@@ -198,7 +198,7 @@ def leading_components(rows: DataFrame, at: Moments, count: int, guard: int | No
     if not trace > 0:
         return Components(np.empty((d, 0)), np.empty(0), 0.0, np.empty(0), passes)
     random = np.random.default_rng(seed)
-    width = min(d, count + (max(8, count // 2) if guard is None else guard))
+    width = min(d, count + (max(8, 3 * count // 4) if guard is None else guard))
     wanted = min(count, d)
     q = np.linalg.qr(random.standard_normal((d, width)))[0]
     low, before = 0.0, np.inf
