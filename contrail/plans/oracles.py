@@ -353,3 +353,5 @@ ORACLES["airspace_density_busy"] = _with("busy", grid=_KNOWN["busy_grid"]) + (
     "cast(split_part(grid_cell, '_', 2) as double) as grid_lon from grid "
     "where window_end = (select max(window_end) from grid)"
 )
+ORACLES["airspace_density_stored"] = ORACLES["airspace_density_busy"]
+ORACLES["within_bbox_stored"] = ORACLES["within_bbox"]

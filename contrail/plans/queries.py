@@ -24,7 +24,10 @@ from contrail.schemas import (
     DEDUPE_KEYS, GRID_5M, QUALITY_5M, SCHEMA_VERSION, STATE, TELEMETRY, TRAFFIC_1H, TRAFFIC_5M, Table,
 )
 from contrail.session import configure, landed, work_dir
-from contrail.sources import BucketedTarget, FolderTarget, export_snapshots as write_snapshots, load_table, read_event_stream
+from contrail.sources import (
+    BucketedTarget, FolderTarget, export_snapshots as write_snapshots, load_table, read_event_stream, within_bbox_stored,
+    write_positions,
+)
 from contrail.streaming import (
     ProgressLog, QueryFailed, append_windows, await_queries, dedupe_stateful as dedupe_keyed,
     dedupe_stream as dedupe_batches, insert_absent_windows, keep_live, live_changes, read_ingest_counts, read_live,
@@ -285,6 +288,13 @@ def q_within_bbox(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _out(within_bbox(_telemetry(spark, sf_dir), *BOX).select("event_id", "icao24", "event_ts", "lat", "lon"))
 
 
+def q_within_bbox_stored(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same from positions stored along a space-filling curve."""
+    path = work_dir(spark, "positions")
+    write_positions(_telemetry(spark, sf_dir), path, files=8, also="event_ts")
+    return _out(within_bbox_stored(spark, path, *BOX).select("event_id", "icao24", "event_ts", "lat", "lon"))
+
+
 def q_airspace_grid_5m(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _out(airspace_grid_5m(_telemetry(spark, sf_dir)))
 
@@ -396,6 +406,17 @@ def q_airspace_density_busy(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _out(airspace_density(airspace_grid_5m(P.busy(_events(spark, sf_dir)))))
 
 
+def q_airspace_density_stored(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same from a stored table of many dates, of which the last one is read."""
+    target = FolderTarget(work_dir(spark, "stored"))
+    rows = _events(spark, sf_dir)
+    later = P.busy(rows).withColumn("event_ts", F.col("event_ts") + F.expr("interval 60 days"))
+    for batch_id, part in enumerate((_telemetry(spark, sf_dir), later)):
+        append_windows(target, GRID_5M)(airspace_grid_5m(part), batch_id)
+    found = airspace_density(target.newest_window(spark, GRID_5M))
+    return _out(found.withColumn("aircraft_count", F.col("aircraft_count").cast("bigint")))
+
+
 def q_airspace_density(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The newest window is found from the times alone, and only its rows are aggregated."""
     rows = with_position(_telemetry(spark, sf_dir))

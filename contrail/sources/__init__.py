@@ -3,6 +3,7 @@
 from contrail.sources.buckets import BucketedTarget
 from contrail.sources.jdbc import JdbcTarget, merge_statement, read_jdbc_table, scan_options
 from contrail.sources.messages import write_messages
+from contrail.sources.positions import within_bbox_stored, write_positions
 from contrail.sources.streams import read_event_stream, read_polls, stream_options
 from contrail.sources.tables import (
     FolderTarget, conform, ensure_table, export_snapshots, load_table, read_snapshot, write_snapshot,
@@ -11,5 +12,5 @@ from contrail.sources.tables import (
 __all__ = [
     "BucketedTarget", "FolderTarget", "JdbcTarget", "conform", "ensure_table", "export_snapshots", "load_table", "merge_statement",
     "read_event_stream", "read_jdbc_table", "read_polls", "read_snapshot", "scan_options", "stream_options",
-    "write_messages", "write_snapshot",
+    "within_bbox_stored", "write_messages", "write_positions", "write_snapshot",
 ]

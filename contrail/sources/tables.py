@@ -11,6 +11,7 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
 from contrail.operators.latest import latest_per_key, merge_state
+from contrail.operators.views import latest_window
 from contrail.schemas import BY_NAME, Table
 from contrail.sources.jdbc import JdbcTarget
 
@@ -161,6 +162,23 @@ class FolderTarget:
             rows = latest_per_key(rows.drop("window_date", "run"), list(table.key), ["_written", "batch"])
         return conform(rows, table)
 
+    def newest_date(self, spark: SparkSession, table: Table) -> datetime.date | None:
+        """The last date that a window table has rows of, from the names of its folders: no file is opened."""
+        files, jvm_path = self._files(spark, table)
+        place = jvm_path(self.path(table))
+        if not files.exists(place):
+            return None
+        names = [status.getPath().getName() for status in files.listStatus(place)]
+        days = [n.removeprefix("window_date=") for n in names if n.startswith("window_date=")]
+        return max((datetime.date.fromisoformat(d) for d in days if d != "__HIVE_DEFAULT_PARTITION__"), default=None)
+
+    def newest_window(self, spark: SparkSession, table: Table, end: str = "window_end") -> DataFrame:
+        """The rows of the newest window; only the last date is read. Windows lie within the date of their start, so of
+        windows of equal length the newest begins on the last date."""
+        since = self.newest_date(spark, table)
+        rows = self.windows(spark, table, newest=True, since=since)
+        return latest_window(rows, end)
+
     def compact(self, spark: SparkSession, table: Table, before: datetime.date) -> None:
         """Put all folders of a day together, for days before ``before`` that no query writes any more.
 
