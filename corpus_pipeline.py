@@ -35,7 +35,7 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of each group of near duplicates the document with the smallest id, once; documents without words stay.
 
-    Rows without an id go if their group has an id, and stay otherwise.
+    Rows without an id cannot be told apart by it: they go if all their groups have an id, and all stay otherwise.
     """
     kept = settled(lambda: _kept(docs), "kept-documents")
     name, rows = unused("kept", docs), unused("rows", docs)
