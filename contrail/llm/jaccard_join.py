@@ -28,6 +28,8 @@ SHORT_LIST = 24
 BLOCK, BLOCK_SHINGLES, COLUMNS = 2048, 1 << 20, 1024
 # A set travels as the low five bytes of its shingles' hashes, in order, and with counts of these by their last bits.
 HASH_BYTES, BINS = 5, 64
+# A worker that reads or compares whole sets gets so much at a time.
+BATCH_MB = 8
 # Bits of the map that tells texts whether their sets are asked for: at most 2^18 rows of 64 are broadcast.
 MARKS = 1 << 24
 
@@ -254,9 +256,9 @@ def _likely(pairs: DataFrame, short: DataFrame, percent: int) -> DataFrame:
 def _verified(pairs: DataFrame, short: DataFrame, texts: DataFrame, docs: DataFrame, width: int,
               percent: int) -> DataFrame:
     """The pairs whose sets are similar enough, by the sets themselves; ``docs`` (``node, doc``) says where to read one."""
-    likely = landed(_likely(pairs, short, percent), "likely-pairs")
+    likely = landed(_likely(pairs, short, percent), "likely-pairs", BATCH_MB)
     nodes = likely.select(F.explode(F.array("x", "y")).alias("node")).distinct()
-    lists = landed(_sets(texts, docs.join(nodes, "node", "left_semi"), width), "similar-sets")
+    lists = landed(_sets(texts, docs.join(nodes, "node", "left_semi"), width), "similar-sets", BATCH_MB)
     one = likely.join(lists.select(F.col("node").alias("x"), F.col("hashes").alias("xs")), "x")
     both = one.join(lists.select(F.col("node").alias("y"), F.col("hashes").alias("ys")), "y").select("x", "y", "xs", "ys")
 
@@ -367,7 +369,7 @@ def _links(final: DataFrame, own: DataFrame, short: DataFrame, texts: DataFrame,
     pairs = two.alias("x").join(two.alias("y"), (F.col("x.comp") == F.col("y.comp")) & (F.col("x.node") != F.col("y.node")))
     blocks = F.greatest(F.ceil(F.col("size") / BLOCK), F.ceil(F.col("shingles") / BLOCK_SHINGLES))
     larger = members.filter("size > 2")
-    sets = landed(_sets(texts, docs.join(larger.select("node"), "node", "left_semi"), width), "component-sets")
+    sets = landed(_sets(texts, docs.join(larger.select("node"), "node", "left_semi"), width), "component-sets", BATCH_MB)
     dealt = larger.withColumn("block", F.pmod(F.xxhash64("node"), blocks)).join(sets, "node").select(
         "comp", "node", "rows", "hashes", "block", F.explode(F.sequence(F.lit(0).cast("long"), blocks - 1)).alias("other"))
     met = dealt.select("comp", "node", "rows", "hashes", "block", F.least("block", "other").alias("a"),
@@ -423,7 +425,7 @@ def _groups(docs: DataFrame, key: str, text: str, width: int, percent: int, coun
 
     nodes = landed(index.select("node").distinct(), "similar-nodes")
     rep = landed(found.groupBy("node").agg(F.min("doc").alias("doc")).join(nodes, "node"), "similar-documents")
-    links = settled(lambda: _verified(first, short, texts, rep, width, percent), "first-links")
+    links = settled(lambda: _verified(first, short, texts, rep, width, percent), "first-links", BATCH_MB)
     labels = components(nodes, links)
 
     def apart(pairs: DataFrame) -> DataFrame:
@@ -444,7 +446,7 @@ def _groups(docs: DataFrame, key: str, text: str, width: int, percent: int, coun
               .select(F.least("x.node", "y.node").alias("x"), F.greatest("x.node", "y.node").alias("y")))
     rest = landed(apart(candidates.select("x", "y").unionByName(across).distinct()).join(
         first, ["x", "y"], "left_anti"), "other-pairs")
-    more = settled(lambda: _verified(rest, short, texts, rep, width, percent), "other-links")
+    more = settled(lambda: _verified(rest, short, texts, rep, width, percent), "other-links", BATCH_MB)
     final = components(nodes, links.unionByName(more))
 
     least = found.groupBy("node").agg(F.min("doc").alias("doc")).join(final, "node").groupBy("comp").agg(

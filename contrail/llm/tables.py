@@ -2,28 +2,39 @@
 
 from __future__ import annotations
 
+import contextlib
 import threading
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 
 from pyspark.sql import DataFrame, SparkSession
 
 from contrail import session
 
 _FREE = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+_BATCH = "spark.sql.execution.arrow.maxBytesPerBatch"
 _open = threading.local()
 
 
-def landed(df: DataFrame, purpose: str) -> DataFrame:
+@contextlib.contextmanager
+def _set(spark: SparkSession, settings: dict[str, str]) -> Iterator[None]:
+    before = {key: spark.conf.get(key) for key in settings}
+    for key, value in settings.items():
+        spark.conf.set(key, value)
+    try:
+        yield
+    finally:
+        for key, value in before.items():
+            spark.conf.set(key, value)
+
+
+def landed(df: DataFrame, purpose: str, batch_mb: int | None = None) -> DataFrame:
     """Write ``df`` to the shared work folder and read it from there. Its shuffle files are freed once it is written:
-    whoever needs the rows again reads the table."""
+    whoever needs the rows again reads the table. ``batch_mb`` bounds the batches that Python workers get, for rows
+    that are large or become so."""
     spark = df.sparkSession
     path = session.work_dir(spark, purpose)
-    before = spark.conf.get(_FREE, "false")
-    spark.conf.set(_FREE, "true")
-    try:
+    with _set(spark, {_FREE: "true", **({_BATCH: f"{batch_mb}m"} if batch_mb else {})}):
         df.write.parquet(path)
-    finally:
-        spark.conf.set(_FREE, before)
     for paths in getattr(_open, "scopes", []):
         paths.append(path)
     out = spark.read.schema(df.schema).parquet(path)
@@ -31,7 +42,7 @@ def landed(df: DataFrame, purpose: str) -> DataFrame:
     return out
 
 
-def settled(build: Callable[[], DataFrame], purpose: str) -> DataFrame:
+def settled(build: Callable[[], DataFrame], purpose: str, batch_mb: int | None = None) -> DataFrame:
     """What ``build`` returns, landed; then the tables that were landed on the way are removed.
 
     They are removed when the result stands, so a lost executor finds what its tasks read. Only what ``build`` lands
@@ -43,7 +54,7 @@ def settled(build: Callable[[], DataFrame], purpose: str) -> DataFrame:
     try:
         built = build()
         on_the_way = list(paths)
-        out = landed(built, purpose)
+        out = landed(built, purpose, batch_mb)
     finally:
         scopes.pop()
     remove(out.sparkSession, on_the_way)
