@@ -4,7 +4,6 @@ from __future__ import annotations
 
 import functools
 import json
-import re
 import zlib
 from array import array
 from collections.abc import Callable, Iterator
@@ -21,16 +20,21 @@ from contrail.llm.text import unused
 
 # Characters whose lower case is one character and which no normal form changes: ASCII and Latin-1 without its signs.
 _PLAIN = "^[!-~À-ÖØ-Þß-öø-ÿ]+$"
-_REMEMBERED = 150_000
+_LETTERS = "^[a-zß-öø-ÿ]+$"
+_REMEMBERED = 300_000
 CHUNK_BYTES = 8 << 20
 
 
 class Ragged:
-    """Rows of ids one after the other, from bytes of unsigned 32-bit numbers."""
+    """Rows of ids one after the other."""
 
-    def __init__(self, rows: list[bytes]):
-        self.flat = np.frombuffer(b"".join(rows), np.uintc)
-        self.sizes = np.array(list(map(len, rows)), np.int64) // 4
+    def __init__(self, flat: np.ndarray, sizes: np.ndarray):
+        self.flat, self.sizes = flat, sizes
+
+    @staticmethod
+    def of(rows: list[bytes]) -> Ragged:
+        """From bytes of unsigned 32-bit numbers."""
+        return Ragged(np.frombuffer(b"".join(rows), np.uintc), np.array(list(map(len, rows)), np.int64) // 4)
 
     def take(self, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """The ids of the rows ``at`` one after the other, and where each row's begin (one more than rows)."""
@@ -63,7 +67,7 @@ class Encoder:
         by_bytes = bool(steps) and steps[-1]["type"] == "ByteLevel" and not steps[-1]["add_prefix_space"]
         mark = (spec.get("model") or {}).get("end_of_word_suffix")
         self.pattern = f"({split['pattern']['Regex']})" if split and lowered and by_bytes and mark else None
-        self.added = "|".join(re.escape(t["content"]) for t in spec["added_tokens"])
+        self.added = [t["content"] for t in spec["added_tokens"]]
         vocabulary = self.whole.get_vocab()
         self.ends = np.zeros(max(vocabulary.values()) + 1, bool)
         if mark:
@@ -76,38 +80,41 @@ class Encoder:
         begin (one more than texts). Nulls are empty texts."""
         lists = pc.ascii_split_whitespace(texts.cast(pa.large_string()).fill_null(""))
         words = lists.flatten().dictionary_encode()
-        rows = self._words(words.dictionary)
+        rows, place = self._words(words.dictionary)
         bounds = lists.offsets.to_numpy() - lists.offsets[0].as_py()
-        codes = words.indices.to_numpy()
+        codes = place[words.indices.to_numpy()]
         if end is not None:
-            rows.flat = np.append(rows.flat, np.uintc(end))
-            rows.sizes = np.append(rows.sizes, 1)
+            rows = Ragged(np.append(rows.flat, np.uintc(end)), np.append(rows.sizes, 1))
             codes = np.insert(codes, bounds[1:], len(rows.sizes) - 1)
             bounds = bounds + np.arange(len(bounds))
         ids, total = rows.take(codes)
         return ids, total[bounds]
 
-    def _words(self, words: pa.Array) -> Ragged:
+    def _words(self, words: pa.Array) -> tuple[Ragged, np.ndarray]:
+        """The ids of distinct words, and in which row those of each word are."""
         plain = np.zeros(len(words), bool)
         if self.pattern is not None:
             mask = pc.match_substring_regex(words, _PLAIN)
-            if self.added:
-                mask = pc.and_not(mask, pc.match_substring_regex(words, self.added))
+            for token in self.added:
+                mask = pc.and_not(mask, pc.match_substring(words, token))
             plain = mask.to_numpy(zero_copy_only=False)
-        out = np.empty(len(words), object)
         others = np.flatnonzero(~plain)
-        out[others] = self._known(words.take(pa.array(others)).to_pylist(), self._alone)
-        if plain.any():
-            spaced = pc.replace_substring_regex(pc.utf8_lower(words.filter(pa.array(plain))), self.pattern, r"\1 ")
-            lists = pc.ascii_split_whitespace(spaced)
-            pieces = lists.flatten().dictionary_encode()
-            found = Ragged(self._known(pieces.dictionary.to_pylist(), self._together))
-            # A blank ends what is split, so every list has an empty piece at its end, which has no ids.
-            ids, total = found.take(pieces.indices.to_numpy())
-            bounds = total[lists.offsets.to_numpy() - lists.offsets[0].as_py()] * 4
-            data = ids.tobytes()
-            out[np.flatnonzero(plain)] = [data[a:b] for a, b in zip(bounds.tolist(), bounds[1:].tolist())]
-        return Ragged(out.tolist())
+        rest = Ragged.of(self._known(words.take(pa.array(others)).to_pylist(), self._alone))
+        if not plain.any():
+            return rest, np.arange(len(words))
+        lowered = pc.utf8_lower(words.filter(pa.array(plain)))
+        # Words of letters only are one piece; the others are cut where the pattern says.
+        cut = pc.invert(pc.match_substring_regex(lowered, _LETTERS))
+        spaced = pc.replace_with_mask(lowered, cut, pc.replace_substring_regex(lowered.filter(cut), self.pattern, r"\1 "))
+        lists = pc.ascii_split_whitespace(spaced)
+        pieces = lists.flatten().dictionary_encode()
+        found = Ragged.of(self._known(pieces.dictionary.to_pylist(), self._together))
+        # A blank ends what is cut, so its list has an empty piece at its end, which has no ids.
+        ids, total = found.take(pieces.indices.to_numpy())
+        sizes = np.diff(total[lists.offsets.to_numpy() - lists.offsets[0].as_py()])
+        place = np.empty(len(words), np.int64)
+        place[np.concatenate((np.flatnonzero(plain), others))] = np.arange(len(words))
+        return Ragged(np.concatenate((ids, rest.flat)), np.concatenate((sizes, rest.sizes))), place
 
     def _known(self, keys: list[str], work_out: Callable[[list[str]], list[bytes]]) -> list[bytes]:
         """The ids of words or pieces, which cannot be mistaken for each other: plain ones are pieces."""
@@ -323,12 +330,12 @@ def local_search(lengths: np.ndarray, bins: np.ndarray, capacity: int) -> np.nda
 
 
 def pack(pieces: DataFrame, capacity: int, length: str = "length", group_size: int = 16_000,
-         pool_below: float = 0.97) -> DataFrame:
+         pool_below: float = 0.995) -> DataFrame:
     """Add ``sequence_id`` and ``offset`` to every piece, so that each sequence holds at most ``capacity``.
 
-    Pieces are dealt into groups of about ``group_size`` by their number, whatever their keys, and every group is
-    packed for itself: best fit, then local search. What lies in sequences filled below ``pool_below`` is dealt and
-    packed again across groups. A group is all that a task holds. Offsets in a sequence leave no gap. Pieces longer
+    Pieces are dealt into groups of about ``group_size`` by their number, whatever their keys, and every group is packed
+    for itself by best fit. What lies in sequences filled below ``pool_below`` is dealt and packed again across groups,
+    by best fit and then local search: where best fit fills well, that is little, and where it does not, nearly all. A group is all that a task holds. Offsets in a sequence leave no gap. Pieces longer
     than ``capacity``, or not above 0, are refused by an error; an empty table gives an empty one.
     """
     number = unused("number", pieces)
@@ -351,7 +358,9 @@ def _packed(rows: DataFrame, count: int, capacity: int, group_size: int, turn: i
     def one(group: tuple, batch: pd.DataFrame) -> pd.DataFrame:
         batch = batch.sort_values("_n", ignore_index=True)
         lengths = batch["_length"].to_numpy()
-        bins = local_search(lengths, best_fit(lengths, capacity), capacity)
+        bins = best_fit(lengths, capacity)
+        if turn:
+            bins = local_search(lengths, bins, capacity)
         order = np.lexsort((batch["_n"].to_numpy(), bins))
         ends = np.cumsum(lengths[order])
         begins = ends - lengths[order]
