@@ -21,8 +21,10 @@ from contrail.llm.text import unused
 # Characters whose lower case is one character and which no normal form changes: ASCII and Latin-1 without its signs.
 _PLAIN = "^[!-~À-ÖØ-Þß-öø-ÿ]+$"
 _LETTERS = "^[a-zß-öø-ÿ]+$"
-_REMEMBERED = 300_000
-CHUNK_BYTES = 8 << 20
+# What a worker holds at a time: pieces it remembers, bytes of texts it gets, and of these what it works on.
+_REMEMBERED = 150_000
+BATCH_MB = 8
+CHUNK_BYTES = 4 << 20
 
 
 class Ragged:
@@ -339,7 +341,7 @@ def pack(pieces: DataFrame, capacity: int, length: str = "length", group_size: i
     than ``capacity``, or not above 0, are refused by an error; an empty table gives an empty one.
     """
     number = unused("number", pieces)
-    numbered = landed(pieces.withColumn(number, F.monotonically_increasing_id()), "packing-pieces")
+    numbered = landed(pieces.withColumn(number, F.monotonically_increasing_id()), "packing-pieces", BATCH_MB)
     sizes = numbered.agg(F.min(length), F.max(length), F.count("*")).first()
     if sizes[2] and (sizes[0] is None or sizes[0] < 1 or sizes[1] > capacity):
         raise ValueError(f"lengths must lie between 1 and {capacity}")
