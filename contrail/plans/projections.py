@@ -99,6 +99,12 @@ def events_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.readStream.schema(EVENTS_DDL).parquet(f"{sf_dir}/events.parquet*")
 
 
+def spread(rows: DataFrame) -> DataFrame:
+    """The same rows dealt over all cores. A table of few files is read by as few tasks, and whatever is made of its rows
+    before the first shuffle, often many rows of one, would be left to those."""
+    return rows.repartition(rows.sparkSession.sparkContext.defaultParallelism, *rows.columns)
+
+
 def _project(source: DataFrame, text: str) -> DataFrame:
     head, _, tail = _fill(text, _SPARK).rpartition("from events")
     return source.sparkSession.sql(f"{head} from {{source}} {tail}", source=source)

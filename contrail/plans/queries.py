@@ -54,6 +54,10 @@ def _events(spark: SparkSession, sf_dir: str) -> DataFrame:
     return P.events(configure(spark), sf_dir)
 
 
+def _spread_events(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return P.spread(_events(spark, sf_dir))
+
+
 def _telemetry(spark: SparkSession, sf_dir: str) -> DataFrame:
     return P.telemetry(_events(spark, sf_dir))
 
@@ -198,7 +202,7 @@ def _in_turns(rows: DataFrame, order: Column, base: str, catch_up: Callable[[Dat
 
 def _passed_in_turns(spark: SparkSession, sf_dir: str, run: Callable[[DataFrame, str, Callable], None]) -> DataFrame:
     """The replays, de-duplicated by a stream in three batches with restarts."""
-    rows = P.replays(_events(spark, sf_dir))
+    rows = P.replays(_spread_events(spark, sf_dir))
     base = work_dir(spark, "dedupe")
 
     def keep(passed: DataFrame, batch_id: int) -> None:

@@ -7,10 +7,11 @@ to one before they are shuffled; a key then brings its task at most one row per
 
 from __future__ import annotations
 
+import bisect
 from collections.abc import Callable, Iterator, Sequence
 
 import pandas as pd
-from pyspark.sql import DataFrame, Row, SparkSession, functions as F, types as T
+from pyspark.sql import Column, DataFrame, Row, SparkSession, functions as F, types as T
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
 from contrail.functions import has_position
@@ -18,7 +19,7 @@ from contrail.operators.views import POSITION_COLUMNS
 from contrail.schemas import DEDUPE_KEYS, DEDUPE_TTL_SECONDS, STATE
 from contrail.sources.tables import FolderTarget
 
-_AT, _WHEN = "_at", "_when"
+_AT, _WHEN, _ID, _BUCKET = "_at", "_when", "_id", "_bucket"
 # The engine's first watermark is the epoch, and a row at or before it would be late. Clocks may begin there, so the
 # event time that the engine sees lies this many seconds (136 years) later. Clocks end in 2126: times that Python workers
 # get must not pass 2262.
@@ -57,48 +58,71 @@ def _timed(df: DataFrame, clock: str, lateness: int) -> DataFrame:
 # ---- time-to-live
 
 class _TimeToLive(StatefulProcessor):
-    """State of a key: the clocks of its acceptances that can still matter."""
+    """State of a bucket of keys: of each key the clocks of its acceptances that can still matter, in order."""
 
     def __init__(self, columns: list[str], order: list[str], ttl: int):
         self.columns, self.order, self.ttl = columns, order, ttl
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
-        self.accepted = handle.getValueState("accepted", "clocks array<bigint>")
+        self.accepted = handle.getValueState("accepted", "ids array<string>, clocks array<bigint>, timer bigint")
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:  # noqa: N802
-        instants: dict[int, Row] = {}
-        for row in rows:
-            known = instants.get(row[_AT])
-            if known is None or self._rank(row) < self._rank(known):
-                instants[row[_AT]] = row
-        before = list(self.accepted.get()[0]) if self.accepted.exists() else []
-        now = before.copy()
-        for at in sorted(instants):
-            if not any(a <= at < a + self.ttl for a in now):
-                now.append(at)
-                yield Row(**{c: instants[at][c] for c in self.columns})
-        if now != before:
-            alive = timerValues.getCurrentWatermarkInMs() // 1000 - _SHIFT - self.ttl
-            self.accepted.update(([a for a in now if a > alive],))
-            if before:
-                self.handle.deleteTimer(_timer(max(before) + self.ttl))
-            self.handle.registerTimer(_timer(max(now) + self.ttl))
+        known, timer = self._read()
+        changed = False
+        for row in sorted(rows, key=lambda r: (r[_ID], r[_AT], *[_first(r[c]) for c in self.order])):
+            at, clocks = row[_AT], known.setdefault(row[_ID], [])
+            place = bisect.bisect_right(clocks, at)
+            if place == 0 or at >= clocks[place - 1] + self.ttl:
+                clocks.insert(place, at)
+                changed = True
+                yield Row(**{c: row[c] for c in self.columns})
+        if changed:
+            self._keep(known, timer, timerValues)
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[Row]:  # noqa: N802
-        self.accepted.clear()
+        known, _ = self._read()
+        self._keep(known, None, timerValues)
         return iter(())
 
     def close(self) -> None:
         pass
 
-    def _rank(self, row: Row) -> list[tuple]:
-        return [_first(row[c]) for c in self.order]
+    def _read(self) -> tuple[dict[str, list[int]], int | None]:
+        ids, clocks, timer = self.accepted.get() or ([], [], None)
+        known: dict[str, list[int]] = {}
+        for one, at in zip(ids, clocks, strict=True):
+            known.setdefault(one, []).append(at)
+        return known, timer
+
+    def _keep(self, known: dict[str, list[int]], timer: int | None, timer_values) -> None:
+        """Store what has not expired; the timer fires when the first of its keys has."""
+        alive = timer_values.getCurrentWatermarkInMs() // 1000 - _SHIFT - self.ttl
+        known = {one: left for one, clocks in known.items() if (left := [a for a in clocks if a > alive])}
+        due = min((clocks[-1] + self.ttl for clocks in known.values()), default=None)
+        if timer is not None and timer != due:
+            self.handle.deleteTimer(_timer(timer))
+        if due is None:
+            self.accepted.clear()
+            return
+        ids = [one for one, clocks in known.items() for _ in clocks]
+        self.accepted.update((ids, [a for clocks in known.values() for a in clocks], due))
+        if timer != due:
+            self.handle.registerTimer(_timer(due))
+
+
+def _key_text(df: DataFrame, keys: Sequence[str]) -> Column:
+    """A key as text, equal where all parts are equal or both null."""
+    zero = {f.name for f in df.schema if isinstance(f.dataType, (T.FloatType, T.DoubleType))}
+    parts = [F.when(F.col(k) == 0, F.lit(0.0)).otherwise(F.col(k)).alias(k) if k in zero else F.col(k) for k in keys]
+    exact = "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"
+    return F.to_json(F.struct(*parts), {
+        "ignoreNullFields": "false", "timestampFormat": f"{exact}XXX", "timestampNTZFormat": exact})
 
 
 def dedupe_stateful(
     df: DataFrame, keys: Sequence[str] = DEDUPE_KEYS, ttl: int = DEDUPE_TTL_SECONDS, clock: str = "clock_s",
-    tiebreak: Sequence[str] = (), lateness: int | None = None,
+    tiebreak: Sequence[str] = (), lateness: int | None = None, buckets: int = 4096,
 ) -> DataFrame:
     """Streaming only: rows that pass, as ``operators.dedupe_ttl`` says, with the acceptances of a key as keyed state.
 
@@ -107,13 +131,17 @@ def dedupe_stateful(
     all, passes unless an acceptance lies within the TTL before it, and does not undo what has passed; rows further
     behind are dropped and counted as late. A key's rows meet in one task, at most one per second of the batch and input
     task: for keys hotter than that use ``streaming.dedupe_stream``.
+
+    Python asks the state store over a socket, some five times for each group, which is what most of the time went to
+    with one key a group. So keys share ``buckets`` groups by their hash, and a batch asks once for all keys of one.
     """
     if ttl <= 0:
         return df
     columns = df.columns
     order = list(tiebreak) or [c for c in columns if c not in keys and c != clock]
-    timed = _timed(df, clock, ttl if lateness is None else lateness)
-    return _one_per_instant(timed, keys, order).groupBy(*keys).transformWithState(
+    timed = _one_per_instant(_timed(df, clock, ttl if lateness is None else lateness), keys, order)
+    named = timed.withColumn(_ID, _key_text(df, keys))
+    return named.withColumn(_BUCKET, F.pmod(F.xxhash64(_ID), F.lit(buckets))).groupBy(_BUCKET).transformWithState(
         _TimeToLive(columns, order, ttl), df.schema, "Append", "EventTime")
 
 

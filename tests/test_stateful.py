@@ -1,5 +1,6 @@
 """Keyed state with timers, the parsed layer, the progress log and carried counters."""
 
+import datetime
 import json
 import random
 
@@ -173,3 +174,33 @@ def test_counters_are_carried_and_a_batch_that_runs_again_counts_once(spark, tmp
     found = read_ingest_counts(spark, target).orderBy("poll_id").collect()
     assert [(r.poll_id, r.states, r.dlq, r.sent, r.dedupe_skipped, r.total_skipped) for r in found] == [
         (1, 8, 2, 1, 5, 5), (2, 4, 1, 1, 2, 7), (3, 5, 2, 1, 2, 9), (4, 1, 1, 0, 0, 9)]
+
+
+def test_stateful_tells_keys_of_a_bucket_apart(spark, tmp_path):
+    """Keys of a bucket are told apart: nulls are equal, so are the two zeros, and a microsecond makes a difference."""
+    schema = "k string, x double, s timestamp_ntz, t long"
+    at = datetime.datetime(2024, 1, 1)
+    batches = [[(f"k{n}", 1.0, at, n) for n in range(100)], [(f"k{n}", 1.0, at, n + 5) for n in range(100)]]
+    batches[0] += [(None, 0.0, at, 50), (None, -0.0, at, 51), (None, None, at, 52),
+                   (None, 0.0, at + datetime.timedelta(microseconds=1), 53)]
+    spark.createDataFrame(batches[0], schema).write.parquet(f"{tmp_path}/in/0")
+    spark.createDataFrame(batches[1], schema).write.parquet(f"{tmp_path}/in/1")
+    got = []
+    query = (
+        dedupe_stateful(spark.readStream.schema(schema).parquet(f"{tmp_path}/in/*"), ["k", "x", "s"], 1000, "t", buckets=1)
+        .drop("s").writeStream.foreachBatch(lambda b, i: got.extend(tuple(r) for r in b.collect()))
+        .option("checkpointLocation", f"{tmp_path}/checkpoint").trigger(availableNow=True).start())
+    query.awaitTermination()
+    assert sorted(got, key=str) == sorted([
+        *[(f"k{n}", 1.0, n) for n in range(100)], (None, 0.0, 50), (None, None, 52), (None, 0.0, 53)], key=str)
+
+
+def test_stateful_asks_the_store_once_for_keys_of_a_bucket(spark, tmp_path):
+    spark.createDataFrame([(f"k{n}", n) for n in range(100)], "k string, t long").write.parquet(f"{tmp_path}/in/0")
+    query = (
+        dedupe_stateful(spark.readStream.schema("k string, t long").parquet(f"{tmp_path}/in/*"), ["k"], 1000, "t", buckets=4)
+        .writeStream.format("noop").option("checkpointLocation", f"{tmp_path}/checkpoint").trigger(availableNow=True)
+        .start())
+    query.awaitTermination()
+    # A value, and a timer in two orders, for each bucket.
+    assert max(o["numRowsTotal"] for p in query.recentProgress for o in p["stateOperators"]) <= 3 * 4
