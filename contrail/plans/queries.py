@@ -239,7 +239,7 @@ def _run_ingest(spark: SparkSession, sf_dir: str) -> tuple[str, FolderTarget]:
     """Polls to messages in three batches, of which the second runs twice."""
     base = work_dir(spark, "ingest")
     target = FolderTarget(f"{base}/tables")
-    rows = P.polled(_events(spark, sf_dir))
+    rows = P.polled(_spread_events(spark, sf_dir))
     listed = F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("event_id", "state"))),
                                       lambda s: s["state"]), ",")
     polls = rows.groupBy("poll_id", "ingestion_ts").agg(

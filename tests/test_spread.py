@@ -37,7 +37,8 @@ def test_dedupe_ttl_is_dealt(spark, tables):
 
 
 @pytest.mark.parametrize(("name", "feeder"), [
-    ("dedupe_stateful", "_in_turns"), ("dedupe_stream", "_in_turns")])
+    ("dedupe_stateful", "_in_turns"), ("dedupe_stream", "_in_turns"), ("ingest_to_messages", "_in_turns"),
+    ("ingest_counters_stream", "_in_turns")])
 def test_streams_are_fed_from_all_cores(spark, tables, monkeypatch, name, feeder):
     fed = []
 
