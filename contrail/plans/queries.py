@@ -549,7 +549,7 @@ def q_stream_progress(spark: SparkSession, sf_dir: str) -> DataFrame:
     """What the queries of a pipeline report, and a query that fails beside another."""
     base = work_dir(spark, "progress")
     target = FolderTarget(f"{base}/tables")
-    rows = _telemetry(spark, sf_dir)
+    rows = P.telemetry(_spread_events(spark, sf_dir))
 
     def broken(batch: DataFrame, batch_id: int) -> None:
         raise ConnectionError("the sink is gone")

@@ -47,24 +47,29 @@ def upsert_state(target: Target, updated_at: str = "now") -> BatchWriter:
     return write
 
 
-def append_windows(target: Target, table: Table) -> BatchWriter:
-    """Add closed windows; nothing is written for an empty batch."""
+def _unless_empty(sink: BatchWriter) -> BatchWriter:
+    """Leave empty batches out. A batch is kept while it is asked: else its aggregate, state store and all, would run
+    once for the question and once more for the sink."""
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        if not batch.isEmpty():
-            target.append(batch, table, batch_id)
+        kept = batch.persist(StorageLevel.MEMORY_AND_DISK)
+        try:
+            if not kept.isEmpty():
+                sink(kept, batch_id)
+        finally:
+            kept.unpersist()
 
     return write
 
 
-def replace_windows(target: Target, table: Table) -> BatchWriter:
-    """Live view of open windows: a window's newer emission takes the place of the older."""
+def append_windows(target: Target, table: Table) -> BatchWriter:
+    """Add closed windows; nothing is written for an empty batch."""
+    return _unless_empty(lambda batch, batch_id: target.append(batch, table, batch_id))
 
-    def write(batch: DataFrame, batch_id: int) -> None:
-        if not batch.isEmpty():
-            target.replace(batch, table, batch_id)
 
-    return write
+def replace_windows(target: Target, table: Table) -> BatchWriter:
+    """Live view of open windows: a window's newer emission takes the place of the older."""
+    return _unless_empty(lambda batch, batch_id: target.replace(batch, table, batch_id))
 
 
 def insert_absent_windows(target: Target, table: Table) -> BatchWriter:
