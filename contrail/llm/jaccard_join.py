@@ -8,6 +8,7 @@ matches asked for, is estimated to cost least.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -15,7 +16,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from contrail.llm import grams
-from contrail.llm.tables import landed, place_of, remove, settled
+from contrail.llm.tables import landed, marked, place_of, remove, settled
 
 # Shingles whose frequency is known to every task, so a bound of what is broadcast; the others count as rare.
 MAX_FREQUENT = 1 << 18
@@ -30,8 +31,8 @@ BLOCK, BLOCK_SHINGLES, COLUMNS = 2048, 1 << 20, 1024
 HASH_BYTES, BINS = 5, 64
 # A worker that reads or compares whole sets gets so much at a time.
 BATCH_MB = 8
-# Bits of the map that tells texts whether their sets are asked for: at most 2^18 rows of 64 are broadcast.
-MARKS = 1 << 24
+# Prefix shingles are met in so many parts, one after the other, so that only one part's are on the move at a time.
+PARTS = 4
 
 _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[65:91] += 32
@@ -182,9 +183,13 @@ def _index(sets: DataFrame, percent: int) -> DataFrame:
     and candidates to be verified, of which those with ``l`` matches are estimated as that sum divided by ``l`` squared.
     """
     tokens = sets.select("node", "n", F.posexplode("prefix").alias("pos", "h"))
-    twice = landed(tokens.groupBy("h").count().filter("count > 1").select("h"), "shared-shingles")
-    shared = landed(tokens.join(twice, "h").groupBy("h", "node").agg(
-        F.min("n").alias("n"), F.min("pos").alias("pos")), "shared-prefixes")
+    parts = []
+    for part in range(PARTS):
+        own = tokens.filter(F.pmod("h", F.lit(PARTS)) == part)
+        twice = landed(own.groupBy("h").count().filter("count > 1").select("h"), "shared-shingles")
+        parts.append(landed(own.join(twice, "h").groupBy("h", "node").agg(
+            F.min("n").alias("n"), F.min("pos").alias("pos")), "shared-prefixes"))
+    shared = reduce(DataFrame.unionByName, parts)
     lengths = landed(shared.groupBy("h").agg(F.count("*").alias("df")).filter("df > 1"), "shingle-frequencies")
     rows = landed(shared.join(lengths, "h"), "prefix-rows")
     overlap = least_overlap(F.col("n"), percent)
@@ -275,16 +280,6 @@ def _verified(pairs: DataFrame, short: DataFrame, texts: DataFrame, docs: DataFr
     return both.mapInArrow(compare, "x long, y long")
 
 
-def _marked(texts: DataFrame, wanted: DataFrame) -> DataFrame:
-    """The texts whose ``doc`` may be wanted, found without moving any: a bit map of ``MARKS`` bits is sent to them. It
-    is of that size whatever there is to mark; the fuller it is, the more texts pass that are not wanted."""
-    bit = F.pmod(F.xxhash64("doc"), F.lit(MARKS))
-    words = landed(wanted.select(bit.alias("bit")).groupBy(F.shiftright("bit", 6).alias("word")).agg(
-        F.bit_or(F.expr("shiftleft(1L, cast(bit & 63 as int))")).alias("marks")), "wanted-marks")
-    held = texts.withColumn("bit", bit).withColumn("word", F.shiftright("bit", 6)).join(F.broadcast(words), "word")
-    return held.filter(F.expr("shiftright(marks, cast(bit & 63 as int)) & 1") == 1).select("doc", "text")
-
-
 def _sets(texts: DataFrame, wanted: DataFrame, width: int) -> DataFrame:
     """``node, hashes`` of the wanted ``doc, node``, once for each node.
 
@@ -299,7 +294,8 @@ def _sets(texts: DataFrame, wanted: DataFrame, width: int) -> DataFrame:
                 bounds = np.concatenate(([0], np.cumsum(sets.sizes)))
                 yield pa.RecordBatch.from_arrays([pa.array(sets.nodes), packed(sets.hashes, bounds)], ["node", "hashes"])
 
-    rows = _marked(texts, wanted).select("text").mapInArrow(read, "node long, hashes binary")
+    held = marked(texts.select("doc", "text"), "doc", wanted, "doc", "asked").filter("asked")
+    rows = held.select("text").mapInArrow(read, "node long, hashes binary")
     return rows.join(wanted.select("node"), "node", "left_semi").dropDuplicates(["node"])
 
 

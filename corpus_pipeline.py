@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from contrail.llm import decontaminate, jaccard_join, queries, toxicity
 from contrail.llm.secret_scan import mask
-from contrail.llm.tables import landed, settled
+from contrail.llm.tables import landed, marked, settled
 from contrail.llm.text import unused
 
 TOXIC_FROM = 0.5
@@ -37,22 +37,28 @@ def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
 
     Rows without an id cannot be told apart by it: they go if all their groups have an id, and all stay otherwise.
     """
-    kept = settled(lambda: _kept(docs), "kept-documents")
-    name, rows = unused("kept", docs), unused("rows", docs)
-    named = kept.select(F.col("doc").alias(name), F.col("rows").alias(rows))
+    doubtful = settled(lambda: _doubtful(docs), "doubtful-documents")
+    flag = unused("flag", docs)
+    flagged = marked(docs, "doc_id", doubtful, "doc", flag)
+    # The others are known to stay; only the flagged ones move to be held against the ids.
+    sure = flagged.filter(~F.col(flag)).drop(flag)
+    left = _without(flagged.filter(flag).drop(flag), doubtful.filter("not stays"), "doc")
+    several = doubtful.filter("stays")
+    if several.isEmpty():
+        return sure.unionByName(left)
     # Repeated ids are few or none; only their rows need a second look.
-    single, several = named.filter(F.col(rows) == 1), named.filter(F.col(rows) > 1)
-    alone = docs.join(single, docs["doc_id"].eqNullSafe(F.col(name)), "left_semi")
-    again = docs.join(several, docs["doc_id"].eqNullSafe(F.col(name)), "left_semi")
-    nameless = again.filter("doc_id is null")
-    return alone.unionByName(nameless).unionByName(again.filter("doc_id is not null").dropDuplicates(["doc_id"]))
+    name = unused("kept", docs)
+    again = left.join(several.select(F.col("doc").alias(name)), left["doc_id"].eqNullSafe(F.col(name)), "left_semi")
+    once = again.filter("doc_id is not null").dropDuplicates(["doc_id"])
+    return sure.unionByName(_without(left, several, "doc")).unionByName(again.filter("doc_id is null")).unionByName(once)
 
 
-def _kept(docs: DataFrame) -> DataFrame:
-    """The ids that stay, with the number of rows of each."""
+def _doubtful(docs: DataFrame) -> DataFrame:
+    """The ids that go, or that several rows have, and whether they stay."""
     groups = jaccard_join.near_duplicates(docs, "doc_id", "text")
     stays = F.max(F.col("doc").eqNullSafe(F.col("component"))).alias("stays")
-    return groups.groupBy("doc").agg(F.count("*").alias("rows"), stays).filter("stays").select("doc", "rows")
+    return groups.groupBy("doc").agg(F.count("*").alias("rows"), stays).filter("not stays or rows > 1").select(
+        "doc", "stays")
 
 
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -1,12 +1,13 @@
 """Registered queries against their SQL, and the pipeline's stages against plain versions."""
 
+import numpy as np
 import pytest
 from conftest import SMALL
 from oracle import compare, connect
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from contrail.llm import queries
+from contrail.llm import jaccard_join, queries, tables
 
 import plain
 
@@ -89,3 +90,42 @@ def test_all_documents_are_packed(stages):
 def test_the_stages_take_an_empty_table(spark, stages):
     for _, stage in corpus_pipeline.STAGES:
         assert stage(spark, stages[0].limit(0), SMALL).count() == 0
+
+
+def test_documents_that_surely_stay_are_not_moved(spark):
+    """Of the branches that read whole documents, one has no exchange above the scan, whatever may be broadcast."""
+    rows = [(d, f"word{d} " * 9, "en", "s", 9) for d in range(40)] + [(50, "word3 " * 9, "en", "s", 9)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long")
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        out = corpus_pipeline.drop_near_duplicates(spark, docs, SMALL)
+        plan = out._jdf.queryExecution().executedPlan().toString().split("\n")
+        assert sorted(r.doc_id for r in out.collect()) == list(range(40))
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    moved, above = [], []
+    for line in plan:
+        depth = len(line) - len(line.lstrip(" :+-*"))
+        above = [(d, x) for d, x in above if d < depth] + [(depth, line)]
+        if "Scan ExistingRDD" in line and "text" in line:
+            moved.append(any("Exchange hashpartitioning" in x for _, x in above))
+    assert moved and not all(moved)
+
+
+def test_prefix_shingles_are_met_in_parts(spark, monkeypatch):
+    rows = [(d, " ".join(f"w{d // 2}x{k}" for k in range(60))) for d in range(40)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").coalesce(1)
+    texts, met = docs.select(F.col("doc_id").alias("doc"), F.concat("text", F.lit(" "), "doc_id").alias("text")), []
+
+    def landed(df, purpose, *more):
+        out = tables.landed(df, purpose, *more)
+        if purpose == "shared-shingles":
+            met.append(out.count())
+        return out
+
+    monkeypatch.setattr(jaccard_join, "landed", landed)
+    found = jaccard_join.prefixes(texts, np.empty(0, np.int64), 5, 80)
+    index = jaccard_join._index(found, 80)
+    assert index.select("node").distinct().count() == 40
+    assert len(met) > 1 and max(met) < 0.6 * sum(met)
