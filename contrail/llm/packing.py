@@ -3,9 +3,9 @@
 from __future__ import annotations
 
 import functools
+import itertools
 import json
 import zlib
-from array import array
 from collections.abc import Callable, Iterator
 
 import numpy as np
@@ -21,8 +21,10 @@ from contrail.llm.text import unused
 # Characters whose lower case is one character and which no normal form changes: ASCII and Latin-1 without its signs.
 _PLAIN = "^[!-~À-ÖØ-Þß-öø-ÿ]+$"
 _LETTERS = "^[a-zß-öø-ÿ]+$"
-# What a worker holds at a time: pieces it remembers, bytes of texts it gets, and of these what it works on.
-_REMEMBERED = 150_000
+# What a worker holds at a time: bytes of pieces and of words it remembers, by an estimate of ``_KEY_BYTES`` for each and
+# what its characters and ids take; megabytes of texts it gets, and of these the bytes it works on.
+_REMEMBERED = 128 << 20
+_KEY_BYTES = 200
 BATCH_MB = 8
 CHUNK_BYTES = 4 << 20
 
@@ -34,9 +36,13 @@ class Ragged:
         self.flat, self.sizes = flat, sizes
 
     @staticmethod
-    def of(rows: list[bytes]) -> Ragged:
-        """From bytes of unsigned 32-bit numbers."""
-        return Ragged(np.frombuffer(b"".join(rows), np.uintc), np.array(list(map(len, rows)), np.int64) // 4)
+    def of(rows: list[list[int]]) -> Ragged:
+        flat = np.fromiter(itertools.chain.from_iterable(rows), np.uintc)
+        return Ragged(flat, np.fromiter(map(len, rows), np.int64, len(rows)))
+
+    @staticmethod
+    def joined(parts: list[Ragged]) -> Ragged:
+        return Ragged(np.concatenate([p.flat for p in parts]), np.concatenate([p.sizes for p in parts]))
 
     def take(self, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """The ids of the rows ``at`` one after the other, and where each row's begin (one more than rows)."""
@@ -46,6 +52,44 @@ class Ragged:
         return self.flat[np.repeat(starts - total[:-1], count) + np.arange(total[-1])], total
 
 
+class Memory:
+    """The ids of keys that were worked out. Beyond ``_REMEMBERED`` bytes the half that was looked up last is kept."""
+
+    def __init__(self, work_out: Callable[[list[str]], Ragged]):
+        self.work_out = work_out
+        self.row: dict[str, int] = {}  # in the order of the rows
+        self.rows, self.bytes, self.looked_up = Ragged.of([]), np.empty(0, np.int64), np.empty(0, np.int64)
+        self.time = 0
+
+    def __call__(self, keys: list[str]) -> np.ndarray:
+        """The rows of distinct keys in ``rows``, until the next call."""
+        if self.bytes.sum() > _REMEMBERED:
+            self._forget()
+        self.time += 1
+        place = np.fromiter(map(self.row.get, keys, itertools.repeat(-1)), np.int64, len(keys))
+        missing = np.flatnonzero(place < 0)
+        if len(missing):
+            fresh = [keys[i] for i in missing.tolist()]
+            found, known = self.work_out(fresh), len(self.row)
+            place[missing] = np.arange(known, known + len(fresh))
+            self.row.update(zip(fresh, range(known, known + len(fresh))))
+            self.rows = Ragged.joined([self.rows, found])
+            # Python keeps a text in one to four bytes a character.
+            more = _KEY_BYTES + 4 * np.fromiter(map(len, fresh), np.int64, len(fresh)) + 4 * found.sizes
+            self.bytes = np.concatenate((self.bytes, more))
+            self.looked_up = np.concatenate((self.looked_up, np.zeros(len(fresh), np.int64)))
+        self.looked_up[place] = self.time
+        return place
+
+    def _forget(self) -> None:
+        latest = np.argsort(-self.looked_up, kind="stable")
+        stay = latest[np.cumsum(self.bytes[latest]) <= _REMEMBERED // 2]
+        flat, total = self.rows.take(stay)
+        keys = list(self.row)
+        self.row = {keys[i]: k for k, i in enumerate(stay.tolist())}
+        self.rows, self.bytes, self.looked_up = Ragged(flat, np.diff(total)), self.bytes[stay], self.looked_up[stay]
+
+
 class Encoder:
     """The ids of texts by a tokenizer file that drops white space, without special tokens.
 
@@ -53,8 +97,7 @@ class Encoder:
     the distinct words of a batch are cut into pieces, the distinct pieces are looked up, and ids are gathered back by
     number. Pieces not met before go to the tokenizer together; their ids are told apart by the ends of words that the
     vocabulary marks. Words of other than plain characters, and all words where the file is of another make, go to the
-    whole tokenizer one by one. What was worked out is remembered in two generations, of which the older one goes when
-    the newer is full.
+    whole tokenizer one by one. What was worked out is remembered (see ``Memory``).
     """
 
     def __init__(self, path: str):
@@ -68,14 +111,13 @@ class Encoder:
         lowered = json.dumps(spec.get("normalizer")).count('"Lowercase"') == 1
         by_bytes = bool(steps) and steps[-1]["type"] == "ByteLevel" and not steps[-1]["add_prefix_space"]
         mark = (spec.get("model") or {}).get("end_of_word_suffix")
-        self.pattern = f"({split['pattern']['Regex']})" if split and lowered and by_bytes and mark else None
+        self.pattern = split["pattern"]["Regex"] if split and lowered and by_bytes and mark else None
         self.added = [t["content"] for t in spec["added_tokens"]]
         vocabulary = self.whole.get_vocab()
         self.ends = np.zeros(max(vocabulary.values()) + 1, bool)
         if mark:
             self.ends[[v for k, v in vocabulary.items() if k.endswith(mark)]] = True
-        self.newer: dict[str, bytes] = {}
-        self.older: dict[str, bytes] = {}
+        self.words, self.pieces = Memory(self._alone), Memory(self._together)
 
     def __call__(self, texts: pa.Array, end: int | None = None) -> tuple[np.ndarray, np.ndarray]:
         """The ids of all texts one after the other, each followed by ``end`` if it is given, and where each text's
@@ -101,56 +143,47 @@ class Encoder:
                 mask = pc.and_not(mask, pc.match_substring(words, token))
             plain = mask.to_numpy(zero_copy_only=False)
         others = np.flatnonzero(~plain)
-        rest = Ragged.of(self._known(words.take(pa.array(others)).to_pylist(), self._alone))
+        seen = self.words(_texts(words.take(pa.array(others))))
+        ids, total = self.words.rows.take(seen)
+        rest = Ragged(ids, np.diff(total))
         if not plain.any():
             return rest, np.arange(len(words))
         lowered = pc.utf8_lower(words.filter(pa.array(plain)))
         # Words of letters only are one piece; the others are cut where the pattern says.
         cut = pc.invert(pc.match_substring_regex(lowered, _LETTERS))
-        spaced = pc.replace_with_mask(lowered, cut, pc.replace_substring_regex(lowered.filter(cut), self.pattern, r"\1 "))
+        # The whole match, not a group in it: a group makes the pattern slower by the factor seven.
+        spaced = pc.replace_with_mask(lowered, cut, pc.replace_substring_regex(lowered.filter(cut), self.pattern, r"\0 "))
         lists = pc.ascii_split_whitespace(spaced)
         pieces = lists.flatten().dictionary_encode()
-        found = Ragged.of(self._known(pieces.dictionary.to_pylist(), self._together))
+        seen = self.pieces(_texts(pieces.dictionary))
         # A blank ends what is cut, so its list has an empty piece at its end, which has no ids.
-        ids, total = found.take(pieces.indices.to_numpy())
+        ids, total = self.pieces.rows.take(seen[pieces.indices.to_numpy()])
         sizes = np.diff(total[lists.offsets.to_numpy() - lists.offsets[0].as_py()])
         place = np.empty(len(words), np.int64)
         place[np.concatenate((np.flatnonzero(plain), others))] = np.arange(len(words))
-        return Ragged(np.concatenate((ids, rest.flat)), np.concatenate((sizes, rest.sizes))), place
-
-    def _known(self, keys: list[str], work_out: Callable[[list[str]], list[bytes]]) -> list[bytes]:
-        """The ids of words or pieces, which cannot be mistaken for each other: plain ones are pieces."""
-        newer, older = self.newer.get, self.older.get
-        found = [newer(k) or older(k) for k in keys]
-        missing = [i for i, ids in enumerate(found) if ids is None]
-        if missing:
-            fresh = [keys[i] for i in missing]
-            for i, ids in zip(missing, work_out(fresh)):
-                found[i] = ids
-        if len(self.newer) + len(keys) > _REMEMBERED:
-            self.older, self.newer = self.newer, {}
-        self.newer.update(zip(keys[:_REMEMBERED], found))
-        return found
+        return Ragged.joined([Ragged(ids, sizes), rest]), place
 
-    def _alone(self, words: list[str]) -> list[bytes]:
-        return [array("I", self.whole.encode(w, add_special_tokens=False).ids).tobytes() for w in words]
+    def _alone(self, words: list[str]) -> Ragged:
+        return Ragged.of([self.whole.encode(w, add_special_tokens=False).ids for w in words])
 
-    def _together(self, pieces: list[str]) -> list[bytes]:
-        out: list[bytes] = []
+    def _together(self, pieces: list[str]) -> Ragged:
+        out = []
         for first in range(0, len(pieces), 4096):
             part = pieces[first:first + 4096]
             ids = np.array(self.whole.encode(" ".join(part), add_special_tokens=False).ids, np.uintc)
-            stops = (np.flatnonzero(self.ends[ids]) + 1).tolist()
-            some = [bool(p) for p in part]
-            if len(stops) != sum(some) or (stops and stops[-1] != len(ids)):
-                out += self._alone(part)  # the vocabulary marks no ends here
+            stops = np.flatnonzero(self.ends[ids]) + 1
+            some = np.fromiter(map(bool, part), bool, len(part))
+            if len(stops) != some.sum() or (len(stops) and stops[-1] != len(ids)):
+                out.append(self._alone(part))  # the vocabulary marks no ends here
                 continue
-            data, at, before = ids.tobytes(), iter(stops), 0
-            for p in some:
-                stop = next(at) if p else before
-                out.append(data[4 * before:4 * stop])
-                before = stop
-        return out
+            sizes = np.zeros(len(part), np.int64)
+            sizes[some] = np.diff(stops, prepend=0)
+            out.append(Ragged(ids, sizes))
+        return Ragged.joined(out)
+
+
+def _texts(values: pa.Array) -> list[str]:
+    return values.to_numpy(zero_copy_only=False).tolist()
 
 
 @functools.cache

@@ -4,6 +4,7 @@ import random
 import zlib
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -190,6 +191,36 @@ def test_pieces_are_the_tokenizers_ids(spark):
         assert [r.start for r in rows] == [4096 * k for k in range(len(rows))]
 
 
+def test_pieces_are_worked_out_once_and_forgotten_beyond_the_limit(monkeypatch):
+    asked = []
+
+    class Counting:
+        def __init__(self, whole):
+            self.whole = whole
+
+        def encode(self, text, **options):
+            asked.append(text.count(" ") + 1)
+            return self.whole.encode(text, **options)
+
+    encode = packing.Encoder(queries.tokenizer_path())
+    whole, encode.whole = encode.whole, Counting(encode.whole)
+    rng = random.Random(4)
+    words = ["".join(rng.choices("abcdefgh", k=9)) for _ in range(240_000)]
+    parts = [" ".join(words[k::4]) for k in range(4)]
+    first = [encode(pa.array([p]))[0] for p in parts]
+    once = sum(asked)
+    assert all(np.array_equal(encode(pa.array([p]))[0], ids) for p, ids in zip(parts, first))
+    assert sum(asked) == once <= len(words)
+
+    monkeypatch.setattr(packing, "_REMEMBERED", 5_000)
+    small = packing.Encoder(queries.tokenizer_path())
+    for k in range(60):
+        text = f"{' '.join(words[7 * k:7 * k + 20])}, don't {k % 3} \u4e2d\u6587{k} \U0001f600 {words[k % 5]}."
+        assert small(pa.array([text]))[0].tolist() == whole.encode(text, add_special_tokens=False).ids
+        for memory in (small.pieces, small.words):
+            assert list(memory.row.values()) == list(range(len(memory.rows.sizes))) and memory.bytes.sum() < 20_000
+
+
 def test_packing_leaves_no_gap(spark):
     rng = random.Random(2)
     rows = [(i, min(100, 1 + int(rng.expovariate(1 / 30)))) for i in range(900)] + [(None, 100), (5, 1), (5, 1)]
