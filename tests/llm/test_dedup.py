@@ -4,9 +4,10 @@ import hashlib
 import random
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
-from contrail.llm import jaccard_join, suffix_dedup
+from contrail.llm import grams, jaccard_join, seeds, suffix_dedup
 from contrail.llm.jaccard_join import near_duplicates
 from contrail.llm.substring_dedup import dedup_substrings
 from contrail.llm.suffix_dedup import dedup_bytes
@@ -115,6 +116,53 @@ def test_factors_are_those_of_a_plain_search():
         assert [earlier[i], later[i]] == best
 
 
+@pytest.mark.parametrize("idle", [0, 1 << 21])
+@pytest.mark.parametrize("depth", [8, 24, 40])
+def test_suffix_order_ranks_whole_windows_only(depth, idle):
+    rng = np.random.default_rng(7)
+    texts = [bytes(rng.integers(97, 99, int(size)).astype(np.uint8)) for size in rng.integers(0, 90, 30)]
+    texts += texts[:4] + [b"a" * 80]
+    data = np.frombuffer(b"".join(texts) + bytes(idle), np.uint8)
+    ends = np.cumsum([len(t) for t in texts])
+    # Places of no text: so many that a rank and its place no longer fit one number.
+    limits = np.concatenate((np.repeat(ends, [len(t) for t in texts]), np.arange(ends[-1], len(data))))
+    order = suffix_dedup.suffix_order(suffix_dedup.words_at(data), limits, depth)
+    raw = data.tobytes()
+    windows = [i for i in range(ends[-1]) if i + depth <= limits[i]]
+    assert order.tolist() == sorted(windows, key=lambda i: (raw[i:i + depth], i))
+
+
+@pytest.mark.parametrize("unit, window", [(seeds.BYTES, 12), (seeds.WORDS, 6)])
+def test_anchors_do_not_depend_on_chunks(monkeypatch, unit, window):
+    texts = [" ".join(w) for w in plain.random_texts(4, 30, ["a", "bc", "ä"], 60)] + [None, "", "x", "a bc " * 40]
+    (_, data, offsets), = grams.chunks(pa.array(texts))
+    whole = grams.anchors(*seeds.units_of(data, offsets, unit), window, window // 2)
+    assert len(whole.first)
+    for size in (1, 100, 1 << 17):
+        monkeypatch.setattr(seeds, "ANCHOR_BYTES", size)
+        signed = seeds.anchors_of(pa.array(texts), unit, window, window // 2)
+        bare = seeds.anchors_of(pa.array(texts), unit, window, window // 2, signed=False)
+        for part in ("text", "first", "last", "anchor", "signature"):
+            assert np.array_equal(getattr(signed, part), getattr(whole, part))
+        assert np.array_equal(bare.anchor, whole.anchor) and not len(bare.signature)
+    assert not len(seeds.anchors_of(pa.array([], pa.string()), unit, window, window // 2).first)
+
+
+def test_passages_are_judged_by_bytes_not_words(spark):
+    def words(seed, n, size):
+        rng = random.Random(seed)
+        return " ".join("".join(rng.choices("abcdefgh", k=size)) for _ in range(n))
+
+    short, long = words(1, 60, 5), words(2, 60, 7)  # 359 and 479 bytes, of 60 words each
+    texts = [f"{words(10 + k, 30, 6)} {passage} {words(20 + k, 30, 6)}"
+             for k, passage in enumerate([short, short, long, long])]
+    out = {r.doc: r for r in dedup_bytes(frame(spark, enumerate(texts)), "doc_id", "text").collect()}
+    assert [out[k].n_removed for k in (0, 1)] == [0, 0]
+    for k in (2, 3):
+        (span,) = out[k].spans
+        assert long in texts[k][span.begin:span.end] and out[k].n_removed <= len(long) + 2 + 4
+
+
 @pytest.mark.parametrize("short_list", [24, 2])
 def test_near_duplicates_like_all_pairs(spark, monkeypatch, short_list):
     monkeypatch.setattr(jaccard_join, "SHORT_LIST", short_list)
