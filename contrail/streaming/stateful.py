@@ -8,9 +8,14 @@ to one before they are shuffled; a key then brings its task at most one row per
 from __future__ import annotations
 
 import bisect
+import functools
+import json
+import operator
 from collections.abc import Callable, Iterator, Sequence
 
-import pandas as pd
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Row, SparkSession, functions as F, types as T
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
@@ -20,9 +25,12 @@ from contrail.schemas import DEDUPE_KEYS, DEDUPE_TTL_SECONDS, STATE
 from contrail.sources.tables import FolderTarget
 
 _AT, _WHEN, _ID, _BUCKET = "_at", "_when", "_id", "_bucket"
+# Between two texts of a key; in JSON a line break is escaped.
+_EXACT = "\n"
+_BY_CLOCK = operator.itemgetter(0, 1)
 # The engine's first watermark is the epoch, and a row at or before it would be late. Clocks may begin there, so the
-# event time that the engine sees lies this many seconds (136 years) later. Clocks end in 2126: times that Python workers
-# get must not pass 2262.
+# event time that the engine sees lies this many seconds (136 years) later. Workers get it as Python's times, which end
+# with the year 9999; pandas' times would end in 2262, so it is made only where no pandas follows.
 _SHIFT = 1 << 32
 
 
@@ -31,52 +39,73 @@ def _timer(second: int) -> int:
 
 
 def _first(value: object) -> tuple:
-    """Sorts nulls last."""
-    return (value is None, value)
+    """Sorts NaN and then nulls last."""
+    return (value is None, value != value, value)
 
 
 def _one_per_instant(df: DataFrame, keys: Sequence[str], order: Sequence[str], ascending: bool = True) -> DataFrame:
     """Of rows with equal key and clock that are read together, the first by ``order``: less to shuffle, same outcome."""
-    keys, order, columns = list(keys), list(order), df.columns
+    keys, order = [*keys, _AT], [(c, "ascending" if ascending else "descending") for c in order]
 
-    def cut(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def firsts(batch: pa.RecordBatch) -> pa.Array:
+        numbered = pa.table({str(n): batch[c] for n, c in enumerate(keys)}).append_column(
+            "row", pa.array(np.arange(batch.num_rows)))
+        names = numbered.column_names[:-1]
+        return numbered.group_by(names, use_threads=False).aggregate([("row", "min")])["row_min"].combine_chunks()
+
+    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            nulls = "last" if ascending else "first"
-            ranked = batch.sort_values(order, na_position=nulls, ascending=ascending, kind="stable") if order else batch
-            yield ranked.drop_duplicates([*keys, _AT])[columns]
+            left = firsts(batch)
+            if len(left) < batch.num_rows:
+                if order:
+                    nulls = "at_end" if ascending else "at_start"
+                    batch = batch.take(pc.sort_indices(batch, sort_keys=order, null_placement=nulls))
+                    left = firsts(batch)
+                batch = batch.take(left)
+            yield batch
 
-    return df.mapInPandas(cut, df.schema)
+    return df.mapInArrow(cut, df.schema)
 
 
-def _timed(df: DataFrame, clock: str, lateness: int) -> DataFrame:
-    """``_at`` in whole seconds and a watermark ``lateness`` seconds behind the newest; rows without a clock are left out."""
+def _timed(
+    df: DataFrame, clock: str, lateness: int, keys: Sequence[str], order: Sequence[str], columns: Sequence[str],
+    ascending: bool = True,
+) -> DataFrame:
+    """``columns`` with ``_at`` in whole seconds, one row per key and instant of those read together, and a watermark
+    ``lateness`` seconds behind the newest; rows without a clock are left out."""
     at = F.col(clock).cast("long")
-    return df.where(at.isNotNull()).withColumns({_AT: at, _WHEN: F.timestamp_seconds(at + _SHIFT)}).withWatermark(
-        _WHEN, f"{lateness} seconds")
+    cut = _one_per_instant(df.where(at.isNotNull()).select(*columns, at.alias(_AT)), keys, order, ascending)
+    return cut.withColumn(_WHEN, F.timestamp_seconds(F.col(_AT) + _SHIFT)).withWatermark(_WHEN, f"{lateness} seconds")
 
 
 # ---- time-to-live
 
 class _TimeToLive(StatefulProcessor):
-    """State of a bucket of keys: of each key the clocks of its acceptances that can still matter, in order."""
+    """State of a bucket of keys: of each key the clocks of its acceptances that can still matter, in order.
+
+    It is one text, as Python looks at every element of an array that goes to the store.
+    """
 
     def __init__(self, columns: list[str], order: list[str], ttl: int):
         self.columns, self.order, self.ttl = columns, order, ttl
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
-        self.accepted = handle.getValueState("accepted", "ids array<string>, clocks array<bigint>, timer bigint")
+        self.accepted = handle.getValueState("accepted", "clocks string, timer bigint")
+        self.passed = Row(_ID, _AT, *self.columns)
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:  # noqa: N802
         known, timer = self._read()
         changed = False
-        for row in sorted(rows, key=lambda r: (r[_ID], r[_AT], *[_first(r[c]) for c in self.order])):
-            at, clocks = row[_AT], known.setdefault(row[_ID], [])
-            place = bisect.bisect_right(clocks, at)
-            if place == 0 or at >= clocks[place - 1] + self.ttl:
-                clocks.insert(place, at)
-                changed = True
-                yield Row(**{c: row[c] for c in self.columns})
+        for one, line in self._by_key(rows).items():
+            clocks = known.get(one, [])
+            for at, _, text, row in line:
+                place = bisect.bisect_right(clocks, at)
+                if place == 0 or at >= clocks[place - 1] + self.ttl:
+                    clocks.insert(place, at)
+                    known[one] = clocks
+                    changed = True
+                    yield self.passed(text, at, *[row[c] for c in self.columns])
         if changed:
             self._keep(known, timer, timerValues)
 
@@ -88,12 +117,24 @@ class _TimeToLive(StatefulProcessor):
     def close(self) -> None:
         pass
 
+    def _by_key(self, rows: Iterator[Row]) -> dict[str, list[tuple]]:
+        """The time line of each key: clock, places among rows of that clock, text of the key and row."""
+        lines: dict[str, list[tuple]] = {}
+        for row in rows:
+            if not lines:  # fields are looked up once, as rows are many
+                names = row.__fields__
+                when, text, order = names.index(_WHEN), names.index(_ID), [names.index(c) for c in self.order]
+            values = tuple(row)
+            one = values[text].partition(_EXACT)[0]
+            at = int(values[when].timestamp()) - _SHIFT
+            lines.setdefault(one, []).append((at, [_first(values[c]) for c in order], values[text], row))
+        for line in lines.values():
+            line.sort(key=_BY_CLOCK)
+        return lines
+
     def _read(self) -> tuple[dict[str, list[int]], int | None]:
-        ids, clocks, timer = self.accepted.get() or ([], [], None)
-        known: dict[str, list[int]] = {}
-        for one, at in zip(ids, clocks, strict=True):
-            known.setdefault(one, []).append(at)
-        return known, timer
+        clocks, timer = self.accepted.get() or ("{}", None)
+        return json.loads(clocks), timer
 
     def _keep(self, known: dict[str, list[int]], timer: int | None, timer_values) -> None:
         """Store what has not expired; the timer fires when the first of its keys has."""
@@ -105,19 +146,38 @@ class _TimeToLive(StatefulProcessor):
         if due is None:
             self.accepted.clear()
             return
-        ids = [one for one, clocks in known.items() for _ in clocks]
-        self.accepted.update((ids, [a for clocks in known.values() for a in clocks], due))
+        self.accepted.update((json.dumps(known, ensure_ascii=False, separators=(",", ":")), due))
         if timer != due:
             self.handle.registerTimer(_timer(due))
 
 
+# Types that JSON gives back as they were.
+_TEXT = (T.StringType, T.BooleanType, T.IntegralType, T.FractionalType, T.DateType, T.TimestampType, T.TimestampNTZType,
+         T.BinaryType)
+_OPTIONS = {
+    "ignoreNullFields": "false", "timeZone": "UTC", "timestampFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX",
+    "timestampNTZFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"}
+
+
 def _key_text(df: DataFrame, keys: Sequence[str]) -> Column:
-    """A key as text, equal where all parts are equal or both null."""
-    zero = {f.name for f in df.schema if isinstance(f.dataType, (T.FloatType, T.DoubleType))}
-    parts = [F.when(F.col(k) == 0, F.lit(0.0)).otherwise(F.col(k)).alias(k) if k in zero else F.col(k) for k in keys]
-    exact = "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"
-    return F.to_json(F.struct(*parts), {
-        "ignoreNullFields": "false", "timestampFormat": f"{exact}XXX", "timestampNTZFormat": exact})
+    """A key as text, equal where all parts are equal or both null, up to ``_EXACT``. What follows is the text that gives
+    the parts back, where that is another one."""
+    kinds = {f.name: f.dataType for f in df.schema}
+
+    def part(name: str, exact: bool) -> Column:
+        value = F.col(name)
+        if isinstance(kinds[name], T.StringType):
+            value = F.validate_utf8(value)
+        if isinstance(kinds[name], (T.FloatType, T.DoubleType)) and not exact:
+            value = F.when(value == 0, F.lit(0.0)).otherwise(value)
+        return value.alias(name)
+
+    equal, exact = (F.to_json(F.struct(*[part(k, e) for k in keys]), _OPTIONS) for e in (False, True))
+    zeros = [k for k in keys if isinstance(kinds[k], (T.FloatType, T.DoubleType))]
+    if not zeros:
+        return equal
+    signed = functools.reduce(Column.__or__, [(F.col(k) == 0) & F.col(k).cast("string").startswith("-") for k in zeros])
+    return F.when(signed, F.concat(equal, F.lit(_EXACT), exact)).otherwise(equal)
 
 
 def dedupe_stateful(
@@ -134,15 +194,31 @@ def dedupe_stateful(
 
     Python asks the state store over a socket, some five times for each group, which is what most of the time went to
     with one key a group. So keys share ``buckets`` groups by their hash, and a batch asks once for all keys of one.
+    Python also takes every field of a row out of its batch by itself. So the parts of a key, which are only compared,
+    go through it as one text and are read from that again, and a whole-numbered clock goes as what is made of it.
     """
     if ttl <= 0:
         return df
-    columns = df.columns
+    columns, kinds = df.columns, {f.name: f.dataType for f in df.schema}
     order = list(tiebreak) or [c for c in columns if c not in keys and c != clock]
-    timed = _one_per_instant(_timed(df, clock, ttl if lateness is None else lateness), keys, order)
-    named = timed.withColumn(_ID, _key_text(df, keys))
-    return named.withColumn(_BUCKET, F.pmod(F.xxhash64(_ID), F.lit(buckets))).groupBy(_BUCKET).transformWithState(
-        _TimeToLive(columns, order, ttl), df.schema, "Append", "EventTime")
+    texts = [k for k in dict.fromkeys(keys) if isinstance(kinds[k], _TEXT) and k not in order]
+    whole = isinstance(kinds.get(clock), T.IntegralType) and clock not in order and clock not in texts
+    carried = [c for c in columns if c not in texts and not (whole and c == clock)]
+    timed = _timed(df.withColumn(_ID, _key_text(df, keys)), clock, ttl if lateness is None else lateness, [_ID], order,
+                   [_ID, *carried]).drop(_AT)
+    equal = F.substring_index(_ID, _EXACT, 1)
+    returned = T.StructType([T.StructField(_ID, T.StringType()), T.StructField(_AT, T.LongType()),
+                             *[df.schema[c] for c in carried]])
+    passed = timed.withColumn(_BUCKET, F.pmod(F.xxhash64(equal), F.lit(buckets))).groupBy(_BUCKET).transformWithState(
+        _TimeToLive(carried, order, ttl), returned, "Append", "EventTime")
+    if whole:
+        passed = passed.withColumn(clock, F.col(_AT).cast(kinds[clock]))
+    if texts:
+        # A generator, so that the text is read once for all parts.
+        parts = F.from_json(F.substring_index(_ID, _EXACT, -1), T.StructType([df.schema[k] for k in texts]),
+                            {**_OPTIONS, "mode": "FAILFAST"})
+        passed = passed.select("*", F.inline(F.array(parts)))
+    return passed.select(*columns)
 
 
 # ---- live positions
@@ -224,9 +300,8 @@ def live_changes(
     kept = rows.where(F.col(key) != "").withColumn("_located", has_position(F.col("lat"), F.col("lon")))
     kept = kept.withColumn("_clock", F.unix_timestamp(time)).select(key, "_clock", "_located", *columns, *[
         c for c in order if c not in columns])
-    timed = _timed(kept, "_clock", lateness).drop("_clock")
     # Of one second the last row counts, here as in the state.
-    timed = _one_per_instant(timed, [key], order, ascending=False)
+    timed = _timed(kept, "_clock", lateness, [key], order, [c for c in kept.columns if c != "_clock"], ascending=False)
     fields = {f.name: f.dataType for f in rows.schema}
     schema = T.StructType([T.StructField(key, fields[key]), T.StructField("change", T.StringType()),
                            T.StructField("at", T.LongType()), *[T.StructField(c, fields[c]) for c in columns]])

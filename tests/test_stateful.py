@@ -1,6 +1,7 @@
 """Keyed state with timers, the parsed layer, the progress log and carried counters."""
 
 import datetime
+import decimal
 import json
 import random
 
@@ -204,3 +205,54 @@ def test_stateful_asks_the_store_once_for_keys_of_a_bucket(spark, tmp_path):
     query.awaitTermination()
     # A value, and a timer in two orders, for each bucket.
     assert max(o["numRowsTotal"] for p in query.recentProgress for o in p["stateOperators"]) <= 3 * 4
+
+
+def test_stateful_takes_clocks_after_2262(spark, tmp_path):
+    """Clocks need not be times of our days, and event time lies later still; pandas' times end in 2262."""
+    rng = random.Random(4)
+    rows = [(rng.choice("abc"), 6_000_000_000 + t // 2, t) for t in range(200)] + [("z", 100_000_000_000, 0)]
+    got = in_batches(spark, [[("a", 0, 0)], rows[:100], rows[100:]], "k string, t long, n int",
+                     lambda s: dedupe_stateful(s, ["k"], 15, "t", ["n"]), tmp_path)
+    assert sorted((r for part in got for r in part), key=str) == sorted([("a", 0, 0), *brute_force(rows, 15)], key=str)
+
+
+def passed_once(spark, stream, folder):
+    got = []
+    query = stream.writeStream.foreachBatch(lambda b, i: got.extend(b.collect())).option(
+        "checkpointLocation", f"{folder}/checkpoint").trigger(availableNow=True).start()
+    query.awaitTermination()
+    return got
+
+
+def test_stateful_returns_rows_as_they_were(spark, tmp_path):
+    """Keys come back from their text as they were, and large numbers beside nulls are not rounded."""
+    schema = ("s string, f float, x double, d decimal(30,4), b binary, i int, ok boolean, day date, at timestamp, "
+              "ntz timestamp_ntz, l array<int>, t int, n long")
+    keys = ["s", "f", "x", "d", "b", "i", "ok", "day", "at", "ntz", "l"]
+    at, number = datetime.datetime(2024, 1, 1, 0, 0, 0, 1), decimal.Decimal("12345678901234567890123456.7891")
+    full = ("a\nb\"\\:-0.0,é\u0001", 0.1, 5e-324, number, bytearray(b"\x00\xff"), -7, True, at.date(), at, at, [1, None])
+    rest = [None] * 8
+    rows = [(*full, 5, (1 << 60) + 1), (*full, 60, 9), (*[None] * 11, 6, None),
+            ("", -0.0, -0.0, *rest, 7, 1), ("", 0.0, 0.0, *rest, 200, 2),
+            ("", float("inf"), float("nan"), *rest, 8, 3), ("", 1e38, 1e300, *rest, 9, 4)]
+    spark.createDataFrame(rows, schema).coalesce(1).write.parquet(f"{tmp_path}/in")
+    table = spark.read.parquet(f"{tmp_path}/in")
+    out = dedupe_stateful(spark.readStream.schema(schema).parquet(f"{tmp_path}/in"), keys, 100, "t")
+    assert out.dtypes == table.dtypes
+    got = passed_once(spark, out, tmp_path)
+    assert sorted(map(str, got)) == sorted(str(r) for r in table.collect() if r.t != 60)
+
+
+@pytest.mark.parametrize("kind", ["double", "timestamp"])
+def test_stateful_returns_other_clocks(spark, tmp_path, kind):
+    """A clock that is not a whole number is judged by its whole seconds and returned as it was. Of one second the first
+    by the tiebreak passes, NaN and then null last."""
+    nan = float("nan")
+    rows = [("a", 1.5, None), ("a", 1.25, nan), ("a", 1.75, 3.0), ("a", 11.5, 1.0), ("b", 2.0, nan), ("b", 2.5, None),
+            ("a", 9.0, 0.0)]
+    spark.createDataFrame(rows, "k string, t double, n double").selectExpr(
+        "k", f"cast(t as {kind})", "n").repartition(3).write.parquet(f"{tmp_path}/in")
+    source = spark.readStream.schema(f"k string, t {kind}, n double").parquet(f"{tmp_path}/in")
+    out = dedupe_stateful(source, ["k"], 10, "t").selectExpr("k", "cast(t as double)", "cast(n as string)")
+    assert sorted(map(tuple, passed_once(spark, out, tmp_path))) == [
+        ("a", 1.75, "3.0"), ("a", 11.5, "1.0"), ("b", 2.0, "NaN")]
